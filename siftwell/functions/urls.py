@@ -29,8 +29,8 @@ def without_fragment(url: Column) -> Column:
 
 
 def normalize(url: Column) -> Column:
-    """The form URLs are matched in: no fragment, no closing slash."""
-    return F.regexp_replace(without_fragment(F.trim(url)), "/$", "")
+    """The form URLs are matched in: no fragment, and no slash after a bare host."""
+    return F.regexp_replace(without_fragment(F.trim(url)), "^([A-Za-z]+://[^/?#]*)/$", "$1")
 
 
 def resolve(base: Column, href: Column) -> Column:

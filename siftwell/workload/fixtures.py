@@ -135,7 +135,7 @@ SQL_PATH = "regexp_extract({}, '" + urls.PATH + "', 1)"
 
 
 def sql_normalize(column: str) -> str:
-    return f"regexp_replace(regexp_replace(trim({column}), '#.*$', ''), '/$', '')"
+    return f"regexp_replace(regexp_replace(trim({column}), '#.*$', ''), '^([A-Za-z]+://[^/?#]*)/$', '\\1')"
 
 
 CORPUS = f"""

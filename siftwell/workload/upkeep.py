@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import datetime, timedelta
+from datetime import timedelta
 
 from pyspark.sql import functions as F
 
@@ -263,12 +263,8 @@ def persist_prepare(spark, sf):
     )
 
 
-def sql_write_through(dedup: bool) -> str:
-    """Store after saving: candidates that are new by hash are inserted, known ones only counted.
-
-    No stored document has a page's content, and pages differ, so every kept row is an insert; equal
-    content within the batch merges.
-    """
+def sql_write_through() -> str:
+    """Store after merging by content hash; a keyed row bypasses the similarity check."""
     return (
         fx.with_tables(fx.STORE, fx.CORPUS, fx.FOREIGN)
         + ","
@@ -296,7 +292,7 @@ def saved_view(df):
     )
 
 
-@check("write_through", sql_write_through(False))
+@check("write_through", sql_write_through())
 def write_through(spark, sf):
     """All selected pages saved into the store, merged by content hash."""
     return saved_view(
