@@ -99,10 +99,14 @@ queries AS (
 
 
 def corpus(spark: SparkSession, sf: str) -> DataFrame:
+    return corpus_from(table(spark, sf, "pages"))
+
+
+def corpus_from(pages: DataFrame) -> DataFrame:
     """Pages as a searchable corpus."""
     p = F.col("page_id")
     now = F.lit(NOW).cast("timestamp_ntz")
-    return table(spark, sf, "pages").select(
+    return pages.select(
         p.alias("doc_id"),
         "url",
         html.html_title(F.col("html")).alias("title"),
@@ -148,12 +152,15 @@ corpus AS (
 
 
 def foreign(spark: SparkSession, sf: str) -> DataFrame:
+    return foreign_from(table(spark, sf, "pages"), table(spark, sf, "benchmark"))
+
+
+def foreign_from(pages: DataFrame, items: DataFrame) -> DataFrame:
     """Every page is a ranked result of one query, dealt out by id; rank needs no window."""
-    items = table(spark, sf, "benchmark")
     total = items.agg(F.count("*")).scalar()
     p = F.col("doc_id")
     dealt = (
-        corpus(spark, sf)
+        corpus_from(pages)
         .withColumn("qid", p % total)
         .withColumn("rank", (div(p, total) + 1).cast("long"))
         .withColumn("score", ((p * 37 + F.col("qid") * 11) % 100) / F.lit(100.0))
