@@ -10,6 +10,7 @@ WORD = "[A-Za-z0-9]+"
 LOWER_WORD = "[a-z0-9]+"
 COUNTED_TOKEN = "[A-Za-z0-9]+|[^A-Za-z0-9\\s]"
 QUOTED = '"([^"]+)"'
+MAX_CHUNK_WORDS = 1000
 
 
 def _all(text: Column, pattern: str, group: int = 0) -> Column:
@@ -51,12 +52,11 @@ def preview_text(text: Column, width: int = 120) -> Column:
 
 
 def chunk_text(text: Column, words_per_chunk: int) -> Column:
-    """Consecutive windows of ``words_per_chunk`` words; a text without words has no chunk."""
-    parts = F.filter(F.split(text, "\\s+"), lambda w: w != "")
-    last = F.floor((F.size(parts) - 1) / F.lit(words_per_chunk)).cast("int")
-    starts = F.sequence(F.lit(0), last)
-    chunks = F.transform(
-        starts,
-        lambda i: F.array_join(F.slice(parts, i * words_per_chunk + 1, words_per_chunk), " "),
-    )
-    return F.when(F.size(parts) > 0, chunks).otherwise(F.array().cast("array<string>"))
+    """Consecutive windows of ``words_per_chunk`` words; a text without words has no chunk.
+
+    One pattern reads the text once; possessive repeats keep it from being read again.
+    """
+    if not 1 <= words_per_chunk <= MAX_CHUNK_WORDS:
+        raise ValueError(f"words_per_chunk must lie between 1 and {MAX_CHUNK_WORDS}.")
+    window = f"(?:\\S++\\s++){{0,{words_per_chunk - 1}}}\\S++"
+    return F.transform(_all(text, window), lambda chunk: F.regexp_replace(chunk, "\\s+", " "))

@@ -15,6 +15,7 @@ from siftwell.functions.text import content_hash
 from siftwell.operators import filters
 from siftwell.operators.knn import nearest_similarity
 from siftwell.operators.topk import persist_select
+from siftwell.session import cut_lineage
 from siftwell.sources.store import LIFECYCLE_COLUMNS, append, count_where, delete_where
 
 Embedder = Callable[[DataFrame, str, str], DataFrame]
@@ -222,6 +223,8 @@ def write_through(
     """The store after saving foreign results: prepare, drop near-duplicates, then append or merge."""
     docs = persist_prepare(foreign, cfg, now, store.columns, embed, transform)
     if cfg.dedup_similarity_threshold is not None:
+        # The documents are measured, compared and saved: embed them once.
+        docs = cut_lineage(docs)
         docs = semantic_dedup(
             docs,
             store,

@@ -51,11 +51,17 @@ def chunks_per_source(
     extracted: DataFrame, n: int, words_per_chunk: int = 100, keys: tuple[str, ...] = ("qid", "url")
 ) -> DataFrame:
     """Best ``n`` chunks of each page for its query, by the share of query words they hold."""
-    asked = F.array_distinct(words(F.col("query")))
-    held = F.size(F.array_intersect(F.array_distinct(words(F.col("chunk"))), asked))
-    score = F.when(F.size(asked) > 0, F.round(held / F.size(asked), 6)).otherwise(0.0)
-    chunks = extracted.select(
-        *keys, "query", F.posexplode(chunk_text(F.col("content"), words_per_chunk)).alias("chunk_no", "chunk")
-    ).withColumn("score", score)
+    held = F.size(F.array_intersect(words(F.col("chunk")), F.col("_asked")))
+    score = F.when(F.size("_asked") > 0, F.round(held / F.size("_asked"), 6)).otherwise(0.0)
+    chunks = (
+        extracted.select(
+            *keys,
+            F.array_distinct(words(F.col("query"))).alias("_asked"),
+            chunk_text(F.col("content"), words_per_chunk).alias("_chunks"),
+        )
+        .select(*keys, "_asked", F.posexplode_outer("_chunks").alias("chunk_no", "chunk"))
+        .filter(F.col("chunk").isNotNull())
+        .withColumn("score", score)
+    )
     best = top_n(chunks, list(keys), [F.desc("score"), F.asc("chunk_no")], n)
     return best.select(*keys, "rank", "chunk_no", "chunk", "score")

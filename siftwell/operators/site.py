@@ -16,9 +16,10 @@ from siftwell.session import cut_lineage
 
 def page_links(pages: DataFrame) -> DataFrame:
     """``(page_id, url, link_pos, dst_url)``: every web link of every page, in absolute form."""
-    links = F.posexplode(html.html_links(F.col("html"))).alias("link_pos", "href")
+    links = F.posexplode_outer(html.html_links(F.col("html"))).alias("link_pos", "href")
     return (
         pages.select("page_id", "url", links)
+        .filter(F.col("href").isNotNull())
         .withColumn("dst_url", urls.resolve(F.col("url"), F.col("href")))
         .filter(F.col("dst_url").rlike("^https?://"))
         .drop("href")
@@ -60,14 +61,17 @@ def extract_match(requested: DataFrame, pages: DataFrame) -> DataFrame:
 
 
 def extract(requested: DataFrame, pages: DataFrame, format: str = "text", images: bool = False) -> DataFrame:
-    """Content of requested URLs. Bodies are joined by id after matching, so only matches are parsed."""
+    """Content of requested URLs. Matching reads no bodies; a page that matches is parsed once,
+    however often it was requested."""
     body = html.html_extract(F.col("html"), format)
     columns = [body.getField("title").alias("title"), body.getField("content").alias("raw_content")]
     if images:
         columns.append(body.getField("images").alias("images"))
     matched = extract_match(requested, pages)
-    bodies = pages.select("page_id", "html")
-    return matched.join(bodies, "page_id", "left").select(*requested.columns, "page_id", "status", *columns)
+    needed = matched.select("page_id").distinct()
+    parsed = pages.join(needed, "page_id", "left_semi").select("page_id", *columns)
+    names = [name for name in parsed.columns if name != "page_id"]
+    return matched.join(parsed, "page_id", "left").select(*requested.columns, "page_id", "status", *names)
 
 
 @dataclass(frozen=True)

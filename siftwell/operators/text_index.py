@@ -20,41 +20,38 @@ B = 0.75
 
 
 def text_postings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "content") -> DataFrame:
-    """``(doc_id, term, tf, doc_length)``, partitioned by ``doc_id``."""
+    """``(doc_id, term, tf, doc_length)``, partitioned by ``doc_id``.
+
+    The outer explode keeps Catalyst from adding a filter on the token array below the shuffle, which
+    would cut every text into tokens twice.
+    """
     return (
         docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("_text"))
         .repartition("doc_id")
         .select("doc_id", words(F.col("_text")).alias("_words"))
-        .select("doc_id", F.size("_words").alias("doc_length"), F.explode("_words").alias("term"))
+        .select("doc_id", F.size("_words").alias("doc_length"), F.explode_outer("_words").alias("term"))
+        .filter(F.col("term").isNotNull())
         .groupBy("doc_id", "doc_length", "term")
         .agg(F.count("*").alias("tf"))
     )
 
 
 def term_frequencies(postings: DataFrame) -> DataFrame:
-    """``(term, df)``: in how many documents each term occurs."""
-    return postings.groupBy("term").agg(F.count("*").alias("df"))
+    """``(term, df, tokens)``: in how many documents each term occurs, and how often."""
+    return postings.groupBy("term").agg(F.count("*").alias("df"), F.sum("tf").alias("tokens"))
 
 
-def corpus_totals(docs: DataFrame, postings: DataFrame, text_col: str = "content") -> DataFrame:
-    """One row: number of documents and their mean length in tokens."""
-    n_docs = docs.agg(F.count(text_col)).scalar()
-    return postings.agg(F.sum("tf").alias("tokens")).select(
-        n_docs.alias("n_docs"),
-        (F.coalesce("tokens", F.lit(0)) / n_docs).alias("mean_length"),
-    )
+def document_count(docs: DataFrame, text_col: str = "content") -> Column:
+    """Number of documents with a text, as a scalar subquery."""
+    return docs.agg(F.count(text_col)).scalar()
 
 
 def corpus_stats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "content") -> DataFrame:
     """``(term, df, n_docs, mean_length)``: what a text index keeps about its corpus."""
-    postings = text_postings(docs, id_col, text_col)
-    totals = corpus_totals(docs, postings, text_col).select(F.struct("n_docs", "mean_length")).scalar()
-    return term_frequencies(postings).select(
-        "term",
-        "df",
-        totals.getField("n_docs").alias("n_docs"),
-        totals.getField("mean_length").alias("mean_length"),
-    )
+    terms = term_frequencies(text_postings(docs, id_col, text_col))
+    n_docs = document_count(docs, text_col)
+    tokens = terms.agg(F.sum("tokens")).scalar()
+    return terms.select("term", "df", n_docs.alias("n_docs"), (tokens / n_docs).alias("mean_length"))
 
 
 def query_terms(queries: DataFrame) -> DataFrame:
@@ -64,20 +61,25 @@ def query_terms(queries: DataFrame) -> DataFrame:
 
 
 def text_scores(
-    postings: DataFrame, totals: DataFrame, queries: DataFrame, budget: int = BROADCAST_BYTES
+    postings: DataFrame, n_docs: Column, queries: DataFrame, budget: int = BROADCAST_BYTES
 ) -> DataFrame:
-    """``(qid, doc_id, score)``: raw BM25 of every document holding any term of the query."""
+    """``(qid, doc_id, score)``: raw BM25 of every document holding any term of the query.
+
+    Postings are read twice: once for the query terms' frequencies together with the token total, and
+    once for the scores.
+    """
     terms = query_terms(queries)
     # A weight row is its term, a qid and two numbers, so this measures what would be broadcast.
     small = measured_bytes(terms, F.octet_length("term") + 40) <= budget
     hint = F.broadcast if small else (lambda df: df)
     wanted = hint(terms.select("term").distinct())
-    numbers = totals.select(F.struct("n_docs", "mean_length")).scalar()
-    n_docs = numbers.getField("n_docs")
-    frequencies = term_frequencies(postings.join(wanted, "term", "left_semi"))
+    marked = postings.join(wanted.withColumn("asked", F.col("term")), "term", "left")
+    stats = marked.groupBy("asked").agg(F.count("*").alias("df"), F.sum("tf").alias("tokens"))
+    mean_length = stats.agg(F.sum("tokens")).scalar() / n_docs
+    frequencies = stats.filter(F.col("asked").isNotNull()).select(F.col("asked").alias("term"), "df")
     idf = F.log(F.lit(1.0) + (n_docs - F.col("df") + 0.5) / (F.col("df") + 0.5))
     weights = terms.join(frequencies, "term").select("qid", "term", idf.alias("idf"))
-    length = F.col("doc_length") / numbers.getField("mean_length")
+    length = F.col("doc_length") / mean_length
     saturation = (F.col("tf") * (K1 + 1)) / (F.col("tf") + K1 * (1 - B + B * length))
     return (
         postings.join(hint(weights), "term")
@@ -109,8 +111,7 @@ def text_search(
     Statistics cover all of ``docs``; ``eligible`` only limits which documents are returned.
     """
     postings = text_postings(docs, id_col, text_col)
-    totals = corpus_totals(docs, postings, text_col)
-    scores = text_scores(postings, totals, queries, budget)
+    scores = text_scores(postings, document_count(docs, text_col), queries, budget)
     if eligible is not None:
         allowed = docs.filter(eligible).select(F.col(id_col).alias("doc_id"))
         scores = scores.join(allowed, "doc_id", "left_semi")

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from siftwell.functions.text import quoted_phrases
 from siftwell.operators import filters
-from siftwell.operators.text_index import corpus_totals, rank_text, text_postings, text_scores
+from siftwell.operators.text_index import document_count, rank_text, text_postings, text_scores
 
 
 @dataclass(frozen=True)
@@ -50,7 +50,7 @@ def table_search(queries: DataFrame, corpus: DataFrame, params: SearchParams, no
     """
     pages = eligible_pages(corpus, params, now)
     postings = text_postings(pages)
-    scores = text_scores(postings, corpus_totals(pages, postings), queries)
+    scores = text_scores(postings, document_count(pages), queries)
     if params.exact_match:
         phrases = queries.select("qid", quoted_phrases(F.col("query")).alias("_phrases"))
         quoted = scores.join(phrases, "qid").join(

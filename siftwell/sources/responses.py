@@ -29,6 +29,7 @@ STATUS_CLASSES = (
 
 
 def _parsed(df: DataFrame, json_col: str, schema: str) -> DataFrame:
+    """Parsed once: the outer explodes that follow keep Catalyst from testing the array in the scan."""
     return df.withColumn("_r", F.from_json(json_col, schema)).drop(json_col)
 
 
@@ -37,7 +38,8 @@ def flatten_search(df: DataFrame, json_col: str = "response") -> DataFrame:
     other = [c for c in df.columns if c != json_col]
     return (
         _parsed(df, json_col, SEARCH_SCHEMA)
-        .select(*other, F.col("_r.query").alias("query"), F.posexplode("_r.results").alias("_pos", "_item"))
+        .select(*other, F.col("_r.query").alias("query"), F.posexplode_outer("_r.results").alias("_pos", "_item"))
+        .filter(F.col("_item").isNotNull())
         .select(*other, "query", (F.col("_pos") + 1).alias("rank"), "_item.*")
     )
 
@@ -61,9 +63,8 @@ def flatten_extract(df: DataFrame, json_col: str = "response") -> DataFrame:
     both = F.concat(
         tagged(F.col("_r.results"), "ok", True), tagged(F.col("_r.failed_results"), "failed", False)
     )
-    return _parsed(df, json_col, EXTRACT_SCHEMA).select(*other, F.explode(both).alias("_item")).select(
-        *other, "_item.*"
-    )
+    items = _parsed(df, json_col, EXTRACT_SCHEMA).select(*other, F.explode_outer(both).alias("_item"))
+    return items.filter(F.col("_item").isNotNull()).select(*other, "_item.*")
 
 
 def flatten_crawl(df: DataFrame, json_col: str = "response") -> DataFrame:
@@ -71,7 +72,8 @@ def flatten_crawl(df: DataFrame, json_col: str = "response") -> DataFrame:
     other = [c for c in df.columns if c != json_col]
     return (
         _parsed(df, json_col, CRAWL_SCHEMA)
-        .select(*other, F.col("_r.base_url").alias("base_url"), F.explode("_r.results").alias("_item"))
+        .select(*other, F.col("_r.base_url").alias("base_url"), F.explode_outer("_r.results").alias("_item"))
+        .filter(F.col("_item").isNotNull())
         .select(*other, "base_url", "_item.*")
     )
 
@@ -79,9 +81,10 @@ def flatten_crawl(df: DataFrame, json_col: str = "response") -> DataFrame:
 def flatten_map(df: DataFrame, json_col: str = "response") -> DataFrame:
     """One row per discovered URL."""
     other = [c for c in df.columns if c != json_col]
-    return _parsed(df, json_col, MAP_SCHEMA).select(
-        *other, F.col("_r.base_url").alias("base_url"), F.explode("_r.results").alias("url")
+    found = _parsed(df, json_col, MAP_SCHEMA).select(
+        *other, F.col("_r.base_url").alias("base_url"), F.explode_outer("_r.results").alias("url")
     )
+    return found.filter(F.col("url").isNotNull())
 
 
 def research_latest(log: DataFrame) -> DataFrame:

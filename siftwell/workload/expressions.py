@@ -128,8 +128,8 @@ SELECT doc_id, chunk_no, array_to_string(words[chunk_no*50+1 : chunk_no*50+50],
 )
 def chunk_text(spark, sf):
     return fx.table(spark, sf, "documents").select(
-        "doc_id", F.posexplode(text.chunk_text(F.col("text"), 50)).alias("chunk_no", "chunk")
-    )
+        "doc_id", F.posexplode_outer(text.chunk_text(F.col("text"), 50)).alias("chunk_no", "chunk")
+    ).filter("chunk IS NOT NULL")
 
 
 # --- payload --------------------------------------------------------------------------------------
