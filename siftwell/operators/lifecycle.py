@@ -16,7 +16,7 @@ from siftwell.operators import filters
 from siftwell.operators.knn import nearest_similarity
 from siftwell.operators.topk import persist_select
 from siftwell.session import cut_lineage
-from siftwell.sources.store import LIFECYCLE_COLUMNS, append, count_where, delete_where
+from siftwell.sources.store import LIFECYCLE_COLUMNS, StoreTable, append, count_where, delete_where
 
 Embedder = Callable[[DataFrame, str, str], DataFrame]
 RESULT_FIELDS = ("title", "url", "content", "score", "raw_content")
@@ -212,7 +212,7 @@ def upsert(store: DataFrame, docs: DataFrame, key: str) -> DataFrame:
     return append(append(changed, fresh), plain).select(store.columns)
 
 
-def write_through(
+def documents_to_save(
     store: DataFrame,
     foreign: DataFrame,
     cfg: RetrievalConfig,
@@ -220,7 +220,7 @@ def write_through(
     embed: Embedder,
     transform: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
-    """The store after saving foreign results: prepare, drop near-duplicates, then append or merge."""
+    """Prepared documents without those too near to a stored row."""
     docs = persist_prepare(foreign, cfg, now, store.columns, embed, transform)
     if cfg.dedup_similarity_threshold is not None:
         # The documents are measured, compared and saved: embed them once.
@@ -234,13 +234,57 @@ def write_through(
             cfg.upsert_key if cfg.upsert_key in docs.columns else None,
             dict(cfg.metadata_filters),
         )
-    if cfg.upsert_key is not None and cfg.upsert_key in docs.columns:
-        return upsert(store, docs, cfg.upsert_key)
+    return docs
+
+
+def merges(docs: DataFrame, cfg: RetrievalConfig) -> bool:
+    return cfg.upsert_key is not None and cfg.upsert_key in docs.columns
+
+
+def as_store_rows(docs: DataFrame, store: DataFrame) -> DataFrame:
+    """Documents with exactly the store's columns; a column the store lacks is an error."""
     new = docs.drop("provided", "seq")
     unknown = sorted(set(new.columns) - set(store.columns))
     if unknown:
         raise ValueError(f"The store is missing columns: {', '.join(unknown)}.")
-    return append(store, new).select(store.columns)
+    return append(store.limit(0), new).select(store.columns)
+
+
+def write_through(
+    store: DataFrame,
+    foreign: DataFrame,
+    cfg: RetrievalConfig,
+    now: datetime,
+    embed: Embedder,
+    transform: Callable[[DataFrame], DataFrame] | None = None,
+) -> DataFrame:
+    """The store after saving foreign results: prepare, drop near-duplicates, then append or merge."""
+    docs = documents_to_save(store, foreign, cfg, now, embed, transform)
+    if merges(docs, cfg):
+        return upsert(store, docs, cfg.upsert_key)
+    return append(store, as_store_rows(docs, store))
+
+
+def save_to_table(
+    table: StoreTable,
+    foreign: DataFrame,
+    cfg: RetrievalConfig,
+    now: datetime,
+    embed: Embedder,
+    transform: Callable[[DataFrame], DataFrame] | None = None,
+    token: str = "",
+) -> int:
+    """Write-through into a store table; returns its version. Nothing to save writes nothing.
+
+    Without a merge key only the new rows are written; a merge writes the store anew.
+    """
+    store = table.read()
+    docs = cut_lineage(documents_to_save(store, foreign, cfg, now, embed, transform))
+    if docs.isEmpty():
+        return table.version
+    if merges(docs, cfg):
+        return table.commit(upsert(store, docs, cfg.upsert_key), token)
+    return table.commit_rows(as_store_rows(docs, store), token)
 
 
 def cleanup_expired(
@@ -260,12 +304,16 @@ def count_expired(
     )
 
 
+def cleanup_due(cfg: RetrievalConfig, now: datetime, last_cleanup: datetime | None) -> bool:
+    interval = timedelta(seconds=cfg.cleanup_interval_seconds)
+    return cfg.auto_cleanup and (last_cleanup is None or now - last_cleanup >= interval)
+
+
 def maintenance(
     store: DataFrame, cfg: RetrievalConfig, now: datetime, last_cleanup: datetime | None
 ) -> tuple[DataFrame, datetime | None]:
     """Cleanup before a search, at most once per interval; returns the store and the last run."""
-    interval = timedelta(seconds=cfg.cleanup_interval_seconds)
-    if not cfg.auto_cleanup or (last_cleanup is not None and now - last_cleanup < interval):
+    if not cleanup_due(cfg, now, last_cleanup):
         return store, last_cleanup
     return (
         cleanup_expired(store, cfg.cache_ttl_seconds, now, cfg.managed_tag, cfg.timestamp_column),

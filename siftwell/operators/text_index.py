@@ -7,12 +7,13 @@ term that occurs in most documents is therefore never gathered in one task.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from siftwell.functions.text import sanitize_text_query, words
 from siftwell.operators.sizing import BROADCAST_BYTES, measured_bytes
 from siftwell.operators.topk import top_n
+from siftwell.session import cut_lineage
 
 # BM25 parameters.
 K1 = 1.2
@@ -48,7 +49,7 @@ def document_count(docs: DataFrame, text_col: str = "content") -> Column:
 
 def corpus_stats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "content") -> DataFrame:
     """``(term, df, n_docs, mean_length)``: what a text index keeps about its corpus."""
-    terms = term_frequencies(text_postings(docs, id_col, text_col))
+    terms = cut_lineage(term_frequencies(text_postings(docs, id_col, text_col)))
     n_docs = document_count(docs, text_col)
     tokens = terms.agg(F.sum("tokens")).scalar()
     return terms.select("term", "df", n_docs.alias("n_docs"), (tokens / n_docs).alias("mean_length"))
@@ -74,7 +75,8 @@ def text_scores(
     hint = F.broadcast if small else (lambda df: df)
     wanted = hint(terms.select("term").distinct())
     marked = postings.join(wanted.withColumn("asked", F.col("term")), "term", "left")
-    stats = marked.groupBy("asked").agg(F.count("*").alias("df"), F.sum("tf").alias("tokens"))
+    # One row per query term: kept, as both the weights and the mean length come from it.
+    stats = cut_lineage(marked.groupBy("asked").agg(F.count("*").alias("df"), F.sum("tf").alias("tokens")))
     mean_length = stats.agg(F.sum("tokens")).scalar() / n_docs
     frequencies = stats.filter(F.col("asked").isNotNull()).select(F.col("asked").alias("term"), "df")
     idf = F.log(F.lit(1.0) + (n_docs - F.col("df") + 0.5) / (F.col("df") + 0.5))
@@ -91,10 +93,8 @@ def text_scores(
 def rank_text(scores: DataFrame, k: int) -> DataFrame:
     """Best ``k`` per query, scores divided by the query's best so that they lie in (0, 1]."""
     best = top_n(scores, ["qid"], [F.desc("score"), F.asc("doc_id")], k)
-    top = best.filter(F.col("rank") == 1).select("qid", F.col("score").alias("_top"))
-    return best.join(top, "qid").select(
-        "qid", "rank", "doc_id", F.round(F.col("score") / F.col("_top"), 6).alias("score")
-    )
+    top = F.max("score").over(Window.partitionBy("qid"))
+    return best.select("qid", "rank", "doc_id", F.round(F.col("score") / top, 6).alias("score"))
 
 
 def text_search(

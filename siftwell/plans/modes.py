@@ -6,8 +6,10 @@ is a table of ranked results per query (a corpus search or stored responses).
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import datetime
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -21,6 +23,10 @@ from siftwell.operators.topk import rank_by_score, top_n, topk_per_query
 # Scopes each tier accepts.
 CACHE_SCOPES = ("cache_only", "cache_plus_memory")
 MEMORY_SCOPES = ("cache_plus_memory",)
+RESULT_COLUMNS = ["qid", "rank", "doc_id", "content", "score", "origin"]
+LAST_TIER = 99
+
+Ranker = Callable[[DataFrame, int], DataFrame]
 
 
 def fuse_scores(candidates: DataFrame) -> DataFrame:
@@ -100,13 +106,30 @@ def merge_local_foreign(local: DataFrame, foreign: DataFrame) -> DataFrame:
 
 
 def hybrid_search(
-    queries: DataFrame, store: DataFrame, cfg: RetrievalConfig, now: datetime, foreign: DataFrame
+    queries: DataFrame,
+    store: DataFrame,
+    cfg: RetrievalConfig,
+    now: datetime,
+    foreign: DataFrame,
+    ranker: Ranker | None = None,
 ) -> DataFrame:
-    """Local and foreign results ranked together, best ``max_results``."""
+    """Local and foreign results ranked together, best ``max_results``.
+
+    The default ranker needs only scores, so content is joined to the returned rows. Another ranker
+    sees whole candidates.
+    """
     hits = local_tiers(queries, store, cfg, [(F.lit(True), cfg.local_limit)]).drop("tier")
+    fetched = project_foreign(capped_foreign(foreign, cfg.foreign_limit))
+    if ranker is not None:
+        merged = merge_local_foreign(project_local(attach_content(hits, store)), fetched)
+        return top_n(
+            ranker(merged, cfg.max_results).withColumnRenamed("rank", "source_rank"),
+            ["qid"],
+            [F.asc("source_rank")],
+            cfg.max_results,
+        ).select(RESULT_COLUMNS)
     local = project_local(hits.withColumn("content", F.lit(None).cast("string")))
-    merged = merge_local_foreign(local, project_foreign(capped_foreign(foreign, cfg.foreign_limit)))
-    return with_store_content(rank_by_score(merged, cfg.max_results), store)
+    return with_store_content(rank_by_score(merge_local_foreign(local, fetched), cfg.max_results), store)
 
 
 def with_store_content(results: DataFrame, store: DataFrame) -> DataFrame:
@@ -117,6 +140,20 @@ def with_store_content(results: DataFrame, store: DataFrame) -> DataFrame:
     )
 
 
+def pandas_ranker(rank: Callable[[pd.DataFrame, int], pd.DataFrame]) -> Ranker:
+    """A ranker from a function over the candidates of one query, which are at most its local and
+    foreign limits; it returns them in order and may change the score."""
+
+    def ranked(merged: DataFrame, n: int) -> DataFrame:
+        def one_query(candidates: pd.DataFrame) -> pd.DataFrame:
+            best = rank(candidates.sort_values(["origin", "rank"], ascending=[False, True]), n).head(n)
+            return best.assign(rank=range(1, len(best) + 1))
+
+        return merged.groupBy("qid").applyInPandas(one_query, merged.schema)
+
+    return ranked
+
+
 def first_answering_tier(hits: DataFrame) -> DataFrame:
     """Of each query keep the rows of its lowest ``tier``: one hit ends the search."""
     lowest = F.min("tier").over(Window.partitionBy("qid"))
@@ -128,27 +165,48 @@ def tier_fallback(queries: DataFrame, hits: DataFrame) -> DataFrame:
     return queries.join(hits.select("qid").distinct(), "qid", "left_anti")
 
 
-def _tiered(
-    queries: DataFrame,
-    store: DataFrame,
-    cfg: RetrievalConfig,
-    foreign: DataFrame,
-    tiers: list[tuple[Column, int]],
-    thresholds: list[float],
+def cache_tiers(
+    store: DataFrame, cfg: RetrievalConfig, now: datetime
+) -> list[tuple[Column, int, float]]:
+    """Rule, number of rows and least score of each local tier of a cache mode.
+
+    ``freshness_cache`` looks at fresh rows of any scope; ``cache_then_memory`` at fresh scoped rows,
+    then at durable rows of any age.
+    """
+    fresh = filters.is_fresh(store.columns, cfg.cache_ttl_seconds, now, cfg.timestamp_column)
+    if cfg.retrieval_mode == "freshness_cache":
+        return [(fresh, cfg.local_limit, cfg.cache_score_threshold)]
+    scoped = fresh & filters.in_scopes(store.columns, CACHE_SCOPES)
+    durable = filters.in_scopes(store.columns, MEMORY_SCOPES)
+    return [
+        (scoped, cfg.local_limit, cfg.cache_score_threshold),
+        (durable, cfg.memory_limit, cfg.memory_score_threshold),
+    ]
+
+
+def tier_hits(queries: DataFrame, store: DataFrame, cfg: RetrievalConfig, now: datetime) -> DataFrame:
+    """``(tier, qid, rank, doc_id, score)``: rows of every local tier that score enough. The cut to
+    the tier's k comes before the threshold."""
+    tiers = cache_tiers(store, cfg, now)
+    floor = F.element_at(F.array(*[F.lit(least) for _, _, least in tiers]), F.col("tier") + 1)
+    hits = local_tiers(queries, store, cfg, [(rule, k) for rule, k, _ in tiers])
+    return hits.filter(F.col("score") >= floor)
+
+
+def tiered_results(
+    queries: DataFrame, store: DataFrame, cfg: RetrievalConfig, hits: DataFrame, foreign: DataFrame
 ) -> DataFrame:
-    """Local tiers, then foreign results for queries no tier answered.
+    """Rows of each query's first tier that answers, foreign results being the last one.
 
     Every part holds at most its k rows per query, so the tier choice and the final cut are windows
-    over small groups and share one exchange on ``qid``.
+    over small groups and share one exchange on ``qid``. Nothing is topped up or ranked again.
     """
-    floor = F.element_at(F.array(*[F.lit(t) for t in thresholds]), F.col("tier") + 1)
-    hits = local_tiers(queries, store, cfg, tiers).filter(F.col("score") >= floor)
     asked = queries.select("qid").distinct()
     fallback = capped_foreign(foreign.join(asked, "qid", "left_semi"), cfg.foreign_limit)
-    columns = ["qid", "rank", "doc_id", "content", "score", "origin", "tier"]
+    columns = [*RESULT_COLUMNS, "tier"]
     local = hits.withColumn("content", F.lit(None).cast("string")).withColumn("origin", F.lit("local"))
     merged = local.select(columns).unionByName(
-        project_foreign(fallback).withColumn("tier", F.lit(len(tiers))).select(columns)
+        project_foreign(fallback).withColumn("tier", F.lit(LAST_TIER)).select(columns)
     )
     answered = first_answering_tier(merged).withColumnRenamed("rank", "source_rank")
     cut = top_n(answered, ["qid"], [F.asc("source_rank")], cfg.max_results)
@@ -158,21 +216,12 @@ def _tiered(
 def freshness_cache(
     queries: DataFrame, store: DataFrame, cfg: RetrievalConfig, now: datetime, foreign: DataFrame
 ) -> DataFrame:
-    """Fresh rows scoring enough, else foreign results in arrival order. Never topped up, not re-ranked."""
-    fresh = filters.is_fresh(store.columns, cfg.cache_ttl_seconds, now, cfg.timestamp_column)
-    return _tiered(
-        queries, store, cfg, foreign, [(fresh, cfg.local_limit)], [cfg.cache_score_threshold]
-    )
+    """Fresh rows scoring enough, else foreign results in arrival order."""
+    return tiered_results(queries, store, cfg, tier_hits(queries, store, cfg, now), foreign)
 
 
 def cache_then_memory(
     queries: DataFrame, store: DataFrame, cfg: RetrievalConfig, now: datetime, foreign: DataFrame
 ) -> DataFrame:
     """Fresh cache, then durable memory of any age, then foreign results."""
-    fresh = filters.is_fresh(store.columns, cfg.cache_ttl_seconds, now, cfg.timestamp_column)
-    tiers = [
-        (fresh & filters.in_scopes(store.columns, CACHE_SCOPES), cfg.local_limit),
-        (filters.in_scopes(store.columns, MEMORY_SCOPES), cfg.memory_limit),
-    ]
-    thresholds = [cfg.cache_score_threshold, cfg.memory_score_threshold]
-    return _tiered(queries, store, cfg, foreign, tiers, thresholds)
+    return tiered_results(queries, store, cfg, tier_hits(queries, store, cfg, now), foreign)

@@ -111,29 +111,40 @@ def count_where(store: DataFrame, doomed: Column) -> DataFrame:
 class StoreTable:
     """A parquet store kept as numbered versions; readers see the newest complete one.
 
-    A commit writes a new folder and never touches the one being read. A write that dies leaves a
-    folder without a success marker, which no reader sees and the next commit replaces. ``token``
-    names what is being committed, so that repeating a commit after a failure changes nothing.
+    A commit writes a new folder, either the whole store or only rows that are added to it, and never
+    touches a folder being read. A write that dies leaves a folder without a success marker, which no
+    reader sees and the next commit replaces. ``token`` names what is being committed, so that
+    repeating a commit after a failure changes nothing.
     """
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path.rstrip("/")
-        jvm = spark._jvm
-        self._root = jvm.org.apache.hadoop.fs.Path(self.path)
+        self._root = self._hadoop_path(self.path)
         self._fs = self._root.getFileSystem(spark._jsc.hadoopConfiguration())
 
-    def _complete(self) -> list[tuple[int, str, str]]:
+    def _hadoop_path(self, path: str):
+        return self.spark._jvm.org.apache.hadoop.fs.Path(path)
+
+    def _complete(self) -> list[tuple[int, str, str, str]]:
+        """(number, kind, token, folder) of every finished commit, oldest first."""
         if not self._fs.exists(self._root):
             return []
         found = []
         for status in self._fs.listStatus(self._root):
             name = status.getPath().getName()
-            number, _, token = name.partition("-")
-            marker = self.spark._jvm.org.apache.hadoop.fs.Path(status.getPath(), "_SUCCESS")
+            number, kind, token = (name.split("-", 2) + ["", ""])[:3]
+            marker = self._hadoop_path(f"{self.path}/{name}/_SUCCESS")
             if number.isdigit() and self._fs.exists(marker):
-                found.append((int(number), token, name))
+                found.append((int(number), kind, token, name))
         return sorted(found)
 
+    def _current(self) -> list[str]:
+        """Folders of the newest whole store and of the rows added since."""
+        folders: list[str] = []
+        for _, kind, _, name in self._complete():
+            folders = [name] if kind == "all" else [*folders, name]
+        return folders
+
     @property
     def version(self) -> int:
         done = self._complete()
@@ -143,25 +154,37 @@ class StoreTable:
         return self.version > 0
 
     def holds(self, token: str) -> bool:
-        return any(t == token for _, t, _ in self._complete())
+        return any(t == token for _, _, t, _ in self._complete())
 
     def read(self) -> DataFrame:
-        done = self._complete()
-        if not done:
+        folders = self._current()
+        if not folders:
             raise ValueError(f"No store at {self.path}.")
-        return self.spark.read.parquet(f"{self.path}/{done[-1][2]}")
+        return self.spark.read.parquet(*[f"{self.path}/{name}" for name in folders])
 
-    def commit(self, df: DataFrame, token: str = "") -> int:
+    def _commit(self, df: DataFrame, kind: str, token: str) -> int:
         if token and self.holds(token):
             return self.version
         number = self.version + 1
-        df.write.mode("overwrite").parquet(f"{self.path}/{number:010d}-{token}")
+        df.write.mode("overwrite").parquet(f"{self.path}/{number:010d}-{kind}-{token}")
         return number
 
+    def commit(self, df: DataFrame, token: str = "") -> int:
+        """Make ``df`` the store."""
+        return self._commit(df, "all", token)
+
+    def commit_rows(self, df: DataFrame, token: str = "") -> int:
+        """Add the rows of ``df``, which has the store's columns."""
+        return self._commit(df, "add", token)
+
     def prune(self, keep: int = 2) -> None:
-        """Drop all but the newest ``keep`` versions, when no reader needs them any more."""
-        for _, _, name in self._complete()[:-keep]:
-            self._fs.delete(self.spark._jvm.org.apache.hadoop.fs.Path(self._root, name), True)
+        """Drop folders older than the newest ``keep`` whole stores, when nobody reads them any more."""
+        done = self._complete()
+        whole = [number for number, kind, _, _ in done if kind == "all"]
+        oldest = whole[-keep] if len(whole) >= keep else 0
+        for number, _, _, name in done:
+            if number < oldest:
+                self._fs.delete(self._hadoop_path(f"{self.path}/{name}"), True)
 
 
 def ensure_index(table: StoreTable, build) -> bool:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from siftwell.config import RetrievalConfig
-from siftwell.operators.lifecycle import Embedder, write_through
+from siftwell.operators.lifecycle import Embedder, save_to_table
 from siftwell.operators.metrics import rate_columns
 from siftwell.session import scratch_path
 from siftwell.sources.store import StoreTable
@@ -40,7 +40,7 @@ def stream_write_through(
     def save(batch: DataFrame, batch_id: int) -> None:
         token = f"{name}-{batch_id}"
         if not table.holds(token):
-            table.commit(write_through(table.read(), prepare(batch), cfg, now, embed), token)
+            save_to_table(table, prepare(batch), cfg, now, embed, token=token)
 
     return (
         foreign.writeStream.foreachBatch(save)
