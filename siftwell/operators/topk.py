@@ -120,6 +120,6 @@ def result_preview(results: DataFrame, n: int = 5) -> DataFrame:
         "qid",
         "rank",
         F.coalesce("origin", F.lit("")).alias("origin"),
-        F.coalesce(F.format_string("%.4f", F.col("score")), F.lit("")).alias("score"),
+        F.when(F.col("score").isNotNull(), F.format_string("%.4f", "score")).otherwise("").alias("score"),
         preview_text(F.coalesce("content", F.lit(""))).alias("preview"),
     )
