@@ -76,7 +76,7 @@ def _spread(rows: np.ndarray, query: np.ndarray, metric: str) -> np.ndarray:
     return np.sqrt(squared) if metric == "euclidean" else squared
 
 
-def _best(hits: Hits, k: int) -> Hits:
+def best_hits(hits: Hits, k: int) -> Hits:
     """The k best of each query: score descending, then id."""
     q, d, s = hits
     order = np.lexsort((d, -s, q))
@@ -87,7 +87,7 @@ def _best(hits: Hits, k: int) -> Hits:
     return q[keep], d[keep], s[keep]
 
 
-def _candidates(score: np.ndarray, ids: np.ndarray, k: int) -> Hits:
+def top_candidates(score: np.ndarray, ids: np.ndarray, k: int) -> Hits:
     """Pairs at or above each query's k-th score in this slice."""
     score = np.where(np.isnan(score), -np.inf, score)
     if score.shape[1] > k:
@@ -95,7 +95,7 @@ def _candidates(score: np.ndarray, ids: np.ndarray, k: int) -> Hits:
         q, r = np.nonzero(score >= floor)
     else:
         q, r = (a.ravel() for a in np.indices(score.shape))
-    return _best((q, ids[r], score[q, r]), k)
+    return best_hits((q, ids[r], score[q, r]), k)
 
 
 class _Scorer:
@@ -116,9 +116,9 @@ class _Scorer:
             for tier, k in enumerate(self.ks):
                 mask = eligible[tier][part]
                 if mask.any():
-                    new = _candidates(score[:, mask], ids[part][mask], k)
+                    new = top_candidates(score[:, mask], ids[part][mask], k)
                     joined = tuple(np.concatenate(pair) for pair in zip(self.best[tier], new))
-                    self.best[tier] = _best(joined, k)
+                    self.best[tier] = best_hits(joined, k)
 
     def table(self) -> pa.Table:
         tiers = np.concatenate([np.full(len(b[0]), t, np.int32) for t, b in enumerate(self.best)])

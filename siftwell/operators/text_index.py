@@ -1,23 +1,30 @@
 """Inverted index tables and BM25 ranking (Robertson and Zaragoza 2009).
 
-Postings are partitioned by document. A query meets its terms inside each partition, a document's
-score is summed where its postings lie, and only the best k per query and partition are shuffled. A
-term that occurs in most documents is therefore never gathered in one task.
+A search takes one of two ways, by the measured size of its query terms. Few enough to be sent to every
+task: the texts are scanned where they lie (:mod:`siftwell.operators.text_scan`). More: postings are
+partitioned by document and joined to the terms. In both, a document's score is summed in its own
+partition and only the best k per query and partition are shuffled, so a term that occurs in most
+documents is never gathered in one task.
 """
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from siftwell.functions.text import sanitize_text_query, words
+from siftwell.functions.text import quoted_phrases, sanitize_text_query, words
 from siftwell.operators.sizing import BROADCAST_BYTES, measured_bytes
+from siftwell.operators.text_scan import lowered_texts, pack_weights, scan_frequencies, scan_scores
 from siftwell.operators.topk import top_n
 from siftwell.session import cut_lineage
 
 # BM25 parameters.
 K1 = 1.2
 B = 0.75
+# What a row of (qid, term, idf) takes besides its term.
+TERM_BYTES = 40
 
 
 def text_postings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "content") -> DataFrame:
@@ -71,7 +78,7 @@ def text_scores(
     """
     terms = query_terms(queries)
     # A weight row is its term, a qid and two numbers, so this measures what would be broadcast.
-    small = measured_bytes(terms, F.octet_length("term") + 40) <= budget
+    small = measured_bytes(terms, F.octet_length("term") + F.lit(TERM_BYTES)) <= budget
     hint = F.broadcast if small else (lambda df: df)
     wanted = hint(terms.select("term").distinct())
     marked = postings.join(wanted.withColumn("asked", F.col("term")), "term", "left")
@@ -97,6 +104,50 @@ def rank_text(scores: DataFrame, k: int) -> DataFrame:
     return best.select("qid", "rank", "doc_id", F.round(F.col("score") / top, 6).alias("score"))
 
 
+def scanned_scores(
+    docs: DataFrame,
+    queries: DataFrame,
+    terms: DataFrame,
+    k: int,
+    eligible: Column | None,
+    id_col: str,
+    text_col: str,
+    phrases: bool,
+) -> DataFrame:
+    """Best ``k`` scores per query and partition, by scanning the texts where they lie.
+
+    ``terms`` measured small, and everything gathered here is one row per term of it.
+    """
+    wanted = [r["term"] for r in terms.select("term").distinct().toLocalIterator()]
+    counted = scan_frequencies(lowered_texts(docs, id_col, text_col), wanted)
+    n_docs = document_count(docs, text_col)
+    stats = counted.withColumn("n_docs", n_docs).toPandas()
+    total = stats[stats["term"].isna()]
+    n, tokens = int(total["n_docs"].iloc[0]), int(total["tokens"].iloc[0])
+    found = stats[stats["term"].notna() & (stats["df"] > 0)].set_index("term")["df"]
+    asked = terms.toPandas()
+    asked = asked[asked["term"].isin(found.index)]
+    df = found.reindex(asked["term"]).to_numpy()
+    weights = pa.table(
+        {"qid": asked["qid"].to_numpy(), "term": asked["term"].to_numpy(), "idf": np.log(1.0 + (n - df + 0.5) / (df + 0.5))},
+        schema=pa.schema([("qid", pa.int64()), ("term", pa.string()), ("idf", pa.float64())]),
+    )
+    quoted: list[tuple[int, str]] = []
+    if phrases:
+        rows = queries.select("qid", F.explode_outer(quoted_phrases(F.col("query"))).alias("p"))
+        quoted = [(r["qid"], r["p"]) for r in rows.select("qid", F.lower("p").alias("p")).collect() if r["p"] is not None]
+    packed = pack_weights(weights, tokens / max(n, 1), quoted)
+    return scan_scores(lowered_texts(docs, id_col, text_col, eligible), packed, k, K1, B)
+
+
+def with_phrases(scores: DataFrame, docs: DataFrame, queries: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """Scores of documents holding every quoted phrase of their query."""
+    asked = queries.select("qid", quoted_phrases(F.col("query")).alias("_phrases"))
+    texts = docs.select(F.col(id_col).alias("doc_id"), F.lower(text_col).alias("_lowered"))
+    holds = F.forall("_phrases", lambda p: F.contains(F.col("_lowered"), F.lower(p)))
+    return scores.join(asked, "qid").join(texts, "doc_id").filter(holds).select("qid", "doc_id", "score")
+
+
 def text_search(
     docs: DataFrame,
     queries: DataFrame,
@@ -104,15 +155,33 @@ def text_search(
     eligible: Column | None = None,
     id_col: str = "doc_id",
     text_col: str = "content",
+    phrases: bool = False,
     budget: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """``(qid, rank, doc_id, score)``: best documents matching any query term.
 
-    Statistics cover all of ``docs``; ``eligible`` only limits which documents are returned.
+    Statistics cover all of ``docs``; ``eligible`` only limits which documents are returned. With
+    ``phrases``, a document must hold every quoted phrase of the query. Query terms that measure at
+    most ``budget`` bytes are sent to a scan of the texts; more are joined to postings.
     """
-    postings = text_postings(docs, id_col, text_col)
-    scores = text_scores(postings, document_count(docs, text_col), queries, budget)
+    if k < 1:
+        return docs.sparkSession.createDataFrame([], "qid long, rank int, doc_id long, score double")
+    terms = query_terms(queries)
+    size = measured_bytes(terms, F.octet_length("term") + F.lit(TERM_BYTES))
+    if phrases:
+        size += measured_bytes(queries, F.octet_length("query"))
+    if size <= budget:
+        return rank_text(scanned_scores(docs, queries, terms, k, eligible, id_col, text_col, phrases), k)
+    scores = text_scores(text_postings(docs, id_col, text_col), document_count(docs, text_col), queries, budget)
     if eligible is not None:
         allowed = docs.filter(eligible).select(F.col(id_col).alias("doc_id"))
         scores = scores.join(allowed, "doc_id", "left_semi")
+    if phrases:
+        scores = with_phrases(scores, docs, queries, id_col, text_col)
     return rank_text(scores, k)
+
+
+def save_postings(postings: DataFrame, table: str, path: str, buckets: int) -> DataFrame:
+    """Postings as a table bucketed by document, so that searches on it shuffle no postings."""
+    postings.write.mode("overwrite").option("path", path).bucketBy(buckets, "doc_id").saveAsTable(table)
+    return postings.sparkSession.table(table)

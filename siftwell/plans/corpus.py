@@ -8,9 +8,8 @@ from datetime import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siftwell.functions.text import quoted_phrases
 from siftwell.operators import filters
-from siftwell.operators.text_index import document_count, rank_text, text_postings, text_scores
+from siftwell.operators.text_index import text_search
 
 
 @dataclass(frozen=True)
@@ -45,20 +44,10 @@ def exact_match(queries: DataFrame, results: DataFrame) -> DataFrame:
 def table_search(queries: DataFrame, corpus: DataFrame, params: SearchParams, now: datetime) -> DataFrame:
     """``(qid, rank, url, title, content, score)``: best matches among pages passing the filters.
 
-    Statistics cover the pages that pass. Phrases are tested where a page's score is made, on the
-    same partitioning by document, and before the cut to ``max_results``.
+    Statistics cover the pages that pass. Phrases are tested before the cut to ``max_results``.
     """
     pages = eligible_pages(corpus, params, now)
-    postings = text_postings(pages)
-    scores = text_scores(postings, document_count(pages), queries)
-    if params.exact_match:
-        phrases = queries.select("qid", quoted_phrases(F.col("query")).alias("_phrases"))
-        quoted = scores.join(phrases, "qid").join(
-            pages.select("doc_id", F.lower("content").alias("_lowered")), "doc_id"
-        )
-        holds = F.forall("_phrases", lambda p: F.contains(F.col("_lowered"), F.lower(p)))
-        scores = quoted.filter(holds).select("qid", "doc_id", "score")
-    ranked = rank_text(scores, params.max_results)
+    ranked = text_search(pages, queries, params.max_results, phrases=params.exact_match)
     return ranked.join(pages.select("doc_id", "url", "title", "content"), "doc_id").select(
         "qid", "rank", "doc_id", "url", "title", "content", "score"
     )
