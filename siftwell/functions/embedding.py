@@ -2,49 +2,49 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import hashlib
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from siftwell.functions.text import words
-
-
-def hash_components(df: DataFrame, id_col: str, text_col: str, dim: int) -> DataFrame:
-    """Non-zero components ``(id, idx, value)`` before normalisation; ``idx`` is NULL for no tokens.
-
-    The rows are hashed on the id once, so counting per component and building the vector both
-    happen in the same partitions.
-    """
-    digest = F.sha2(F.col("token"), 256)
-    first_bytes = F.conv(F.substring(digest, 1, 8), 16, 10).cast("long")
-    sign_byte = F.conv(F.substring(digest, 9, 2), 16, 10).cast("int")
-    return (
-        df.select(id_col, text_col)
-        .repartition(id_col)
-        .select(id_col, F.explode_outer(words(F.col(text_col))).alias("token"))
-        .select(
-            id_col,
-            F.pmod(first_bytes, F.lit(dim)).cast("int").alias("idx"),
-            F.when(sign_byte % 2 == 0, 1.0).otherwise(-1.0).alias("sign"),
-        )
-        .groupBy(id_col, "idx")
-        .agg(F.sum("sign").alias("value"))
-    )
-
-
-def hash_embedding(
-    df: DataFrame, id_col: str, text_col: str, dim: int, out_col: str = "embeddings"
-) -> DataFrame:
-    """``(id, vector)`` per row: unit length, or all zeros for a text without tokens."""
-    parts = hash_components(df, id_col, text_col, dim).groupBy(id_col).agg(
-        F.sqrt(F.sum(F.when(F.col("idx").isNotNull(), F.col("value") * F.col("value")))).alias("norm"),
-        F.map_from_entries(
-            F.collect_list(F.when(F.col("idx").isNotNull(), F.struct("idx", "value")))
-        ).alias("parts"),
-    )
-    filled = F.transform(
-        F.sequence(F.lit(0), F.lit(dim - 1)),
-        lambda i: F.coalesce(
-            F.when(F.col("norm") > 0, F.try_element_at(F.col("parts"), i) / F.col("norm")), F.lit(0.0)
-        ).cast("float"),
-    )
-    return parts.select(id_col, filled.alias(out_col))
+from siftwell.functions.text import LOWER_WORD
+
+BETWEEN_WORDS = LOWER_WORD.replace("[", "[^")
+
+
+def _component(token: str, dim: int) -> tuple[int, float]:
+    """Position from the first four bytes of the token's SHA-256, sign from the fifth."""
+    digest = hashlib.sha256(token.encode("utf-8")).digest()
+    return int.from_bytes(digest[:4], "big") % dim, 1.0 - 2.0 * (digest[4] % 2)
+
+
+def hash_vectors(lowered: pa.Array, dim: int) -> np.ndarray:
+    """One row per text: summed components at unit length, or zeros for a text without tokens. Each
+    distinct token of a batch is hashed once."""
+    lists = pc.split_pattern_regex(pc.fill_null(lowered, ""), BETWEEN_WORDS)
+    row = pc.list_parent_indices(lists).to_numpy()
+    coded = lists.flatten().dictionary_encode()
+    names = coded.dictionary.to_pylist()
+    parts = [_component(name, dim) if name else (0, 0.0) for name in names]
+    place = np.array([p for p, _ in parts], np.int64)
+    sign = np.array([s for _, s in parts])
+    code = coded.indices.to_numpy()
+    cells = np.bincount(row * np.int64(dim) + place[code], sign[code], len(lowered) * dim)
+    vectors = cells.reshape(len(lowered), dim)
+    norms = np.sqrt((vectors * vectors).sum(axis=1, keepdims=True))
+    return vectors / np.where(norms == 0, 1.0, norms)
+
+
+def hash_embedding(text: Column, dim: int) -> Column:
+    """Vector of a text, computed per Arrow batch where the text lies; nothing is shuffled."""
+
+    @F.arrow_udf("array<float>")
+    def embed(lowered: pa.Array) -> pa.Array:
+        vectors = hash_vectors(lowered, dim).astype(np.float32)
+        offsets = np.arange(len(lowered) + 1, dtype=np.int32) * dim
+        return pa.ListArray.from_arrays(pa.array(offsets), pa.array(vectors.ravel()))
+
+    return embed(F.lower(text))

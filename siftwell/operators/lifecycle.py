@@ -24,11 +24,7 @@ RESULT_FIELDS = ("title", "url", "content", "score", "raw_content")
 
 def hashing_embedder(dim: int) -> Embedder:
     """Default embedder: adds an ``embeddings`` column by feature hashing."""
-
-    def embed(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-        return df.join(hash_embedding(df, id_col, text_col, dim), id_col)
-
-    return embed
+    return column_embedder(lambda text: hash_embedding(text, dim))
 
 
 def column_embedder(expression: Callable[[Column], Column]) -> Embedder:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from siftwell.functions import html, urls
 from siftwell.functions.text import words
 from siftwell.operators.filters import follows_url_rules
+from siftwell.operators.sizing import spread
 from siftwell.operators.topk import top_n
 from siftwell.session import cut_lineage
 
@@ -18,7 +19,8 @@ def page_links(pages: DataFrame) -> DataFrame:
     """``(page_id, url, link_pos, dst_url)``: every web link of every page, in absolute form."""
     links = F.posexplode_outer(html.html_links(F.col("html"))).alias("link_pos", "href")
     return (
-        pages.select("page_id", "url", links)
+        spread(pages.select("page_id", "url", "html"))
+        .select("page_id", "url", links)
         .filter(F.col("href").isNotNull())
         .withColumn("dst_url", urls.resolve(F.col("url"), F.col("href")))
         .filter(F.col("dst_url").rlike("^https?://"))
@@ -55,7 +57,10 @@ def discover_urls(pages: DataFrame) -> DataFrame:
 def extract_match(requested: DataFrame, pages: DataFrame) -> DataFrame:
     """``requested`` with ``page_id`` and ``status``: ok where the URL is known, else failed."""
     wanted = requested.withColumn("match_url", urls.normalize(F.col("url")))
-    return wanted.join(known_urls(pages), "match_url", "left").drop("match_url").withColumn(
+    asked = pages.withColumn("match_url", urls.normalize(F.col("url"))).join(
+        wanted.select("match_url").distinct(), "match_url", "left_semi"
+    )
+    return wanted.join(known_urls(asked), "match_url", "left").drop("match_url").withColumn(
         "status", F.when(F.col("page_id").isNotNull(), "ok").otherwise("failed")
     )
 
@@ -69,7 +74,8 @@ def extract(requested: DataFrame, pages: DataFrame, format: str = "text", images
         columns.append(body.getField("images").alias("images"))
     matched = extract_match(requested, pages)
     needed = matched.select("page_id").distinct()
-    parsed = pages.join(needed, "page_id", "left_semi").select("page_id", *columns)
+    bodies = spread(pages.select("page_id", "html"))
+    parsed = bodies.join(needed, "page_id", "left_semi").select("page_id", *columns)
     names = [name for name in parsed.columns if name != "page_id"]
     return matched.join(parsed, "page_id", "left").select(*requested.columns, "page_id", "status", *names)
 

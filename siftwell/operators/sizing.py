@@ -16,3 +16,16 @@ def measured_bytes(df: DataFrame, row_bytes: Column) -> int:
 def broadcast_if_small(df: DataFrame, row_bytes: Column, limit: int = BROADCAST_BYTES) -> DataFrame:
     """``df`` with a broadcast hint when it measures at most ``limit`` bytes, else as it is."""
     return F.broadcast(df) if measured_bytes(df, row_bytes) <= limit else df
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` dealt over all cores when it is too small to fill them by itself.
+
+    A table of fewer full-size file splits than cores is read by few tasks, which then do all of the
+    per-row work. A large one has splits enough and is left where it lies: no shuffle.
+    """
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    split = 128 << 20
+    estimate = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    return df.repartition(cores) if estimate < cores * split else df

@@ -118,14 +118,13 @@ def scanned_scores(
 
     ``terms`` measured small, and everything gathered here is one row per term of it.
     """
-    wanted = [r["term"] for r in terms.select("term").distinct().toLocalIterator()]
-    counted = scan_frequencies(lowered_texts(docs, id_col, text_col), wanted)
+    asked = terms.toPandas()
+    counted = scan_frequencies(lowered_texts(docs, id_col, text_col), asked["term"].unique().tolist())
     n_docs = document_count(docs, text_col)
     stats = counted.withColumn("n_docs", n_docs).toPandas()
     total = stats[stats["term"].isna()]
     n, tokens = int(total["n_docs"].iloc[0]), int(total["tokens"].iloc[0])
     found = stats[stats["term"].notna() & (stats["df"] > 0)].set_index("term")["df"]
-    asked = terms.toPandas()
     asked = asked[asked["term"].isin(found.index)]
     df = found.reindex(asked["term"]).to_numpy()
     weights = pa.table(

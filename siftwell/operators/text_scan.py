@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from siftwell.functions.text import LOWER_WORD
 from siftwell.operators.knn import Hits, best_hits, top_candidates
+from siftwell.operators.sizing import spread
 
 SCORES = "qid long, doc_id long, score double"
 COUNTS = "term string, df long, tokens long"
@@ -123,4 +124,5 @@ def scan_scores(texts: DataFrame, weights: Weights, k: int, k1: float, b: float)
 
 def lowered_texts(docs: DataFrame, id_col: str, text_col: str, eligible: Column | None = None) -> DataFrame:
     rows = docs if eligible is None else docs.filter(eligible)
-    return rows.select(F.col(id_col).cast("long").alias("doc_id"), F.lower(text_col).alias("lowered"))
+    texts = rows.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("_text"))
+    return spread(texts).select("doc_id", F.lower("_text").alias("lowered"))

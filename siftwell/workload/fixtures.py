@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siftwell.functions import html, urls
+from siftwell.operators.sizing import spread
 
 NOW = datetime(2024, 1, 31)
 TAG = "web"
@@ -106,7 +107,7 @@ def corpus_from(pages: DataFrame) -> DataFrame:
     """Pages as a searchable corpus."""
     p = F.col("page_id")
     now = F.lit(NOW).cast("timestamp_ntz")
-    return pages.select(
+    return spread(pages).select(
         p.alias("doc_id"),
         "url",
         html.html_title(F.col("html")).alias("title"),

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from siftwell.config import RetrievalConfig
 from siftwell.functions.embedding import hash_embedding
 from siftwell.operators import filters, lifecycle, topk
+from siftwell.operators.sizing import spread
 from siftwell.sources import store as st
 from siftwell.workload import fixtures as fx
 from siftwell.workload.fixtures import F_, NOW, S, SIM, TAG, stamp
@@ -207,8 +208,9 @@ hash_vectors AS (SELECT doc_id, list(value ORDER BY idx) AS embeddings FROM hash
     + " SELECT doc_id, idx, round(value::DOUBLE, 6) AS value FROM hash_cells",
 )
 def hash_embedding_query(spark, sf):
-    vectors = hash_embedding(fx.table(spark, sf, "documents"), "doc_id", "text", fx.DIM)
-    return vectors.select("doc_id", F.posexplode("embeddings").alias("idx", "value")).select(
+    docs = spread(fx.table(spark, sf, "documents").select("doc_id", "text"))
+    vectors = docs.select("doc_id", hash_embedding(F.col("text"), fx.DIM).alias("embeddings"))
+    return vectors.select("doc_id", F.posexplode_outer("embeddings").alias("idx", "value")).select(
         "doc_id", F.col("idx").cast("long").alias("idx"), F.round(F.col("value").cast("double"), 6).alias("value")
     )
 

@@ -12,6 +12,7 @@ from siftwell.operators.metrics import origin_counts
 from siftwell.plans import modes
 from siftwell.sources import responses as rs
 from siftwell.sources import store as st
+from siftwell.workload import fixtures as fx
 
 NOW = datetime(2024, 1, 31)
 HOUR = timedelta(hours=1)
@@ -373,6 +374,33 @@ def test_text_search_small(spark):
     assert sorted(map(tuple, shuffled)) == sorted(map(tuple, rows))
 
 
+@pytest.mark.parametrize("phrases", [False, True])
+def test_both_ways_of_text_search_agree(spark, phrases):
+    sf = "/root/testdata/sf0.001"
+    docs, asked = fx.table(spark, sf, "documents"), fx.table(spark, sf, "benchmark")
+    first = F.regexp_extract("text", "^[A-Za-z]+", 0)
+    queries = asked.select(F.col("item_id").alias("qid"), F.concat(F.lit('"'), first, F.lit('" '), "text").alias("query"))
+    rule = F.col("doc_id") % 3 != 0
+    found = [
+        sorted(map(tuple, text_index.text_search(docs, queries, 7, rule, text_col="text", phrases=phrases, budget=b).collect()))
+        for b in (1 << 26, 0)
+    ]
+    assert found[0] == found[1] and len(found[0]) > 100
+
+
+def test_bucketed_postings_are_not_shuffled(spark, tmp_path):
+    docs = fx.table(spark, "/root/testdata/sf0.001", "documents")
+    queries = spark.createDataFrame([(1, "the house"), (2, "of")], "qid long, query string")
+    fresh = text_index.text_postings(docs, "doc_id", "text")
+    stored = text_index.save_postings(fresh, "postings_test", str(tmp_path / "postings"), 4)
+    n_docs = text_index.document_count(docs, "text")
+    scores = text_index.text_scores(stored, n_docs, queries)
+    assert "hashpartitioning(doc_id" not in scores._jdf.queryExecution().executedPlan().toString()
+    got = sorted(map(tuple, text_index.rank_text(scores, 5).collect()))
+    assert got == sorted(map(tuple, text_index.text_search(docs, queries, 5, text_col="text").collect()))
+    spark.sql("DROP TABLE postings_test")
+
+
 def test_native_hybrid_without_words_is_vector_only(spark):
     store = spark.createDataFrame([(1, "x", [1.0, 0.0]), (2, "y", [0.0, 1.0])], "doc_id long, content string, embeddings array<float>")
     queries = spark.createDataFrame([(1, "?", [1.0, 0.1]), (2, "y", [1.0, 0.0])], "qid long, query string, qvec array<float>")
