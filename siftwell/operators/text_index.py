@@ -123,7 +123,7 @@ def scanned_scores(
     n_docs = document_count(docs, text_col)
     stats = counted.withColumn("n_docs", n_docs).toPandas()
     total = stats[stats["term"].isna()]
-    n, tokens = int(total["n_docs"].iloc[0]), int(total["tokens"].iloc[0])
+    n, tokens = int(total["n_docs"].sum()), int(total["tokens"].sum())
     found = stats[stats["term"].notna() & (stats["df"] > 0)].set_index("term")["df"]
     asked = asked[asked["term"].isin(found.index)]
     df = found.reindex(asked["term"]).to_numpy()

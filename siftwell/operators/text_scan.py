@@ -81,7 +81,7 @@ class Weights:
         entry = first + np.arange(fan.sum())
         cell = np.repeat(row, fan) * len(self.qids) + self.query[entry]
         size = len(lowered) * len(self.qids)
-        score = np.bincount(cell, np.repeat(saturation, fan) * self.idf[entry], size)
+        score = np.bincount(cell, np.repeat(saturation, fan) * self.idf[entry], size).astype(np.float64)
         score[np.bincount(cell, minlength=size) == 0] = np.nan
         score = score.reshape(len(lowered), len(self.qids)).T
         for query, phrase in self.phrases:
