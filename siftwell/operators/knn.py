@@ -198,8 +198,9 @@ def knn_tiers(
     one_of(metric, METRICS, "metric")
     spark = store.sparkSession
     wanted = [(i, rule, k) for i, (rule, k) in enumerate(tiers) if k >= 1]
+    nothing = spark.createDataFrame([], "tier int, qid long, rank int, doc_id long, score double")
     if not wanted:
-        return spark.createDataFrame([], "tier int, qid long, rank int, doc_id long, score double")
+        return nothing
     ks = [k for _, _, k in wanted]
     rows = _eligible_rows(store, [(rule, k) for _, rule, k in wanted], id_col, vec_col)
     q = queries.filter(F.col("qvec").isNotNull()).select(
@@ -208,6 +209,8 @@ def knn_tiers(
     n_queries, q_bytes = q.agg(
         F.count("*"), F.coalesce(F.sum(F.size("qvec").cast("long") * 8 + 8), F.lit(0))
     ).first()
+    if n_queries == 0:
+        return nothing
     if q_bytes <= budget:
         scored = _scan_scored(rows, q, ks, metric)
     else:
