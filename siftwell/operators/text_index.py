@@ -120,10 +120,9 @@ def scanned_scores(
     """
     asked = terms.toPandas()
     counted = scan_frequencies(lowered_texts(docs, id_col, text_col), asked["term"].unique().tolist())
-    n_docs = document_count(docs, text_col)
-    stats = counted.withColumn("n_docs", n_docs).toPandas()
+    stats = counted.toPandas()
     total = stats[stats["term"].isna()]
-    n, tokens = int(total["n_docs"].sum()), int(total["tokens"].sum())
+    n, tokens = int(total["df"].sum()), int(total["tokens"].sum())
     found = stats[stats["term"].notna() & (stats["df"] > 0)].set_index("term")["df"]
     asked = asked[asked["term"].isin(found.index)]
     df = found.reindex(asked["term"]).to_numpy()

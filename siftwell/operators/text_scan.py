@@ -38,19 +38,21 @@ def term_counts(lowered: pa.Array, terms: pa.Array) -> tuple[np.ndarray, np.ndar
 
 
 def scan_frequencies(texts: DataFrame, terms: list[str]) -> DataFrame:
-    """``(term, df, tokens)`` of the given terms; the row without a term holds all tokens."""
+    """``(term, df, tokens)`` of the given terms. The row without a term is about the whole corpus:
+    its ``df`` is the number of texts, its ``tokens`` all of their tokens."""
     wanted = texts.sparkSession.sparkContext.broadcast(sorted(terms))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = pa.array(wanted.value, pa.string())
-        df, total = np.zeros(len(names), np.int64), 0
+        df, n_texts, total = np.zeros(len(names), np.int64), 0, 0
         for batch in batches:
             if batch.num_rows:
                 _, term, _, length = term_counts(batch.column("lowered"), names)
                 df += np.bincount(term, minlength=len(names))
+                n_texts += len(batch.column("lowered")) - batch.column("lowered").null_count
                 total += int(length.sum())
         yield pa.record_batch(
-            [pa.concat_arrays([names, pa.nulls(1, pa.string())]), pa.array([*df, 0], pa.int64()),
+            [pa.concat_arrays([names, pa.nulls(1, pa.string())]), pa.array([*df, n_texts], pa.int64()),
              pa.array([0] * len(names) + [total], pa.int64())],
             names=["term", "df", "tokens"],
         )

@@ -177,6 +177,10 @@ class StoreTable:
         """Add the rows of ``df``, which has the store's columns."""
         return self._commit(df, "add", token)
 
+    def compact(self) -> int:
+        """Write the store anew as one folder, after many small additions."""
+        return self.commit(self.read())
+
     def prune(self, keep: int = 2) -> None:
         """Drop folders older than the newest ``keep`` whole stores, when nobody reads them any more."""
         done = self._complete()

@@ -75,6 +75,7 @@ def test_versions(spark, tmp_path):
     (tmp_path / "table" / "0000000003-all-").mkdir()
     assert table.version == 2 and table.read().count() == 6
     assert table.commit(table.read().filter("doc_id > 0")) == 3 and table.read().count() == 4
+    assert table.compact() == 4 and table.read().count() == 4
     table.prune(1)
     assert table.read().count() == 4 and len(list((tmp_path / "table").iterdir())) == 1
 
