@@ -10,7 +10,6 @@ from siftwell.config import COMPANY_TOPICS
 from siftwell.functions import html, text
 from siftwell.operators import filters, metrics, results, site, topk
 from siftwell.plans import corpus as cp
-from siftwell.plans import modes
 from siftwell.sources import responses as rs
 from siftwell.workload import fixtures as fx
 from siftwell.workload import retrieval as rt
