@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from siftwell.llm import byte_bpe, exact, mixing, quality, token_counts, warc
+from siftwell.llm import byte_bpe, exact, mixing, ngram_join, quality, token_counts, warc
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -20,6 +20,11 @@ def documents(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/documents.parquet")
 
 
+@query
+def op1_ngram_join(spark: SparkSession, sf: str) -> DataFrame:
+    return ngram_join.near_duplicates(documents(spark, sf))
+
+
 @query
 def op2_byte_bpe(spark: SparkSession, sf: str) -> DataFrame:
     return byte_bpe.round_trip(documents(spark, sf), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
