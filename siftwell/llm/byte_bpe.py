@@ -373,3 +373,31 @@ def round_trip(docs: DataFrame, ranks_path: str, id_column: str = "doc_id", text
 
     schema = f"`{id_column}` {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string"
     return docs.select(id_column, text_column).mapInArrow(run, schema)
+
+
+def encode_documents(docs: DataFrame, ranks_path: str, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """Every column of ``docs`` but the text, which is replaced by its ``ids``, ``n_tokens`` and the SHA-256 of the
+    bytes that the ids decode to. A row that decodes to other bytes than its text had is an error. Columns of ``docs``
+    with one of these three names give way."""
+    added = ["ids", "n_tokens", "decoded_sha256"]
+    kept = [c for c in docs.columns if c not in (text_column, *added)]
+    fields = [f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in kept]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bpe = load(ranks_path)
+        for batch in batches:
+            for chunk in slices.chunks(batch.column(len(kept))):
+                ids, edges = bpe.encode_chunk(chunk)
+                plain = bpe.decode_flat(ids)
+                if not np.array_equal(plain, chunk.data):
+                    raise ValueError("Decoding does not give back the text.")
+                view = memoryview(plain)
+                digests = [sha256(view[a:b]).hexdigest() for a, b in zip(chunk.offsets.tolist(), chunk.offsets[1:].tolist())]
+                rest = batch.slice(chunk.first, chunk.docs)
+                yield pa.RecordBatch.from_arrays(
+                    [*(rest.column(k) for k in range(len(kept))), slices.gather(ids, edges), pa.array(np.diff(edges)), pa.array(digests)],
+                    [*kept, *added],
+                )
+
+    schema = ", ".join([*fields, "ids array<int>", "n_tokens long", "decoded_sha256 string"])
+    return docs.select(*kept, text_column).mapInArrow(run, schema)
