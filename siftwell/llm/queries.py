@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from siftwell.llm import byte_bpe, exact, mixing, ngram_join, quality, token_counts, warc
+from siftwell.llm import byte_bpe, exact, line_dedup, mixing, ngram_join, quality, token_counts, warc
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -46,6 +46,26 @@ def op4_token_counts(spark: SparkSession, sf: str) -> DataFrame:
     return token_counts.budget(documents(spark, sf), public_tokenizers.path("piece_bpe_32k.model"), 4096)
 
 
+@query
+def op6_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return line_dedup.report(documents(spark, sf))
+
+
+SQL["op6_line_dedup"] = r"""
+WITH split AS (SELECT doc_id, text, string_split(text, chr(10)) AS lines FROM documents),
+line AS (SELECT doc_id, unnest(generate_series(1, len(lines) - 2)) AS pos, lines FROM split WHERE len(lines) >= 3),
+win AS (
+  SELECT doc_id, pos, array_to_string(lines[pos : pos + 2], chr(10)) AS key FROM line
+  WHERE regexp_matches(lines[pos] || lines[pos + 1] || lines[pos + 2], '[^\x20\x09-\x0D]')),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY key ORDER BY doc_id, pos) AS k FROM win),
+gone AS (SELECT DISTINCT doc_id, unnest([pos, pos + 1, pos + 2]) AS pos FROM ranked WHERE k > 1),
+removed AS (SELECT doc_id, list(pos) AS ats FROM gone GROUP BY doc_id)
+SELECT doc_id, CASE WHEN text IS NULL THEN 0 ELSE len(lines) END AS n_lines, coalesce(len(ats), 0) AS n_removed,
+  sha256(CASE WHEN ats IS NULL THEN text ELSE array_to_string(
+    [lines[i] for i in generate_series(1, len(lines)) if NOT list_contains(ats, i)], chr(10)) END) AS text_sha256
+FROM split LEFT JOIN removed USING (doc_id)"""
+
+
 @query
 def op7_warc(spark: SparkSession, sf: str) -> DataFrame:
     pages = spark.read.parquet(f"{sf}/pages.parquet")
