@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from siftwell.llm import byte_bpe, exact, line_dedup, mixing, ngram_join, quality, token_counts, warc
+from siftwell.llm import byte_bpe, exact, line_dedup, mixing, ngram_join, passages, quality, token_counts, warc
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -83,6 +83,11 @@ SELECT page_id, payload_bytes, payload_digest,
 FROM told"""
 
 
+@query
+def op8_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return passages.near_passages(documents(spark, sf))
+
+
 @query
 def op9_quality(spark: SparkSession, sf: str) -> DataFrame:
     return quality.judge(documents(spark, sf))
