@@ -258,6 +258,14 @@ class ByteBPE:
         self.cache.update(zip(pieces, out))
         return out
 
+    def ids_of(self, pieces: list[bytes]) -> list[tuple[int, ...]]:
+        """The ids of distinct pre-tokens, from the cache where it has them."""
+        found = list(map(self.cache.get, pieces))
+        missing = [k for k, ids in enumerate(found) if ids is None]
+        for k, ids in zip(missing, self.learn([pieces[k] for k in missing])):
+            found[k] = ids
+        return found
+
     def encode_chunk(self, chunk: slices.Chunk) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the chunk's texts, and where each text's ids begin (and the last end)."""
         raw = chunk.data.tobytes()
@@ -271,10 +279,7 @@ class ByteBPE:
         # Equal slices are looked up once.
         _, one, which = np.unique(slices.hash_spans(chunk.data, starts, ends), return_index=True, return_inverse=True)
         pieces = [raw[a:b] for a, b in zip(starts[one].tolist(), ends[one].tolist())]
-        found = list(map(self.cache.get, pieces))
-        missing = [k for k, ids in enumerate(found) if ids is None]
-        for k, ids in zip(missing, self.learn([pieces[k] for k in missing])):
-            found[k] = ids
+        found = self.ids_of(pieces)
         lengths = np.fromiter(map(len, found), np.int64, len(found))
         table = np.fromiter(chain.from_iterable(found), np.int32, int(lengths.sum()))
         own = lengths[which]

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from siftwell.llm import byte_bpe, exact, line_dedup, mixing, ngram_join, passages, quality, token_counts, warc
+from siftwell.llm import byte_bpe, exact, line_dedup, lm_scoring, mixing, ngram_join, passages, quality, token_counts, warc
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -46,6 +46,11 @@ def op4_token_counts(spark: SparkSession, sf: str) -> DataFrame:
     return token_counts.budget(documents(spark, sf), public_tokenizers.path("piece_bpe_32k.model"), 4096)
 
 
+@query
+def op5_lm_scoring(spark: SparkSession, sf: str) -> DataFrame:
+    return lm_scoring.score(documents(spark, sf), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+
+
 @query
 def op6_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return line_dedup.report(documents(spark, sf))
