@@ -70,7 +70,11 @@ def record(page_id, url: str | None, payload: bytes, n_bytes: int, digest: str,
 
 
 def dictionary(records: list[bytes], size: int = DICTIONARY_BYTES) -> zstandard.ZstdCompressionDict:
-    """Trained on all records of the archive, or, if they are few or too alike, made of how they begin."""
+    """Trained on all records of the archive, or, if they are few or too alike, made of how they begin.
+
+    It is at most a sixteenth of the records' size, so that it pays for its place in the file.
+    """
+    size = min(size, max(1024, sum(map(len, records)) // 16))
     if len(records) >= MIN_SAMPLES:
         try:
             return zstandard.train_dictionary(size, records, k=512, d=8)
