@@ -10,7 +10,8 @@ WORD = "[A-Za-z0-9]+"
 LOWER_WORD = "[a-z0-9]+"
 COUNTED_TOKEN = "[A-Za-z0-9]+|[^A-Za-z0-9\\s]"
 QUOTED = '"([^"]+)"'
-MAX_CHUNK_WORDS = 1000
+# Chunks of more words are cut by word position: patterns repeat so many times at most.
+REPEATED_WORDS = 1000
 
 
 def _all(text: Column, pattern: str, group: int = 0) -> Column:
@@ -54,9 +55,13 @@ def preview_text(text: Column, width: int = 120) -> Column:
 def chunk_text(text: Column, words_per_chunk: int) -> Column:
     """Consecutive windows of ``words_per_chunk`` words; a text without words has no chunk.
 
-    One pattern reads the text once; possessive repeats keep it from being read again.
+    Up to a thousand words a chunk, one pattern reads the text once; possessive repeats keep it from being read again.
     """
-    if not 1 <= words_per_chunk <= MAX_CHUNK_WORDS:
-        raise ValueError(f"words_per_chunk must lie between 1 and {MAX_CHUNK_WORDS}.")
+    if words_per_chunk < 1:
+        raise ValueError("words_per_chunk must be at least 1.")
+    if words_per_chunk > REPEATED_WORDS:
+        listed = F.filter(F.split(text, "\\s+"), lambda word: word != "")
+        starts = F.filter(F.sequence(F.lit(0), F.size(listed), F.lit(words_per_chunk)), lambda at: at < F.size(listed))
+        return F.transform(starts, lambda at: F.array_join(F.slice(listed, at + 1, words_per_chunk), " "))
     window = f"(?:\\S++\\s++){{0,{words_per_chunk - 1}}}\\S++"
     return F.transform(_all(text, window), lambda chunk: F.regexp_replace(chunk, "\\s+", " "))

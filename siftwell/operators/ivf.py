@@ -18,11 +18,22 @@ CELLS = 10
 QUERY_ROWS = 8192
 
 
-def train_centroids(store: DataFrame, n_cells: int = CELLS, seed: int = 42, vec_col: str = "embeddings") -> DataFrame:
-    """``(cell, centroid)`` by distributed k-means over every vector."""
+def in_space(vector: Column, metric: str) -> Column:
+    """A vector as cells see it: of length 1 for cosine, as it is for other metrics."""
+    values = vector.cast("array<double>")
+    if metric != "cosine":
+        return values
+    length = F.sqrt(F.aggregate(values, F.lit(0.0), lambda total, x: total + x * x))
+    return F.when(length == 0, values).otherwise(F.transform(values, lambda x: x / length))
+
+
+def train_centroids(
+    store: DataFrame, n_cells: int = CELLS, seed: int = 42, vec_col: str = "embeddings", metric: str = "cosine"
+) -> DataFrame:
+    """``(cell, centroid)`` by distributed k-means over every vector, in the space in which cells are assigned."""
     spark = store.sparkSession
     features = store.filter(F.col(vec_col).isNotNull()).select(
-        array_to_vector(F.col(vec_col).cast("array<double>")).alias("features")
+        array_to_vector(in_space(F.col(vec_col), metric)).alias("features")
     )
     centers = KMeans(k=n_cells, seed=seed).fit(features).clusterCenters()
     rows = [(i, [float(x) for x in center]) for i, center in enumerate(centers)]
@@ -39,7 +50,9 @@ def group_centroids(store: DataFrame, group: str, vec_col: str = "embeddings") -
     return means.groupBy("cell").agg(F.transform(entries, lambda e: e["mean"]).alias("centroid"))
 
 
-def nearest_cells(centroids: DataFrame, vector: Column, n: int, budget: int = BROADCAST_BYTES) -> Column:
+def nearest_cells(
+    centroids: DataFrame, vector: Column, n: int, budget: int = BROADCAST_BYTES, metric: str = "cosine"
+) -> Column:
     """The ``n`` nearest cells of a vector, nearest first.
 
     The number of cells is a setting, not something that grows with the store; it is measured all the
@@ -52,6 +65,7 @@ def nearest_cells(centroids: DataFrame, vector: Column, n: int, budget: int = BR
     spark = centroids.sparkSession
     matrix = np.stack(packed["centroid"].to_numpy()).astype(np.float64)
     shared = spark.sparkContext.broadcast((packed["cell"].to_numpy(), matrix))
+    unit = metric == "cosine"
 
     @F.pandas_udf("array<int>")
     def cells(vectors: pd.Series) -> pd.Series:
@@ -59,9 +73,10 @@ def nearest_cells(centroids: DataFrame, vector: Column, n: int, budget: int = BR
         if vectors.empty:
             return pd.Series([], dtype=object)
         rows = np.stack(vectors.to_numpy()).astype(np.float64)
-        norms = np.sqrt((rows * rows).sum(axis=1, keepdims=True))
-        rows = rows / np.where(norms == 0, 1.0, norms)
-        # Nearest by Euclidean distance to a unit vector, without the part all cells share.
+        if unit:
+            norms = np.sqrt((rows * rows).sum(axis=1, keepdims=True))
+            rows = rows / np.where(norms == 0, 1.0, norms)
+        # Nearest by Euclidean distance, without the part all cells share.
         closeness = rows @ centers.T - (centers * centers).sum(axis=1) / 2
         order = np.argsort(-closeness, axis=1, kind="stable")[:, :n]
         return pd.Series(list(ids[order]))
@@ -70,22 +85,27 @@ def nearest_cells(centroids: DataFrame, vector: Column, n: int, budget: int = BR
 
 
 def assign_cells(
-    store: DataFrame, centroids: DataFrame, id_col: str = "doc_id", vec_col: str = "embeddings"
+    store: DataFrame, centroids: DataFrame, id_col: str = "doc_id", vec_col: str = "embeddings", metric: str = "cosine"
 ) -> DataFrame:
     """``(cell, doc_id, embeddings)``: every vector in its nearest cell."""
     rows = store.filter(F.col(vec_col).isNotNull())
-    cell = F.element_at(nearest_cells(centroids, F.col(vec_col), 1), 1)
+    cell = F.element_at(nearest_cells(centroids, F.col(vec_col), 1, metric=metric), 1)
     return rows.select(
         cell.alias("cell"), F.col(id_col).cast("long").alias("doc_id"), F.col(vec_col).alias("embeddings")
     )
 
 
 def ivf_build(
-    store: DataFrame, n_cells: int = CELLS, seed: int = 42, id_col: str = "doc_id", vec_col: str = "embeddings"
+    store: DataFrame,
+    n_cells: int = CELLS,
+    seed: int = 42,
+    id_col: str = "doc_id",
+    vec_col: str = "embeddings",
+    metric: str = "cosine",
 ) -> tuple[DataFrame, DataFrame]:
     """``(cells, centroids)`` tables of an index over the store."""
-    centroids = train_centroids(store, n_cells, seed, vec_col)
-    return assign_cells(store, centroids, id_col, vec_col), centroids
+    centroids = train_centroids(store, n_cells, seed, vec_col, metric)
+    return assign_cells(store, centroids, id_col, vec_col, metric), centroids
 
 
 def save_index(cells: DataFrame, centroids: DataFrame, path: str) -> None:
@@ -113,7 +133,7 @@ def ivf_search(
     Rows and queries meet by cell. A cell holding many rows, or probed by many queries, is dealt into
     blocks by its own counts, so no task gets a whole hot cell.
     """
-    nearest = nearest_cells(centroids, F.col("qvec"), nprobe)
+    nearest = nearest_cells(centroids, F.col("qvec"), nprobe, metric=metric)
     probes = queries.filter(F.col("qvec").isNotNull()).select("qid", "qvec", F.explode(nearest).alias("cell"))
     sizes = (
         cells.groupBy("cell").agg(F.count("*").alias("n_rows"))

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from siftwell.config import METRICS, one_of
-from siftwell.operators.sizing import BROADCAST_BYTES
+from siftwell.operators.sizing import BROADCAST_BYTES, rows_for
 from siftwell.operators.topk import top_n
 
 HITS = "tier int, qid long, doc_id long, score double"
@@ -259,7 +259,7 @@ def attach_content(
 ) -> DataFrame:
     """Late materialisation: ranked ids first, wide columns joined to the few that remain."""
     wide = store.select(F.col(id_col).cast("long").alias("doc_id"), *columns)
-    return hits.join(wide, "doc_id")
+    return rows_for(hits, wide, "doc_id")
 
 
 def project_local(hits: DataFrame) -> DataFrame:

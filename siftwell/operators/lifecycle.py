@@ -100,8 +100,10 @@ def persist_prepare(
     Rows carry ``provided``, the columns they set, and ``seq``, their order within the batch.
     """
     chosen = persist_select(foreign, cfg.persist_score_threshold, cfg.max_persisted_foreign)
+    # Query ids and ranks start anew in every batch, so what was asked and found belongs to the identity too.
+    identity = [F.col(c) for c in ("qid", "rank", "url", "query", "content") if c in foreign.columns]
     keyed = chosen.withColumn(
-        "doc_id", surrogate_id(F.col("qid"), F.col("rank"), F.col("url"), F.lit(now.isoformat()))
+        "doc_id", surrogate_id(*identity, F.lit(now.isoformat()))
     ).withColumn("seq", F.struct("qid", "rank"))
     embedded = embed(keyed, "doc_id", "content")
     if transform is not None:

@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from siftwell.session import INPUT_PARTITIONS, cut_lineage
+
 BROADCAST_BYTES = 64 << 20
+BROADCAST_ROWS = 1 << 20
 
 
 def measured_bytes(df: DataFrame, row_bytes: Column) -> int:
@@ -13,19 +16,21 @@ def measured_bytes(df: DataFrame, row_bytes: Column) -> int:
     return df.agg(F.sum(row_bytes.cast("long"))).first()[0] or 0
 
 
-def broadcast_if_small(df: DataFrame, row_bytes: Column, limit: int = BROADCAST_BYTES) -> DataFrame:
-    """``df`` with a broadcast hint when it measures at most ``limit`` bytes, else as it is."""
-    return F.broadcast(df) if measured_bytes(df, row_bytes) <= limit else df
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` dealt over as many partitions as the session asks for; as it is where it asks for none.
 
+    The small files of local sessions have too few splits to fill the cores. Tables on a cluster have splits
+    enough; there the setting stays unset and nothing is shuffled.
+    """
+    partitions = df.sparkSession.conf.get(INPUT_PARTITIONS, None)
+    return df.repartition(int(partitions)) if partitions else df
 
-def spread(df: DataFrame) -> DataFrame:
-    """``df`` dealt over all cores when it is too small to fill them by itself.
 
-    A table of fewer full-size file splits than cores is read by few tasks, which then do all of the
-    per-row work. A large one has splits enough and is left where it lies: no shuffle.
+def rows_for(keys: DataFrame, table: DataFrame, on: str, limit: int = BROADCAST_ROWS) -> DataFrame:
+    """``keys`` inner-joined to the rows of ``table``, without moving the table while the keys are few.
+
+    Keys are the outcome of a search (ids of the rows returned), so they are computed once and written to the
+    shared folder; they are sent to the tasks when they are at most ``limit`` rows, else both sides are joined by a shuffle.
     """
-    spark = df.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    split = 128 << 20
-    estimate = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-    return df.repartition(cores) if estimate < cores * split else df
+    found = cut_lineage(keys)
+    return (F.broadcast(found) if found.count() <= limit else found).join(table, on)

@@ -17,8 +17,10 @@ from siftwell.config import RetrievalConfig
 from siftwell.functions.vectors import distance, score_from_distance
 from siftwell.operators import filters
 from siftwell.operators.knn import attach_content, knn, knn_tiers, project_foreign, project_local
+from siftwell.operators.sizing import rows_for
 from siftwell.operators.text_index import text_search
 from siftwell.operators.topk import rank_by_score, top_n, topk_per_query
+from siftwell.session import cut_lineage
 
 # Scopes each tier accepts.
 CACHE_SCOPES = ("cache_only", "cache_plus_memory")
@@ -40,7 +42,7 @@ def vector_scores(pairs: DataFrame, store: DataFrame, queries: DataFrame, metric
     """Vector score of given (qid, doc_id) pairs, by two equi joins."""
     score = score_from_distance(distance(metric, F.col("qvec"), F.col("embeddings")))
     return (
-        pairs.join(store.select(F.col("doc_id"), "embeddings"), "doc_id")
+        rows_for(pairs, store.select(F.col("doc_id"), "embeddings"), "doc_id")
         .join(queries.select("qid", "qvec"), "qid")
         .withColumn("vector_score", F.round(score, 6))
         .drop("embeddings", "qvec")
@@ -133,11 +135,15 @@ def hybrid_search(
 
 
 def with_store_content(results: DataFrame, store: DataFrame) -> DataFrame:
-    """Fill the content of local rows after ranking, when only the returned rows are left."""
-    wide = store.select("doc_id", F.col("content").alias("_stored"))
-    return results.join(wide, "doc_id", "left").select(
-        "qid", "rank", "doc_id", F.coalesce("_stored", "content").alias("content"), "score", "origin"
-    )
+    """Fill the content of local rows after ranking, when only the returned rows are left.
+
+    Foreign rows bring their content and stay out of the join; the ids of local rows go to the store, not the store to them.
+    """
+    ranked = cut_lineage(results.select(RESULT_COLUMNS))
+    is_local = F.col("origin") == "local"
+    local = ranked.filter(is_local).drop("content")
+    filled = rows_for(local, store.select("doc_id", "content"), "doc_id").select(RESULT_COLUMNS)
+    return filled.unionByName(ranked.filter(~is_local))
 
 
 def pandas_ranker(rank: Callable[[pd.DataFrame, int], pd.DataFrame]) -> Ranker:

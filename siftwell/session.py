@@ -9,6 +9,10 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+#: Into how many partitions texts are dealt before per-row work. Unset, and so on a cluster, they stay where they lie.
+INPUT_PARTITIONS = "siftwell.input.partitions"
+
+
 def build_session(app: str = "siftwell", cores: int | None = None) -> SparkSession:
     """A local session for tests and the bench. On a cluster, use the session it hands out."""
     master = f"local[{cores}]" if cores else "local[*]"
@@ -23,6 +27,7 @@ def build_session(app: str = "siftwell", cores: int | None = None) -> SparkSessi
         .config("spark.sql.shuffle.partitions", str(cores or 8))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        .config(INPUT_PARTITIONS, str(cores or 8))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .getOrCreate()
     )
@@ -32,10 +37,12 @@ def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach.
 
     The cluster names it in ``spark.checkpoint.dir``. Only where neither that nor a checkpoint
-    directory is set (a local test session) is one made, on this machine.
+    directory is set, and the session is a local one, is one made, on this machine.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("Set spark.checkpoint.dir to a folder that all executors share.")
         folder = tempfile.mkdtemp(prefix="siftwell-")
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(folder)

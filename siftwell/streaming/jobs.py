@@ -8,7 +8,7 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from siftwell.config import RetrievalConfig
 from siftwell.operators.lifecycle import Embedder, save_to_table
@@ -26,26 +26,30 @@ def stream_write_through(
     foreign: DataFrame,
     table: StoreTable,
     cfg: RetrievalConfig,
-    now: datetime,
+    now: datetime | Callable[[], datetime],
     embed: Embedder,
     checkpoint: str,
     prepare: Callable[[DataFrame], DataFrame] = lambda batch: batch,
     name: str = "write-through",
+    trigger: dict | None = None,
 ) -> StreamingQuery:
     """Saves arriving foreign results into a store table, once per micro-batch.
 
+    ``now`` is a fixed time or a function that is asked for each batch; ``trigger`` holds the arguments of
+    ``DataStreamWriter.trigger`` and by default takes what is available and stops.
+
     A batch that is run again after a failure finds its token committed and changes nothing.
     """
 
     def save(batch: DataFrame, batch_id: int) -> None:
         token = f"{name}-{batch_id}"
         if not table.holds(token):
-            save_to_table(table, prepare(batch), cfg, now, embed, token=token)
+            save_to_table(table, prepare(batch), cfg, now() if callable(now) else now, embed, token=token)
 
     return (
         foreign.writeStream.foreachBatch(save)
         .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
+        .trigger(**(trigger or {"availableNow": True}))
         .start()
     )
 
@@ -106,13 +110,28 @@ def windowed_counts(stream: DataFrame, length: str, delay: str, ts: str = "ts")
     return counted.select(F.col("w.start").alias("window_start"), "n")
 
 
-def late_rows(query: StreamingQuery) -> int:
-    """State rows that stateful operators dropped as too late, over all progress so far."""
-    return sum(
-        int(operator["numRowsDroppedByWatermark"])
-        for progress in query.recentProgress
-        for operator in progress["stateOperators"]
-    )
+class LateRows(StreamingQueryListener):
+    """Counts the rows that stateful operators dropped as too late, by query id, over all progress of a session's queries.
+
+    ``spark.streams.addListener(late)`` before the query starts; queries themselves remember only their last reports.
+    """
+
+    def __init__(self) -> None:
+        self.dropped: dict[str, int] = {}
+
+    def onQueryStarted(self, event) -> None:
+        self.dropped.setdefault(str(event.id), 0)
+
+    def onQueryProgress(self, event) -> None:
+        late = sum(int(operator.numRowsDroppedByWatermark) for operator in event.progress.stateOperators)
+        key = str(event.progress.id)
+        self.dropped[key] = self.dropped.get(key, 0) + late
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        pass
 
 
 def drain(df: DataFrame, out: str, checkpoint: str) -> StreamingQuery:

@@ -233,7 +233,7 @@ PREPARED = (
     SELECTED
     + """,
 prepared AS (
-  SELECT ('0x' || substr(sha256(qid || '|' || rank || '|' || url || '|2024-01-31T00:00:00'), 1, 15))::BIGINT AS doc_id,
+  SELECT ('0x' || substr(sha256(concat_ws('|', qid, rank, url, query, content, '2024-01-31T00:00:00')), 1, 15))::BIGINT AS doc_id,
     qid, rank, content, url AS source_url, title AS source_title, query AS retrieval_query,
     'cache_then_memory' AS retrieval_mode, 0 AS cache_hit, 'web' AS provider_name, 'cache_plus_memory' AS memory_scope,
     TIMESTAMP '2024-01-31' AS last_seen_at, TIMESTAMP '2024-02-01' AS expires_at, 1 AS query_count,

@@ -110,6 +110,23 @@ def test_saved_index_reads_back(spark, tables, tmp_path):
     assert found(ivf.ivf_search(*again, queries, 3, 2)) == found(ivf.ivf_search(cells, centroids, queries, 3, 2))
 
 
+@pytest.mark.parametrize("metric", ["cosine", "euclidean"])
+def test_cells_separate_clusters_of_any_length(spark, metric):
+    """Training and assignment look at vectors in the same space."""
+    import numpy as np
+
+    chance, rows = np.random.default_rng(3), []
+    centers = [(9, 0), (0, 14), (-5, 0), (0, -11)]
+    for c, center in enumerate(centers):
+        rows += [(c * 100 + k, (np.array(center) + chance.normal(0, 0.2, 2)).tolist()) for k in range(100)]
+    store = spark.createDataFrame(rows, "doc_id long, embeddings array<float>")
+    cells, centroids = ivf.ivf_build(store, 4, metric=metric)
+    together = {}
+    for r in cells.select("doc_id", "cell").collect():
+        together.setdefault(r["cell"], set()).add(r["doc_id"] // 100)
+    assert len(together) == 4 and all(len(c) == 1 for c in together.values())
+
+
 def test_hot_cell_is_split(spark):
     """One cell holds nearly every row and is probed by every query."""
     rows = [(i, [1.0, i / 1000]) for i in range(200)] + [(999, [-1.0, 0.0])]

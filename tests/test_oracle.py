@@ -6,7 +6,7 @@ import __spark_entry__ as entry
 from compare import compare, connect
 
 SF = "/root/testdata/sf0.001"
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
+QUERIES, SQL = entry.QUERIES, entry.SQL
 
 
 @pytest.fixture(scope="module")

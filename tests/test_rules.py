@@ -508,3 +508,43 @@ def test_error_classes(spark):
         1: ("usage_limit", "slow down"), 2: ("keyless_limit", ""), 3: ("usage_limit", ""), 4: ("forbidden", ""),
         5: ("invalid_key", "bad key"), 6: ("bad_request", ""), 7: ("http_error", ""), 8: ("ok", ""),
     }
+
+def test_two_saves_at_one_time_have_ids_of_their_own(spark):
+    """Query ids and ranks start anew in every batch."""
+    from siftwell.operators import lifecycle
+
+    cfg = RetrievalConfig("hybrid_search", persist_score_threshold=0.0)
+    schema = "qid long, query string, rank int, url string, title string, content string, score double"
+    ids = []
+    for word in ("alpha", "beta"):
+        found = spark.createDataFrame([(1, word, 1, "http://u", "t", f"about {word}", 0.9)], schema)
+        saved = lifecycle.persist_prepare(found, cfg, NOW, [], lifecycle.hashing_embedder(8))
+        ids += [r["doc_id"] for r in saved.collect()]
+    assert len(set(ids)) == 2
+
+
+def test_long_chunks(spark):
+    from siftwell.functions.text import chunk_text
+
+    words = [f"w{k}" for k in range(2500)]
+    row = spark.createDataFrame([(" \n".join(words) + " ", "", "one")], "a string, b string, c string").select(
+        *(chunk_text(F.col(c), 1200) for c in "abc")
+    ).first()
+    assert [c.split() for c in row[0]] == [words[:1200], words[1200:2400], words[2400:]]
+    assert row[1] == [] and row[2] == ["one"]
+
+
+def test_local_content_is_joined_without_moving_the_store(spark):
+    from siftwell.plans.modes import RESULT_COLUMNS, with_store_content
+
+    results = spark.createDataFrame(
+        [(1, 1, 7, None, 0.9, "local"), (1, 2, None, "far", 0.5, "foreign")],
+        "qid long, rank int, doc_id long, content string, score double, origin string",
+    )
+    store = spark.range(1000).select(F.col("id").alias("doc_id"), F.concat(F.lit("c"), "id").alias("content"))
+    filled = with_store_content(results, store)
+    plan = filled._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan and "Exchange hashpartitioning" not in plan
+    assert {tuple(r) for r in filled.select(RESULT_COLUMNS).collect()} == {
+        (1, 1, 7, "c7", 0.9, "local"), (1, 2, None, "far", 0.5, "foreign")
+    }

@@ -1,3 +1,4 @@
+import time
 from datetime import datetime
 
 from pyspark.sql import functions as F
@@ -22,8 +23,15 @@ def at(hour):
 def test_late_rows_are_dropped_and_counted(spark, tmp_path):
     path, out, check = (str(tmp_path / n) for n in ("in", "out", "check"))
     jobs.drain(jobs.windowed_counts(source(spark, path, [(1, at(30)), (1, at(100))]), "1 day", "1 hour"), out, check)
+    late = jobs.LateRows()
+    spark.streams.addListener(late)
     query = jobs.drain(jobs.windowed_counts(source(spark, path, [(1, at(2)), (1, at(200))]), "1 day", "1 hour"), out, check)
-    assert jobs.late_rows(query) == 1
+    for _ in range(100):
+        if late.dropped.get(query.id):
+            break
+        time.sleep(0.1)
+    spark.streams.removeListener(late)
+    assert late.dropped[query.id] == 1
     assert sorted(r["n"] for r in spark.read.parquet(out).collect()) == [1, 1]
 
 
