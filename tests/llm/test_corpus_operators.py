@@ -7,7 +7,7 @@ import pytest
 from compare import compare, connect
 
 import __spark_entry__ as entry
-from conftest import LONG, ODD_ROWS, PLAIN, SF
+from cases import LONG, ODD_ROWS, SF
 from siftwell.llm import exact, line_dedup, links, mixing, ngram_join, passages, warc
 
 LLM_SQL = ["op3_exact_dedup", "op6_line_dedup", "op7_warc", "op10_mixing"]

@@ -5,7 +5,7 @@ from collections import Counter, defaultdict
 import public_tokenizers as P
 
 import corpus_pipeline
-from conftest import SF
+from cases import SF
 from siftwell.llm import byte_bpe, mixing, quality
 from test_corpus_operators import brute_components, sets_of
 
