@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from siftwell.functions import html, urls
 from siftwell.functions.text import words
 from siftwell.operators.filters import follows_url_rules
-from siftwell.operators.sizing import spread
+from siftwell.operators.sizing import rows_for, spread
 from siftwell.operators.topk import top_n
 from siftwell.session import cut_lineage
 
@@ -72,10 +72,9 @@ def extract(requested: DataFrame, pages: DataFrame, format: str = "text", images
     columns = [body.getField("title").alias("title"), body.getField("content").alias("raw_content")]
     if images:
         columns.append(body.getField("images").alias("images"))
-    matched = extract_match(requested, pages)
-    needed = matched.select("page_id").distinct()
-    bodies = spread(pages.select("page_id", "html"))
-    parsed = bodies.join(needed, "page_id", "left_semi").select("page_id", *columns)
+    matched = cut_lineage(extract_match(requested, pages))
+    needed = matched.filter("page_id IS NOT NULL").select("page_id").distinct()
+    parsed = rows_for(needed, pages.select("page_id", "html"), "page_id").select("page_id", *columns)
     names = [name for name in parsed.columns if name != "page_id"]
     return matched.join(parsed, "page_id", "left").select(*requested.columns, "page_id", "status", *names)
 

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from siftwell.operators import filters
+from siftwell.operators.sizing import rows_for
 from siftwell.operators.text_index import text_search
 
 
@@ -48,6 +49,6 @@ def table_search(queries: DataFrame, corpus: DataFrame, params: SearchParams, no
     """
     pages = eligible_pages(corpus, params, now)
     ranked = text_search(pages, queries, params.max_results, phrases=params.exact_match)
-    return ranked.join(pages.select("doc_id", "url", "title", "content"), "doc_id").select(
+    return rows_for(ranked, pages.select("doc_id", "url", "title", "content"), "doc_id").select(
         "qid", "rank", "doc_id", "url", "title", "content", "score"
     )
