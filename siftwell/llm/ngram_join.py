@@ -2,11 +2,12 @@
 
 1. Every text becomes a set of 64-bit shingle hashes. Texts of equal sets (compared by size and two 64-bit
    sums) form a class, and one of each class goes on.
-2. Two sets that are similar enough share a shingle among the first ``n - ceil(0.75 n) + 1`` of each, whatever the global order
-   is. With the order of hashes these prefixes are dealt out by shingle; documents that share no prefix shingle
-   with any other are done. What this pass counts also tells the common shingles, which then go last in
-   the global order (at most ``COMMON`` of them, the most frequent first; this changes the work, not the
-   result), and the remaining documents are dealt out anew by their new prefixes.
+2. Two sets that are similar enough share ``k`` shingles among the first ``n - ceil(0.75 n) + k`` of each, whatever the
+   global order is; ``k`` is a sixth of the smaller set. With the order of hashes these prefixes are dealt out by
+   shingle; documents that share fewer prefix shingles with all others together are done. What this pass counts
+   also tells the common shingles, which then go last in the global order (at most ``COMMON`` of them, the
+   most frequent first; this changes the work, not the result), and the remaining documents are dealt out and
+   counted anew by their new prefixes.
 3. Documents that met are gathered in blocks around the smallest document they met. In a block the sets lie in a compressed
    prefix tree, frequent shingles first. The tree is walked once for all sets of the block together: overlaps
    are carried from a node to its children, and a set leaves a subtree when what is left of it and of the subtree's longest
@@ -48,6 +49,15 @@ def similar(overlap, left, right):
     return 7 * overlap >= 3 * (left + right)
 
 
+def least_shared(n):
+    """How many shingles the prefixes of a set of ``n`` and of a similar one that is not smaller have in common at least."""
+    return n // 6 + 1
+
+
+def prefix_length(n):
+    return n - (3 * n + 3) // 4 + least_shared(n)
+
+
 def doc_sets(chunk: slices.Chunk, common: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Distinct shingle hashes in the global order, text by text, with their text numbers and each text's count."""
     data = slices.LOWER[chunk.data]
@@ -95,7 +105,7 @@ def prefixes(docs: DataFrame, common=None) -> DataFrame:
             for chunk in slices.chunks(batch.column(1)):
                 found, owner, n = doc_sets(chunk, last)
                 place = np.arange(len(found)) - (np.cumsum(n) - n)[owner]
-                kept = place < (n - (3 * n + 3) // 4 + 1)[owner]
+                kept = place < prefix_length(n)[owner]
                 ids = batch.column(0).slice(chunk.first, chunk.docs)
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -239,6 +249,12 @@ def met(rows: DataFrame) -> DataFrame:
     return rows.withColumn("times", F.count(F.lit(1)).over(together)).where("times > 1")
 
 
+def enough(rows: DataFrame) -> DataFrame:
+    """Ids that have as many of these rows as a similar set needs; a similar set has three quarters of the size at least."""
+    least = F.floor(F.ceil(F.col("n") * 0.75) / 6) + 1
+    return rows.groupBy("id", "n").agg(F.count(F.lit(1)).alias("shared")).where(F.col("shared") >= least).select("id").distinct()
+
+
 def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """One row per document: id, ``n_shingles``, ``component_id`` (the smallest id that links reach) and ``class_id``
     (the smallest id of an equal set)."""
@@ -254,17 +270,19 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
         ids = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
         return texts.join(ids, "id", "left_semi")
 
-    first = cut_lineage(met(prefixes(texts_of(cut_lineage(classes.where("class_id IS NOT NULL").select(F.col("class_id").alias("id"))))).select("shingle", "id")))
+    first = cut_lineage(met(prefixes(texts_of(cut_lineage(classes.where("class_id IS NOT NULL").select(F.col("class_id").alias("id"))))).select("shingle", "id", "n")))
     common = (
         first.where(F.col("times") >= COMMON_FROM).groupBy("shingle").agg(F.max("times").alias("times"))
         .orderBy(F.desc("times"), "shingle").limit(COMMON).select("shingle").toPandas()["shingle"].to_numpy(np.int64)
     )
     shared = spark.sparkContext.broadcast(np.sort(common.view(np.uint64)))
-    candidates = cut_lineage(first.select("id").distinct())
-    lists = cut_lineage(met(prefixes(texts_of(candidates), shared)))
+    candidates = cut_lineage(enough(first))
+    met_again = cut_lineage(met(prefixes(texts_of(candidates), shared)))
+    candidates = cut_lineage(enough(met_again))
+    lists = cut_lineage(met(met_again.drop("times").join(candidates, "id", "left_semi")))
 
     path = scratch_path(spark, "shingle-sets")
-    sets(texts_of(cut_lineage(lists.select("id").distinct())), shared).write.parquet(path)
+    sets(texts_of(candidates), shared).write.parquet(path)
     all_sets = spark.read.parquet(path)
 
     centre = Window.partitionBy("shingle")
