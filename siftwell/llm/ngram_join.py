@@ -8,13 +8,13 @@
    also tells the common shingles, which then go last in the global order (at most ``COMMON`` of them, the
    most frequent first; this changes the work, not the result), and the remaining documents are dealt out and
    counted anew by their new prefixes.
-3. Documents that met are gathered in blocks around the smallest document they met. In a block the sets lie in a compressed
+3. Documents that met are gathered in blocks around the one they met whose prefix shingles are met most often. In a block the sets lie in a compressed
    prefix tree, frequent shingles first. The tree is walked once for all sets of the block together: overlaps
    are carried from a node to its children, and a set leaves a subtree when what is left of it and of the subtree's longest
    set cannot reach the similarity. Blocks have at most ``BLOCK`` members besides their centre; larger ones are split.
 4. Links give components. Prefix shingles whose documents lie in one component are done. The others give
-   pairs of documents of different components that pass the bounds on sizes and positions; these go through blocks as well, so
-   no link between components is lost. Components over all links are the result.
+   pairs of documents of different components that pass the bounds on sizes and positions, and whose sketches (512 bits, one
+   parity for each part of the hashes) differ by no more bits than similar sets can; these go through blocks as well, so no link between components is lost. Components over all links are the result.
 
 Words are separated by ASCII white space and A-Z are lowered. A text of fewer words than a shingle has one,
 all of its words; null, empty and blank texts have none and link with nothing. Rows without an identifier get the
@@ -28,7 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from siftwell.llm import slices
@@ -37,6 +37,8 @@ from siftwell.session import cut_lineage, scratch_path
 
 SIZE = 5
 BLOCK = 64
+#: A sketch of a set has so many 64-bit words.
+WORDS = 8
 #: Shingles in so many prefixes are common; at most COMMON of them are sent to the tasks (8 bytes each).
 COMMON_FROM = 48
 COMMON = 1 << 20
@@ -58,6 +60,10 @@ def prefix_length(n):
     return n - (3 * n + 3) // 4 + least_shared(n)
 
 
+def prefix_column(n: Column) -> Column:
+    return n - F.ceil(n * 0.75) + F.floor(n / 6) + 1
+
+
 def doc_sets(chunk: slices.Chunk, common: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Distinct shingle hashes in the global order, text by text, with their text numbers and each text's count."""
     data = slices.LOWER[chunk.data]
@@ -120,22 +126,33 @@ def prefixes(docs: DataFrame, common=None) -> DataFrame:
     return docs.mapInArrow(run, "shingle long, id long, n int, place int")
 
 
+def sketches(found: np.ndarray, owner: np.ndarray, docs: int) -> np.ndarray:
+    """Parities of the numbers of shingles by hash, ``64 * WORDS`` bits a set: two sets differ by as many shingles as bits, or more."""
+    bits = 64 * WORDS
+    place = (slices.mix(found ^ np.uint64(0xA24BAED4963EE407)) % np.uint64(bits)).astype(np.int64)
+    odd = (np.bincount(owner * bits + place, minlength=docs * bits) & 1).astype(np.uint8)
+    return np.packbits(odd.reshape(docs, bits), axis=1).view(np.int64)
+
+
 def sets(docs: DataFrame, common) -> DataFrame:
-    """``id, n, shingles``: whole sets in the global order."""
+    """``id, shingles`` and the words of a sketch: whole sets in the global order."""
+    names = [f"k{w}" for w in range(WORDS)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for chunk in slices.chunks(batch.column(1)):
-                found, _, n = doc_sets(chunk, common.value)
+                found, owner, n = doc_sets(chunk, common.value)
+                words = sketches(found, owner, chunk.docs)
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).slice(chunk.first, chunk.docs),
                         slices.gather(found.view(np.int64), np.r_[0, np.cumsum(n)]),
+                        *(pa.array(np.ascontiguousarray(words[:, w])) for w in range(WORDS)),
                     ],
-                    ["id", "shingles"],
+                    ["id", "shingles", *names],
                 )
 
-    return docs.mapInArrow(run, "id long, shingles array<long>")
+    return docs.mapInArrow(run, "id long, shingles array<long>, " + ", ".join(f"{k} long" for k in names))
 
 
 class PrefixTree:
@@ -229,7 +246,7 @@ def block_links(blocks: DataFrame, all_sets: DataFrame) -> DataFrame:
         a, b = zip(*found) if found else ((), ())
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
-    filled = blocks.join(all_sets, "id").select("block", "part", "id", "shingles")
+    filled = blocks.join(all_sets.select("id", "shingles"), "id").select("block", "part", "id", "shingles")
     return filled.groupBy("block", "part").applyInArrow(run, "a long, b long")
 
 
@@ -286,9 +303,13 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
     all_sets = spark.read.parquet(path)
 
     centre = Window.partitionBy("shingle")
+    # The original of many near copies has none of their own shingles, so its prefix is met most often.
+    weight = lists.groupBy("id", "n").agg((F.sum("times") / prefix_column(F.col("n"))).alias("weight"))
+    weight = weight.groupBy("id").agg(F.max("weight").alias("weight"))
     around = (
-        lists.select("id", F.min("id").over(centre).alias("centre"))
-        .groupBy("id").agg(F.min("centre").alias("block"))
+        lists.join(weight, "id")
+        .select("id", F.max(F.struct("weight", (-F.col("id")).alias("other"))).over(centre).alias("centre"))
+        .groupBy("id").agg((-F.max("centre")["other"]).alias("block"))
     )
     links = cut_lineage(block_links(split_blocks(around.select("block", "id")), all_sets))
 
@@ -301,14 +322,19 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
             "*", F.min("component").over(centre).alias("low"), F.max("component").over(centre).alias("high")
         ).where("low <> high").drop("low", "high")
     )
+    words = [f"k{w}" for w in range(WORDS)]
+    mixed = mixed.join(all_sets.select("id", *words), "id")
     other = mixed.select(*(F.col(c).alias(f"{c}2") for c in mixed.columns))
     reach = 1 + F.least(F.col("n") - 1 - F.col("place"), F.col("n2") - 1 - F.col("place2"))
+    differ = sum((F.bit_count(F.col(k).bitwiseXOR(F.col(f"{k}2"))) for k in words[1:]), F.bit_count(F.col("k0").bitwiseXOR(F.col("k02"))))
     pairs = mixed.join(
         other,
         (F.col("shingle") == F.col("shingle2"))
         & (F.col("id") < F.col("id2"))
         & (F.col("component") != F.col("component2"))
-        & similar(reach, F.col("n"), F.col("n2")),
+        & similar(reach, F.col("n"), F.col("n2"))
+        # Similar sets differ by a seventh of their sizes at most, so their sketches differ by as many bits at most.
+        & (7 * differ <= F.col("n") + F.col("n2")),
     ).select(F.col("id").alias("block"), F.col("id2").alias("id")).distinct()
     more = cut_lineage(block_links(split_blocks(cut_lineage(pairs)), all_sets))
 
