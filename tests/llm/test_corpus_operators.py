@@ -202,6 +202,62 @@ def test_passages(documents, texts, words_of):
                 assert any(a <= k and k + 50 <= b for a, b in cover[i]), (i, k)
 
 
+def edited(words, edits, kind, chance):
+    """``words`` with so many words changed, inserted or deleted, spread over the passage."""
+    out = list(words)
+    for n in range(edits, 0, -1):
+        k = len(words) * n // (edits + 1)
+        out[k : k + (kind != "inserted")] = [] if kind == "deleted" else [f"new{chance.random()}"]
+    return out
+
+
+def test_verified_finds_edited_passages():
+    """All passages of 50 to 150 words with 1 to 3 edits whose shingle sets have similarity 0.75, between words of their own."""
+    import random
+
+    import numpy as np
+
+    chance, n_near = random.Random(3), 0
+    for length in range(50, 151, 10):
+        for edits in (1, 2, 3):
+            for kind in ("changed", "inserted", "deleted"):
+                a = [f"p{chance.random()}" for _ in range(length)]
+                b = edited(a, edits, kind, chance)
+                if len(b) < 50:
+                    continue
+                one, two = ({tuple(w[k : k + 5]) for k in range(len(w) - 4)} for w in (a, b))
+                if 4 * len(one & two) < 3 * len(one | two):
+                    continue
+                n_near += 1
+                sides = []
+                for w in (b, a):
+                    w = [f"x{chance.random()}" for _ in range(30)] + w + [f"y{chance.random()}" for _ in range(40)]
+                    sides.append(np.array([hash(tuple(w[k : k + 5])) for k in range(len(w) - 4)]))
+                found = passages.verified(*sides, 46)
+                assert any(s <= 30 and 30 + len(b) - 4 <= e for s, e, *_ in found), (length, edits, kind)
+                for s, e, s2, e2, similarity in found:
+                    x, y = set(sides[0][s:e].tolist()), set(sides[1][s2:e2].tolist())
+                    assert e - s >= 46 and 0.75 <= similarity == len(x & y) / len(x | y)
+    assert n_near > 60
+
+
+def test_passages_with_edits(spark):
+    """The same through the whole operator: every edited passage is reported where it lies."""
+    import random
+
+    chance, rows, want = random.Random(4), [], {}
+    for length, edits, kind in [(50, 1, "changed"), (60, 1, "changed"), (70, 1, "inserted"), (100, 2, "changed"), (80, 2, "deleted"), (150, 3, "changed"), (55, 1, "deleted")]:
+        a = [f"p{chance.random()}" for _ in range(length)]
+        for w in (a, edited(a, edits, kind, chance)):
+            own = [[f"x{chance.random()}" for _ in range(60)] for _ in range(2)]
+            want[len(rows)] = (60, 60 + len(w))
+            rows.append((len(rows), " ".join(own[0] + w + own[1])))
+    found = passages.near_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    for i in range(1, len(rows), 2):
+        got = [r for r in found if r.doc_id == i and r.of_doc_id == i - 1]
+        assert any(r.start_word <= want[i][0] and want[i][1] <= r.end_word for r in got), (i, want[i], got)
+
+
 def test_passages_odd_rows(odd, empty):
     found = passages.near_passages(odd).collect()
     assert {(r.doc_id, r.of_doc_id, r.whole) for r in found} == {(5, 4, True), (6, 4, False)}
