@@ -5,8 +5,7 @@ unless the CRC-32 of their id as text has remainder ``HELD_OUT`` modulo 7.
 
 1. One pass over the training texts counts words, subwords and pairs of adjacent subwords; counts are summed per task, then by key.
 2. The most frequent subwords get compact ids, and pairs of these give the model's output biases (at most TOKENS squared).
-3. A second pass writes windows of the training texts to the shared folder, one of ``TRAIN_EVERY`` of every text's windows, from a
-   start that depends on the text, so that what the model learns from grows with the corpus. In each of ``ROUNDS`` rounds, tasks train copies of the model in numpy on
+3. A second pass writes all windows of all training texts to the shared folder. In each of ``ROUNDS`` rounds, tasks train copies of the model in numpy on
    their share of the round's windows, and the copies are averaged by block of parameters.
 4. The last pass scores all texts. Frequent words carry their counts to the tasks (``HEAVY`` words at most); for the others the
    counts are joined by word.
@@ -31,7 +30,6 @@ from siftwell.llm import attention, byte_bpe, slices
 from siftwell.session import cut_lineage, scratch_path
 
 HELD_OUT = 2
-TRAIN_EVERY = 4
 ROUNDS = 3
 #: Windows that a task trains on in a round, and in a step.
 SHARE = 40_000
@@ -182,13 +180,12 @@ def training_windows(training: DataFrame, ranks_path: str, compact) -> DataFrame
                 rows, owner, _ = attention.text_windows(compact.value.of[ids], edges)
                 number = np.arange(len(rows)) - np.searchsorted(owner, owner)
                 chance = slices.mix(words[word_edges[:-1]])[owner]
-                kept = (number.astype(np.uint64) + chance) % np.uint64(TRAIN_EVERY) == 0
-                shard = slices.mix(chance + number.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))[kept]
+                shard = slices.mix(chance + number.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array((shard % np.uint64(ROUNDS)).astype(np.int32)),
                         pa.array(shard.view(np.int64)),
-                        pa.array([r.tobytes() for r in rows[kept]], pa.binary()),
+                        pa.array([r.tobytes() for r in rows], pa.binary()),
                     ],
                     ["round", "shard", "window"],
                 )

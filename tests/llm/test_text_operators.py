@@ -166,6 +166,24 @@ def test_lm_odd_rows(odd, empty):
     assert lm_scoring.score(empty, RANKS).count() == 0
 
 
+def test_lm_trains_on_every_window_of_every_text(spark):
+    """Texts of one to many windows, and texts that share their first word."""
+    texts = [" ".join(f"w{k}" for k in range(n)) for n in range(1, 60)] + [f"same opening {n}" for n in range(40)] + ["", None]
+    docs = spark.createDataFrame([(t,) for t in texts], "text string")
+    encoder = lm_scoring.Encoder(RANKS)
+    size = len(encoder.bpe.tokens)
+    compact = lm_scoring.Compact(np.zeros(0, np.int64), np.zeros(0, np.int64), size)
+    rows = lm_scoring.training_windows(docs, RANKS, spark.sparkContext.broadcast(compact)).collect()
+    want = Counter()
+    for t in texts:
+        words = (t or "").split()
+        ids = compact.of[[i for w in words for i in encoder.bpe.encode(" " + w)] + [encoder.end]]
+        table, _, _ = attention.text_windows(ids, np.array([0, len(ids)]))
+        want.update(r.tobytes() for r in table)
+    assert Counter(bytes(r.window) for r in rows) == want
+    assert {r.round for r in rows} <= set(range(lm_scoring.ROUNDS))
+
+
 def test_attention_scores_every_token_once_and_learns():
     chance = np.random.default_rng(0)
     texts = [np.r_[np.tile(chance.integers(0, 50, 6), 8)[: chance.integers(1, 48)], attention.END] for _ in range(400)]
