@@ -41,6 +41,9 @@ BLOCKS = 64
 #: The key of the end among word hashes.
 END_KEY = np.uint64(0x2F0B4C47E5C1A9D3)
 
+#: Multipliers of the ids of a window, for its hash.
+WINDOW_TABLE = np.random.default_rng(20240307).integers(1, 1 << 63, attention.CONTEXT + 1, dtype=np.uint64)
+
 WORD, SUBWORD, PAIR = 0, 1, 2
 
 
@@ -175,12 +178,15 @@ def training_windows(training: DataFrame, ranks_path: str, compact) -> DataFrame
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(ranks_path)
         for batch in batches:
+            names = batch.column(1).to_numpy().view(np.uint64)
             for chunk in slices.chunks(batch.column(0)):
-                words, word_edges, ids, edges = encoder.chunk(chunk)
+                _, _, ids, edges = encoder.chunk(chunk)
                 rows, owner, _ = attention.text_windows(compact.value.of[ids], edges)
                 number = np.arange(len(rows)) - np.searchsorted(owner, owner)
-                chance = slices.mix(words[word_edges[:-1]])[owner]
-                shard = slices.mix(chance + number.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+                # From the window's ids, its document and its number: texts with the same opening spread over all tasks.
+                own = (rows.astype(np.uint64) * WINDOW_TABLE).sum(axis=1, dtype=np.uint64)
+                place = slices.mix(names[chunk.first : chunk.last])[owner] + number.astype(np.uint64)
+                shard = slices.mix(slices.mix(own) ^ slices.mix(place))
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array((shard % np.uint64(ROUNDS)).astype(np.int32)),
@@ -190,7 +196,7 @@ def training_windows(training: DataFrame, ranks_path: str, compact) -> DataFrame
                     ["round", "shard", "window"],
                 )
 
-    return training.select("text").mapInArrow(run, "round int, shard long, window binary")
+    return training.select("text", F.xxhash64("id")).mapInArrow(run, "round int, shard long, window binary")
 
 
 def train(windows: DataFrame, biases: attention.Biases) -> dict[str, np.ndarray]:

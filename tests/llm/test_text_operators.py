@@ -169,7 +169,7 @@ def test_lm_odd_rows(odd, empty):
 def test_lm_trains_on_every_window_of_every_text(spark):
     """Texts of one to many windows, and texts that share their first word."""
     texts = [" ".join(f"w{k}" for k in range(n)) for n in range(1, 60)] + [f"same opening {n}" for n in range(40)] + ["", None]
-    docs = spark.createDataFrame([(t,) for t in texts], "text string")
+    docs = spark.createDataFrame(list(enumerate(texts)), "id long, text string")
     encoder = lm_scoring.Encoder(RANKS)
     size = len(encoder.bpe.tokens)
     compact = lm_scoring.Compact(np.zeros(0, np.int64), np.zeros(0, np.int64), size)
@@ -184,6 +184,15 @@ def test_lm_trains_on_every_window_of_every_text(spark):
     assert {r.round for r in rows} <= set(range(lm_scoring.ROUNDS))
 
 
+def test_lm_windows_of_like_texts_spread_over_shards(spark):
+    """Empty texts, copies and texts with one opening, all with documents of their own."""
+    docs = spark.createDataFrame([(k, ["", "same opening", f"same {k}"][k % 3]) for k in range(300)], "id long, text string")
+    compact = lm_scoring.Compact(np.zeros(0, np.int64), np.zeros(0, np.int64), len(byte_bpe.load(RANKS).tokens))
+    rows = lm_scoring.training_windows(docs, RANKS, spark.sparkContext.broadcast(compact)).collect()
+    assert len({r.shard for r in rows}) == len(rows) == 300
+    assert min(Counter(r.round for r in rows).values()) > 60
+
+
 def test_attention_scores_every_token_once_and_learns():
     chance = np.random.default_rng(0)
     texts = [np.r_[np.tile(chance.integers(0, 50, 6), 8)[: chance.integers(1, 48)], attention.END] for _ in range(400)]
