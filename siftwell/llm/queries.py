@@ -5,7 +5,21 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from siftwell.llm import byte_bpe, exact, line_dedup, lm_scoring, mixing, ngram_join, passages, quality, token_counts, warc
+from siftwell.llm import (
+    byte_bpe,
+    exact,
+    hard_negatives,
+    line_dedup,
+    lloyd,
+    lm_scoring,
+    mixing,
+    ngram_join,
+    passages,
+    quality,
+    simhash,
+    token_counts,
+    warc,
+)
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -20,6 +34,10 @@ def documents(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/documents.parquet")
 
 
+def embeddings(spark: SparkSession, sf: str) -> DataFrame:
+    return spark.read.parquet(f"{sf}/embeddings.parquet")
+
+
 @query
 def op1_ngram_join(spark: SparkSession, sf: str) -> DataFrame:
     return ngram_join.near_duplicates(documents(spark, sf))
@@ -129,3 +147,71 @@ ranked AS (
 counted AS (
   SELECT *, least(ceil(rate), floor(start + rate * (place + 1)) - floor(start + rate * place))::BIGINT AS copies FROM ranked)
 SELECT doc_id, size, source_size, target, size * copies AS taken, copies FROM counted"""
+
+
+@query
+def op11_centroid_clustering(spark: SparkSession, sf: str) -> DataFrame:
+    return lloyd.cluster(embeddings(spark, sf))
+
+
+def lloyd_sql(k: int, rounds: int, dims: int) -> str:
+    """The same rounds as common table expressions over one row per component."""
+    nearest = """met{r} AS (
+  SELECT row, cluster, sum((v - c) * (v - c)) AS distance FROM component JOIN centroid{r} USING (dim) GROUP BY row, cluster),
+near{r} AS (SELECT row, arg_min(cluster, (distance, cluster)) AS cluster, min(distance) AS distance FROM met{r} GROUP BY row)"""
+    moved = """sums{r} AS (
+  SELECT cluster, dim, sum(v) AS total, count(*) AS members FROM near{r} JOIN component USING (row) GROUP BY cluster, dim),
+centroid{n} AS (
+  SELECT cluster, dim, coalesce((total - ((total % members) + members) % members) // members, c)::BIGINT AS c
+  FROM centroid{r} LEFT JOIN sums{r} USING (cluster, dim))"""
+    steps = [nearest.format(r=0)]
+    for r in range(rounds):
+        steps += [moved.format(r=r, n=r + 1), nearest.format(r=r + 1)]
+    return f"""
+WITH kept AS (
+  SELECT row_number() OVER (ORDER BY sha256('2:' || vec_id::VARCHAR), embedding) AS row, vec_id, embedding FROM embeddings
+  WHERE len(embedding) = {dims} AND len(list_filter(embedding, lambda x: isfinite(x))) = {dims}),
+component AS (
+  SELECT row, unnest(generate_series(1, {dims})) AS dim, floor(256 * unnest(embedding)::DOUBLE)::BIGINT AS v FROM kept),
+centroid0 AS (SELECT (row - 1)::INT AS cluster, dim, v AS c FROM component WHERE row <= {k}),
+{""",
+""".join(steps)},
+digest AS (
+  SELECT cluster, sha256(string_agg(c::VARCHAR, ',' ORDER BY dim)) AS centroid_sha256 FROM centroid{rounds} GROUP BY cluster)
+SELECT vec_id, cluster, distance::BIGINT AS distance, (sum(distance) OVER (PARTITION BY cluster))::BIGINT AS cluster_inertia,
+  (sum(distance) OVER ())::BIGINT AS inertia, centroid_sha256
+FROM near{rounds} JOIN kept USING (row) JOIN digest USING (cluster)"""
+
+
+SQL["op11_centroid_clustering"] = lloyd_sql(40, 5, 64)
+
+
+@query
+def op12_simhash(spark: SparkSession, sf: str) -> DataFrame:
+    return simhash.near_duplicates(documents(spark, sf))
+
+
+@query
+def op13_hard_negatives(spark: SparkSession, sf: str) -> DataFrame:
+    return hard_negatives.mine(embeddings(spark, sf))
+
+
+SQL["op13_hard_negatives"] = """
+WITH taken AS (
+  SELECT vec_id AS id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: isfinite(x))) = len(embedding)),
+scored AS (
+  SELECT a.id AS anchor_id, a.label AS anchor_label, r.id, r.label,
+    list_sum(list_transform(list_zip(a.v, r.v), lambda p: p[1] * p[2]))::BIGINT AS score
+  FROM taken a JOIN taken r ON a.id % 100 = 0 AND r.id <> a.id),
+positive AS (
+  SELECT anchor_id, anchor_label, id AS positive_id, score AS positive_score FROM scored WHERE label = anchor_label
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5)
+SELECT p.anchor_id, positive_id, (row_number() OVER best)::INT AS rank, id AS negative_id, positive_score, score AS negative_score
+FROM positive p JOIN scored s ON s.anchor_id = p.anchor_id AND s.label <> p.anchor_label
+  AND 80 * positive_score <= 100 * score AND 100 * score <= 100 * positive_score
+WINDOW best AS (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, id)
+QUALIFY row_number() OVER best <= 5"""
