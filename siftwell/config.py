@@ -84,8 +84,8 @@ class RetrievalConfig:
         if self.retrieval_mode == "cache_then_memory":
             self._set("memory_metadata", True)
         if self.persistence_depth is None:
-            durable = self.retrieval_mode == "cache_then_memory"
-            self._set("persistence_depth", PERSISTENCE_DEPTHS[int(durable)])
+            depth = "cache_plus_memory" if self.retrieval_mode == "cache_then_memory" else "cache_only"
+            self._set("persistence_depth", depth)
         one_of(self.persistence_depth, PERSISTENCE_DEPTHS, "persistence_depth")
         for name in ("cache_score_threshold", "memory_score_threshold"):
             self._set(name, finite(getattr(self, name), name))

@@ -10,15 +10,20 @@ import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from siftwell.functions.text import LOWER_WORD
-
-BETWEEN_WORDS = LOWER_WORD.replace("[", "[^")
+# What lies between two words: everything that is in none.
+BETWEEN_WORDS = "[^a-z0-9]+"
+# The bytes of a token's SHA-256 that tell its position, most significant first, and the one that tells its sign.
+POSITION_BYTES = slice(0, 4)
+SIGN_BYTE = 4
 
 
 def _component(token: str, dim: int) -> tuple[int, float]:
-    """Position from the first four bytes of the token's SHA-256, sign from the fifth."""
+    """Position and sign of a token; the sign is plus where its byte is even."""
     digest = hashlib.sha256(token.encode("utf-8")).digest()
-    return int.from_bytes(digest[:4], "big") % dim, 1.0 - 2.0 * (digest[4] % 2)
+    position = int.from_bytes(digest[POSITION_BYTES], "big") % dim
+    if digest[SIGN_BYTE] % 2 == 0:
+        return position, 1.0
+    return position, -1.0
 
 
 def hash_vectors(lowered: pa.Array, dim: int) -> np.ndarray:

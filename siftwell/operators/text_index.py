@@ -1,28 +1,25 @@
-"""Inverted index tables and BM25 ranking (Robertson and Zaragoza 2009).
+"""Term statistics of a corpus, and one-off BM25 searches (Robertson and Zaragoza 2009) of tables that have no index.
 
-A search takes one of two ways, by the measured size of its query terms. Few enough to be sent to every
-task: the texts are scanned where they lie (:mod:`siftwell.operators.text_scan`). More: postings are
-partitioned by document and joined to the terms. In both, a document's score is summed in its own
-partition and only the best k per query and partition are shuffled, so a term that occurs in most
-documents is never gathered in one task.
+A search without an index scans the texts where they lie (:mod:`siftwell.operators.text_scan`): a document's score is
+summed in its own task and only the best k per query and partition are shuffled, so a term that occurs in most documents is never
+gathered in one task. The terms of the queries are sent to the tasks; queries whose terms measure more than a budget are
+dealt into parts that do not, and each part scans anew. A stored index (:mod:`siftwell.operators.text_blocks`) gives the same rows
+without opening texts, for any number of queries.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from siftwell.functions.text import quoted_phrases, sanitize_text_query, words
+from siftwell.functions.text import quoted_phrases, words
 from siftwell.operators.sizing import BROADCAST_BYTES, measured_bytes
+from siftwell.operators.text_blocks import K1, B, query_terms, rank_text
 from siftwell.operators.text_scan import lowered_texts, pack_weights, scan_frequencies, scan_scores
-from siftwell.operators.topk import top_n
 from siftwell.session import cut_lineage
 
-# BM25 parameters.
-K1 = 1.2
-B = 0.75
 # What a row of (qid, term, idf) takes besides its term.
 TERM_BYTES = 40
 
@@ -62,48 +59,6 @@ def corpus_stats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "conte
     return terms.select("term", "df", n_docs.alias("n_docs"), (tokens / n_docs).alias("mean_length"))
 
 
-def query_terms(queries: DataFrame) -> DataFrame:
-    """``(qid, term)``: distinct terms of each sanitised query."""
-    terms = F.array_distinct(words(sanitize_text_query(F.col("query"))))
-    return queries.select("qid", F.explode(terms).alias("term"))
-
-
-def text_scores(
-    postings: DataFrame, n_docs: Column, queries: DataFrame, budget: int = BROADCAST_BYTES
-) -> DataFrame:
-    """``(qid, doc_id, score)``: raw BM25 of every document holding any term of the query.
-
-    Postings are read twice: once for the query terms' frequencies together with the token total, and
-    once for the scores.
-    """
-    terms = query_terms(queries)
-    # A weight row is its term, a qid and two numbers, so this measures what would be broadcast.
-    small = measured_bytes(terms, F.octet_length("term") + F.lit(TERM_BYTES)) <= budget
-    hint = F.broadcast if small else (lambda df: df)
-    wanted = hint(terms.select("term").distinct())
-    marked = postings.join(wanted.withColumn("asked", F.col("term")), "term", "left")
-    # One row per query term: kept, as both the weights and the mean length come from it.
-    stats = cut_lineage(marked.groupBy("asked").agg(F.count("*").alias("df"), F.sum("tf").alias("tokens")))
-    mean_length = stats.agg(F.sum("tokens")).scalar() / n_docs
-    frequencies = stats.filter(F.col("asked").isNotNull()).select(F.col("asked").alias("term"), "df")
-    idf = F.log(F.lit(1.0) + (n_docs - F.col("df") + 0.5) / (F.col("df") + 0.5))
-    weights = terms.join(frequencies, "term").select("qid", "term", idf.alias("idf"))
-    length = F.col("doc_length") / mean_length
-    saturation = (F.col("tf") * (K1 + 1)) / (F.col("tf") + K1 * (1 - B + B * length))
-    return (
-        postings.join(hint(weights), "term")
-        .groupBy("doc_id", "qid")
-        .agg(F.round(F.sum(F.col("idf") * saturation), 6).alias("score"))
-    )
-
-
-def rank_text(scores: DataFrame, k: int) -> DataFrame:
-    """Best ``k`` per query, scores divided by the query's best so that they lie in (0, 1]."""
-    best = top_n(scores, ["qid"], [F.desc("score"), F.asc("doc_id")], k)
-    top = F.max("score").over(Window.partitionBy("qid"))
-    return best.select("qid", "rank", "doc_id", F.round(F.col("score") / top, 6).alias("score"))
-
-
 def scanned_scores(
     docs: DataFrame,
     queries: DataFrame,
@@ -123,9 +78,8 @@ def scanned_scores(
     stats = counted.toPandas()
     total = stats[stats["term"].isna()]
     n, tokens = int(total["df"].sum()), int(total["tokens"].sum())
-    found = stats[stats["term"].notna() & (stats["df"] > 0)].set_index("term")["df"]
-    asked = asked[asked["term"].isin(found.index)]
-    df = found.reindex(asked["term"]).to_numpy()
+    found = stats[stats["term"].notna()].set_index("term")["df"]
+    df = found.reindex(asked["term"]).fillna(0).to_numpy()
     weights = pa.table(
         {"qid": asked["qid"].to_numpy(), "term": asked["term"].to_numpy(), "idf": np.log(1.0 + (n - df + 0.5) / (df + 0.5))},
         schema=pa.schema([("qid", pa.int64()), ("term", pa.string()), ("idf", pa.float64())]),
@@ -134,18 +88,10 @@ def scanned_scores(
     if phrases:
         rows = queries.select("qid", F.explode_outer(quoted_phrases(F.col("query"))).alias("p"))
         quoted = [(r["qid"], r["p"]) for r in rows.select("qid", F.lower("p").alias("p")).collect() if r["p"] is not None]
-    packed = pack_weights(weights, tokens / max(n, 1), quoted)
+    packed = pack_weights(weights, tokens / max(n, 1) or 1.0, quoted, K1 + 1)
     return scan_scores(lowered_texts(docs, id_col, text_col, eligible), packed, k, K1, B)
 
 
-def with_phrases(scores: DataFrame, docs: DataFrame, queries: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """Scores of documents holding every quoted phrase of their query."""
-    asked = queries.select("qid", quoted_phrases(F.col("query")).alias("_phrases"))
-    texts = docs.select(F.col(id_col).alias("doc_id"), F.lower(text_col).alias("_lowered"))
-    holds = F.forall("_phrases", lambda p: F.contains(F.col("_lowered"), F.lower(p)))
-    return scores.join(asked, "qid").join(texts, "doc_id").filter(holds).select("qid", "doc_id", "score")
-
-
 def text_search(
     docs: DataFrame,
     queries: DataFrame,
@@ -159,27 +105,18 @@ def text_search(
     """``(qid, rank, doc_id, score)``: best documents matching any query term.
 
     Statistics cover all of ``docs``; ``eligible`` only limits which documents are returned. With
-    ``phrases``, a document must hold every quoted phrase of the query. Query terms that measure at
-    most ``budget`` bytes are sent to a scan of the texts; more are joined to postings.
+    ``phrases``, a document must hold every quoted phrase of the query. A document is a row; an id in several rows gets its
+    best score. Query terms that measure more than ``budget`` bytes are searched in several scans.
     """
     if k < 1:
         return docs.sparkSession.createDataFrame([], "qid long, rank int, doc_id long, score double")
-    terms = query_terms(queries)
-    size = measured_bytes(terms, F.octet_length("term") + F.lit(TERM_BYTES))
+    size = measured_bytes(query_terms(queries), F.octet_length("term") + F.lit(TERM_BYTES))
     if phrases:
         size += measured_bytes(queries, F.octet_length("query"))
-    if size <= budget:
-        return rank_text(scanned_scores(docs, queries, terms, k, eligible, id_col, text_col, phrases), k)
-    scores = text_scores(text_postings(docs, id_col, text_col), document_count(docs, text_col), queries, budget)
-    if eligible is not None:
-        allowed = docs.filter(eligible).select(F.col(id_col).alias("doc_id"))
-        scores = scores.join(allowed, "doc_id", "left_semi")
-    if phrases:
-        scores = with_phrases(scores, docs, queries, id_col, text_col)
-    return rank_text(scores, k)
-
-
-def save_postings(postings: DataFrame, table: str, path: str, buckets: int) -> DataFrame:
-    """Postings as a table bucketed by document, so that searches on it shuffle no postings."""
-    postings.write.mode("overwrite").option("path", path).bucketBy(buckets, "doc_id").saveAsTable(table)
-    return postings.sparkSession.table(table)
+    parts = max(1, -(-size // budget))
+    found: DataFrame | None = None
+    for part in range(parts):
+        some = queries if parts == 1 else queries.where(F.pmod(F.xxhash64("qid"), F.lit(parts)) == part)
+        scores = scanned_scores(docs, some, query_terms(some), k, eligible, id_col, text_col, phrases)
+        found = scores if found is None else found.unionByName(scores)
+    return rank_text(found, k)

@@ -16,13 +16,13 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from siftwell.functions.text import LOWER_WORD
 from siftwell.operators.knn import Hits, best_hits, top_candidates
 from siftwell.operators.sizing import spread
 
-SCORES = "qid long, doc_id long, score double"
+SCORES = "qid long, doc_id long, score double, ceiling double"
 COUNTS = "term string, df long, tokens long"
-BETWEEN_WORDS = LOWER_WORD.replace("[", "[^")
+# What lies between two words: everything that is in none.
+BETWEEN_WORDS = "[^a-z0-9]+"
 SLICE_CELLS = 1 << 20
 
 
@@ -72,10 +72,11 @@ class Weights:
     idf: np.ndarray
     mean_length: float
     phrases: list[tuple[int, str]]
+    ceilings: np.ndarray
 
-    def scores(self, lowered: pa.Array, k1: float, b: float) -> np.ndarray:
-        """Score of every query for every text; NaN where no term, or not every phrase, occurs."""
-        row, term, tf, length = term_counts(lowered, pa.array(self.terms, pa.string()))
+    def scores(self, lowered: pa.Array, names: pa.Array, k1: float, b: float) -> np.ndarray:
+        """Score of every query for every text; NaN where no term, or not every phrase, occurs. ``names`` are the terms."""
+        row, term, tf, length = term_counts(lowered, names)
         norm = k1 * (1 - b + b * length[row] / self.mean_length)
         saturation = tf * (k1 + 1) / (tf + norm)
         fan = self.starts[term + 1] - self.starts[term]
@@ -92,16 +93,38 @@ class Weights:
         return np.round(score, 6)
 
 
-def pack_weights(weights: pa.Table, mean_length: float, phrases: list[tuple[int, str]]) -> Weights:
-    """``weights`` has one row per (qid, term) with its idf; a query whose terms occur nowhere has none."""
-    qid, term, idf = (weights[c].to_numpy() for c in ("qid", "term", "idf"))
+def pack_weights(weights: pa.Table, mean_length: float, phrases: list[tuple[int, str]], most: float) -> Weights:
+    """``weights`` has one row per (qid, term) with its idf, terms that occur nowhere included. A term adds at most ``most`` times its idf."""
+    qid, idf = (weights[c].to_numpy() for c in ("qid", "idf"))
     qids, query = np.unique(qid, return_inverse=True)
-    terms, code = np.unique(term.astype(str), return_inverse=True)
+    coded = weights["term"].combine_chunks().dictionary_encode()
+    code = coded.indices.to_numpy(zero_copy_only=False)
     order = np.argsort(code, kind="stable")
-    starts = np.r_[0, np.cumsum(np.bincount(code, minlength=len(terms)))]
+    starts = np.r_[0, np.cumsum(np.bincount(code, minlength=len(coded.dictionary)))]
     place = {q: i for i, q in enumerate(qids.tolist())}
     known = [(place[q], phrase) for q, phrase in phrases if q in place]
-    return Weights(qids, terms.tolist(), starts, query[order], idf[order], mean_length, known)
+    ceilings = most * np.bincount(query, idf, len(qids))
+    return Weights(qids, coded.dictionary.to_pylist(), starts, query[order], idf[order], mean_length, known, ceilings)
+
+
+def one_column_per_id(score: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rows that share an id become one column with the best of their scores."""
+    order = np.argsort(ids, kind="stable")
+    sorted_ids = ids[order]
+    first = np.flatnonzero(np.r_[True, sorted_ids[1:] != sorted_ids[:-1]])
+    if len(first) == len(ids):
+        return score, ids
+    score = np.where(np.isnan(score), -np.inf, score)
+    return np.maximum.reduceat(score[:, order], first, axis=1), sorted_ids[first]
+
+
+def one_hit_per_id(hits: Hits) -> Hits:
+    q, d, s = hits
+    order = np.lexsort((-s, d, q))
+    q, d, s = q[order], d[order], s[order]
+    first = np.ones(len(q), bool)
+    first[1:] = (q[1:] != q[:-1]) | (d[1:] != d[:-1])
+    return q[first], d[first], s[first]
 
 
 def scan_scores(texts: DataFrame, weights: Weights, k: int, k1: float, b: float) -> DataFrame:
@@ -110,16 +133,20 @@ def scan_scores(texts: DataFrame, weights: Weights, k: int, k1: float, b: float)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         w = shared.value
+        names = pa.array(w.terms, pa.string())
         best: Hits = (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))
         step = max(1, SLICE_CELLS // max(1, len(w.qids)))
         for batch in batches:
             for start in range(0, batch.num_rows if len(w.qids) else 0, step):
                 part = batch.slice(start, step)
                 ids = part.column("doc_id").to_numpy()
-                new = top_candidates(w.scores(part.column("lowered"), k1, b), ids, k)
+                new = top_candidates(*one_column_per_id(w.scores(part.column("lowered"), names, k1, b), ids), k)
                 real = ~np.isneginf(new[2])
-                best = best_hits(tuple(np.concatenate((o, n[real])) for o, n in zip(best, new)), k)
-        yield pa.record_batch([w.qids[best[0]], best[1], best[2]], names=["qid", "doc_id", "score"])
+                joined = tuple(np.concatenate((o, n[real])) for o, n in zip(best, new))
+                best = best_hits(one_hit_per_id(joined), k)
+        yield pa.record_batch(
+            [w.qids[best[0]], best[1], best[2], w.ceilings[best[0]]], names=["qid", "doc_id", "score", "ceiling"]
+        )
 
     return texts.mapInArrow(scan, SCORES)
 

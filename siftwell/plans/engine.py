@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from siftwell.config import RetrievalConfig
 from siftwell.operators import lifecycle
 from siftwell.operators.lifecycle import Embedder, hashing_embedder
+from siftwell.operators.text_blocks import TextIndex
 from siftwell.plans import modes
 from siftwell.session import cut_lineage
 from siftwell.sources.store import StoreTable, check_store, count_where, delete_where
@@ -25,7 +26,8 @@ class RetrievalEngine:
 
     ``foreign_source(queries, n)`` returns ranked results of the queries it is given, at most ``n``
     each; the cache modes ask it only about queries the store left unanswered. ``embed`` makes vectors
-    of queries and documents, ``ranker`` orders merged results in hybrid_search.
+    of queries and documents, ``ranker`` orders merged results in hybrid_search. With ``text_index``, searches by
+    vector and text read the texts' stored index; rows saved after it was built are found by vector only.
     """
 
     def __init__(
@@ -36,7 +38,9 @@ class RetrievalEngine:
         embed: Embedder | None = None,
         ranker: modes.Ranker | None = None,
         embed_query: Embedder | None = None,
+        text_index: TextIndex | None = None,
     ):
+        self.text_index = text_index
         self.table, self.cfg, self.foreign_source = table, cfg, foreign_source
         self.embed = embed or hashing_embedder(EMBEDDING_DIM)
         self.embed_query = embed_query or self.embed
@@ -64,9 +68,9 @@ class RetrievalEngine:
             )
         if not self.cfg.is_cache:
             foreign = self._fetch(queries)
-            found = modes.hybrid_search(queries, store, self.cfg, now, foreign, self.ranker)
+            found = modes.hybrid_search(queries, store, self.cfg, now, foreign, self.ranker, self.text_index)
         else:
-            hits = cut_lineage(modes.tier_hits(queries, store, self.cfg, now))
+            hits = cut_lineage(modes.tier_hits(queries, store, self.cfg, now, self.text_index))
             foreign = self._fetch(modes.tier_fallback(queries, hits))
             found = modes.tiered_results(queries, store, self.cfg, hits, foreign)
         if save_foreign is not False and self.cfg.foreign_limit > 0:

@@ -18,6 +18,7 @@ from siftwell.functions.vectors import distance, score_from_distance
 from siftwell.operators import filters
 from siftwell.operators.knn import attach_content, knn, knn_tiers, project_foreign, project_local
 from siftwell.operators.sizing import rows_for
+from siftwell.operators.text_blocks import TextIndex, index_search
 from siftwell.operators.text_index import text_search
 from siftwell.operators.topk import rank_by_score, top_n, topk_per_query
 from siftwell.session import cut_lineage
@@ -50,38 +51,62 @@ def vector_scores(pairs: DataFrame, store: DataFrame, queries: DataFrame, metric
 
 
 def hybrid_candidates(
-    store: DataFrame, queries: DataFrame, k: int, metric: str = "cosine", eligible: Column | None = None
+    store: DataFrame,
+    queries: DataFrame,
+    k: int,
+    metric: str = "cosine",
+    eligible: Column | None = None,
+    index: TextIndex | None = None,
 ) -> DataFrame:
-    """Union of the best k by vector and the best k by text; a document may come from both."""
+    """Union of the best k by vector and the best k by text; a document may come from both.
+
+    With an ``index`` of the store's texts no text is read; without one they are scanned."""
     rule = F.col("embeddings").isNotNull() if eligible is None else eligible & F.col("embeddings").isNotNull()
     by_vector = knn(store, queries, k, metric, rule).select(
         "qid", "doc_id", F.col("score").alias("vector_score"), F.lit(0.0).alias("text_score")
     )
-    hits = text_search(store, queries, k, rule).withColumnRenamed("score", "text_score")
+    if index is None:
+        hits = text_search(store, queries, k, rule)
+    else:
+        hits = index_search(index, queries, k, store.filter(rule).select("doc_id"))
+    hits = hits.withColumnRenamed("score", "text_score")
     by_text = vector_scores(hits, store, queries, metric)
     return by_vector.unionByName(by_text.select("qid", "doc_id", "vector_score", "text_score"))
 
 
 def native_hybrid_hits(
-    store: DataFrame, queries: DataFrame, k: int, metric: str = "cosine", eligible: Column | None = None
+    store: DataFrame,
+    queries: DataFrame,
+    k: int,
+    metric: str = "cosine",
+    eligible: Column | None = None,
+    index: TextIndex | None = None,
 ) -> DataFrame:
     """``(qid, rank, doc_id, score)`` by fused score. A query without words is answered by vector."""
     if k < 1:
         return knn(store, queries, k, metric)
-    return topk_per_query(fuse_scores(hybrid_candidates(store, queries, k, metric, eligible)), k)
+    return topk_per_query(fuse_scores(hybrid_candidates(store, queries, k, metric, eligible, index)), k)
 
 
 def native_hybrid(
-    queries: DataFrame, store: DataFrame, cfg: RetrievalConfig, now: datetime | None = None
+    queries: DataFrame,
+    store: DataFrame,
+    cfg: RetrievalConfig,
+    now: datetime | None = None,
+    index: TextIndex | None = None,
 ) -> DataFrame:
     hits = native_hybrid_hits(
-        store, queries, cfg.local_limit, cfg.metric, filters.matches_metadata(cfg.metadata_filters)
+        store, queries, cfg.local_limit, cfg.metric, filters.matches_metadata(cfg.metadata_filters), index
     )
     return project_local(attach_content(hits, store))
 
 
 def local_tiers(
-    queries: DataFrame, store: DataFrame, cfg: RetrievalConfig, tiers: list[tuple[Column, int]]
+    queries: DataFrame,
+    store: DataFrame,
+    cfg: RetrievalConfig,
+    tiers: list[tuple[Column, int]],
+    index: TextIndex | None = None,
 ) -> DataFrame:
     """``(tier, qid, rank, doc_id, score)`` for each tier's rule and k; one scan when by vector."""
     metadata = filters.matches_metadata(cfg.metadata_filters)
@@ -89,7 +114,7 @@ def local_tiers(
     if not cfg.native_hybrid:
         return knn_tiers(store, queries, tiers, cfg.metric)
     parts = [
-        native_hybrid_hits(store, queries, k, cfg.metric, rule).withColumn("tier", F.lit(i))
+        native_hybrid_hits(store, queries, k, cfg.metric, rule, index).withColumn("tier", F.lit(i))
         for i, (rule, k) in enumerate(tiers)
     ]
     merged = parts[0]
@@ -114,13 +139,14 @@ def hybrid_search(
     now: datetime,
     foreign: DataFrame,
     ranker: Ranker | None = None,
+    index: TextIndex | None = None,
 ) -> DataFrame:
     """Local and foreign results ranked together, best ``max_results``.
 
     The default ranker needs only scores, so content is joined to the returned rows. Another ranker
     sees whole candidates.
     """
-    hits = local_tiers(queries, store, cfg, [(F.lit(True), cfg.local_limit)]).drop("tier")
+    hits = local_tiers(queries, store, cfg, [(F.lit(True), cfg.local_limit)], index).drop("tier")
     fetched = project_foreign(capped_foreign(foreign, cfg.foreign_limit))
     if ranker is not None:
         merged = merge_local_foreign(project_local(attach_content(hits, store)), fetched)
@@ -190,12 +216,14 @@ def cache_tiers(
     ]
 
 
-def tier_hits(queries: DataFrame, store: DataFrame, cfg: RetrievalConfig, now: datetime) -> DataFrame:
+def tier_hits(
+    queries: DataFrame, store: DataFrame, cfg: RetrievalConfig, now: datetime, index: TextIndex | None = None
+) -> DataFrame:
     """``(tier, qid, rank, doc_id, score)``: rows of every local tier that score enough. The cut to
     the tier's k comes before the threshold."""
     tiers = cache_tiers(store, cfg, now)
     floor = F.element_at(F.array(*[F.lit(least) for _, _, least in tiers]), F.col("tier") + 1)
-    hits = local_tiers(queries, store, cfg, [(rule, k) for rule, k, _ in tiers])
+    hits = local_tiers(queries, store, cfg, [(rule, k) for rule, k, _ in tiers], index)
     return hits.filter(F.col("score") >= floor)
 
 
@@ -220,14 +248,24 @@ def tiered_results(
 
 
 def freshness_cache(
-    queries: DataFrame, store: DataFrame, cfg: RetrievalConfig, now: datetime, foreign: DataFrame
+    queries: DataFrame,
+    store: DataFrame,
+    cfg: RetrievalConfig,
+    now: datetime,
+    foreign: DataFrame,
+    index: TextIndex | None = None,
 ) -> DataFrame:
     """Fresh rows scoring enough, else foreign results in arrival order."""
-    return tiered_results(queries, store, cfg, tier_hits(queries, store, cfg, now), foreign)
+    return tiered_results(queries, store, cfg, tier_hits(queries, store, cfg, now, index), foreign)
 
 
 def cache_then_memory(
-    queries: DataFrame, store: DataFrame, cfg: RetrievalConfig, now: datetime, foreign: DataFrame
+    queries: DataFrame,
+    store: DataFrame,
+    cfg: RetrievalConfig,
+    now: datetime,
+    foreign: DataFrame,
+    index: TextIndex | None = None,
 ) -> DataFrame:
     """Fresh cache, then durable memory of any age, then foreign results."""
-    return tiered_results(queries, store, cfg, tier_hits(queries, store, cfg, now), foreign)
+    return tiered_results(queries, store, cfg, tier_hits(queries, store, cfg, now, index), foreign)

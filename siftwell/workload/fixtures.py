@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 
 from siftwell.functions import html, urls
 from siftwell.operators.sizing import spread
+from siftwell.operators.text_blocks import TextIndex, build_text_index
+from siftwell.session import scratch_path
 
 NOW = datetime(2024, 1, 31)
 TAG = "web"
@@ -27,22 +29,34 @@ def div(a: Column, b: Column) -> Column:
     return F.floor(a / b).cast("long")
 
 
+_indexes: dict[tuple[str, str, str], TextIndex] = {}
+
+
+def text_index(spark: SparkSession, sf: str, name: str) -> TextIndex:
+    """The text index of the documents or of the store, built when it is first asked for in a session."""
+    key = (spark.sparkContext.applicationId, sf, name)
+    if key not in _indexes:
+        docs, column = (table(spark, sf, "documents"), "text") if name == "documents" else (store(spark, sf), "content")
+        _indexes[key] = build_text_index(docs, scratch_path(spark, f"text-index-{name}"), text_col=column)
+    return _indexes[key]
+
+
 def stamp(c: str | Column) -> Column:
     return F.date_format(c, "yyyy-MM-dd HH:mm:ss")
 
 
 def store(spark: SparkSession, sf: str) -> DataFrame:
-    """Embeddings joined to their documents, with lifecycle columns derived from the id."""
+    """All documents, with their vectors where they have one and lifecycle columns derived from the id."""
     vectors = table(spark, sf, "embeddings")
     docs = table(spark, sf, "documents")
-    v = F.col("vec_id")
+    v = F.col("doc_id")
     now = F.lit(NOW).cast("timestamp_ntz")
     added = now - F.make_dt_interval(hours=F.pmod(v * 7, F.lit(72)).cast("int"))
     owner = F.when(v % 11 == 0, None).when(v % 5 == 0, "manual").otherwise("web")
     return (
-        vectors.join(docs, vectors.vec_id == docs.doc_id)
+        docs.join(vectors, vectors.vec_id == docs.doc_id, "left")
         .select(
-            v.alias("doc_id"),
+            "doc_id",
             F.col("text").alias("content"),
             F.col("embedding").alias("embeddings"),
             F.col("label").cast("long").alias("label"),
@@ -67,22 +81,22 @@ def store(spark: SparkSession, sf: str) -> DataFrame:
 
 STORE = """
 store AS (
-  SELECT vec_id AS doc_id, text AS content, embedding AS embeddings, label::BIGINT AS label,
-    TIMESTAMP '2024-01-31' - to_hours((vec_id*7) % 72) AS added_at,
-    CASE vec_id % 3 WHEN 0 THEN 'cache_only' WHEN 1 THEN 'cache_plus_memory' END AS memory_scope,
-    CASE WHEN vec_id % 7 <> 0 THEN TIMESTAMP '2024-01-31' - to_hours((vec_id*7) % 72) + INTERVAL 24 HOURS END AS expires_at,
-    CASE vec_id % 4 WHEN 0 THEN 'hybrid_search' WHEN 1 THEN 'freshness_cache' ELSE 'cache_then_memory' END AS retrieval_mode,
-    CASE WHEN vec_id % 11 = 0 THEN NULL WHEN vec_id % 5 = 0 THEN 'manual' ELSE 'web' END AS provider_name,
-    CASE WHEN vec_id % 11 = 0 THEN NULL WHEN vec_id % 5 = 0 THEN 'manual' ELSE 'web' END AS inserted_from,
-    'https://' || source || '.example/' || vec_id AS source_url,
+  SELECT doc_id, text AS content, embedding AS embeddings, label::BIGINT AS label,
+    TIMESTAMP '2024-01-31' - to_hours((doc_id*7) % 72) AS added_at,
+    CASE doc_id % 3 WHEN 0 THEN 'cache_only' WHEN 1 THEN 'cache_plus_memory' END AS memory_scope,
+    CASE WHEN doc_id % 7 <> 0 THEN TIMESTAMP '2024-01-31' - to_hours((doc_id*7) % 72) + INTERVAL 24 HOURS END AS expires_at,
+    CASE doc_id % 4 WHEN 0 THEN 'hybrid_search' WHEN 1 THEN 'freshness_cache' ELSE 'cache_then_memory' END AS retrieval_mode,
+    CASE WHEN doc_id % 11 = 0 THEN NULL WHEN doc_id % 5 = 0 THEN 'manual' ELSE 'web' END AS provider_name,
+    CASE WHEN doc_id % 11 = 0 THEN NULL WHEN doc_id % 5 = 0 THEN 'manual' ELSE 'web' END AS inserted_from,
+    'https://' || source || '.example/' || doc_id AS source_url,
     substr(text, 1, 40) AS source_title,
-    'query ' || (vec_id % 20) AS retrieval_query,
-    TIMESTAMP '2024-01-31' - to_hours((vec_id*7) % 72) AS retrieval_timestamp,
-    CASE WHEN vec_id % 13 <> 0 THEN TIMESTAMP '2024-01-31' - to_hours((vec_id*7) % 72) END AS last_seen_at,
-    CASE WHEN vec_id % 11 <> 0 THEN vec_id % 6 END AS query_count,
+    'query ' || (doc_id % 20) AS retrieval_query,
+    TIMESTAMP '2024-01-31' - to_hours((doc_id*7) % 72) AS retrieval_timestamp,
+    CASE WHEN doc_id % 13 <> 0 THEN TIMESTAMP '2024-01-31' - to_hours((doc_id*7) % 72) END AS last_seen_at,
+    CASE WHEN doc_id % 11 <> 0 THEN doc_id % 6 END AS query_count,
     0 AS cache_hit,
     sha256(text) AS content_hash
-  FROM embeddings JOIN documents ON vec_id = doc_id)"""
+  FROM documents LEFT JOIN embeddings ON vec_id = doc_id)"""
 
 
 def queries(spark: SparkSession, sf: str) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from siftwell.config import RetrievalConfig
-from siftwell.operators import filters, knn as nn, text_index, topk
+from siftwell.operators import filters, knn as nn, text_blocks, text_index, topk
 from siftwell.plans import modes
 from siftwell.workload import fixtures as fx
 from siftwell.workload.fixtures import COS, NOW, S, SIM, SQ, SQF
@@ -59,7 +59,7 @@ for metric, sql_distance in {
         SQ
         + f"""SELECT qid, rank, doc_id, score FROM (
   SELECT *, row_number() OVER (PARTITION BY qid ORDER BY score DESC, doc_id) AS rank FROM (
-    SELECT qid, doc_id, round(1 - ({sql_distance}), 6) AS score FROM queries, store))
+    SELECT qid, doc_id, round(1 - ({sql_distance}), 6) AS score FROM queries, store WHERE embeddings IS NOT NULL))
 WHERE rank <= {K}""",
     )(by_metric)
 
@@ -131,17 +131,23 @@ text_scores AS (
   SELECT qid, doc_id, round(sum(ln(1.0 + (n_docs - df + 0.5) / (df + 0.5)) *
     (tf * 2.2) / (tf + 1.2 * (0.25 + 0.75 * doc_length / mean_length))), 6) AS raw
   FROM query_terms JOIN postings USING (term) JOIN frequencies USING (term) JOIN lengths USING (doc_id), totals
-  GROUP BY 1, 2)"""
+  GROUP BY 1, 2),
+ceilings AS (SELECT qid, 2.2 * sum(ln(1.0 + (n_docs - coalesce(df, 0) + 0.5) / (coalesce(df, 0) + 0.5))) AS ceiling
+  FROM query_terms LEFT JOIN frequencies USING (term), totals GROUP BY 1)"""
 
 
 def text_hits(k: int, where: str = "TRUE", name: str = "text_hits") -> str:
     return f"""{name} AS (
-  SELECT qid, rank, doc_id, round(raw / max(raw) OVER (PARTITION BY qid), 6) AS score FROM (
+  SELECT qid, rank, doc_id, round(raw / ceiling, 6) AS score FROM (
     SELECT *, row_number() OVER (PARTITION BY qid ORDER BY raw DESC, doc_id) AS rank
-    FROM text_scores WHERE {where}) WHERE rank <= {k})"""
+    FROM text_scores WHERE {where}) JOIN ceilings USING (qid) WHERE rank <= {k})"""
 
 
 DOC_POSTINGS = POSTINGS.format(docs="documents", text="text")
+def _items(spark, sf):
+    return fx.table(spark, sf, "benchmark").select(F.col("item_id").alias("qid"), F.col("text").alias("query"))
+
+
 ITEMS = "items AS (SELECT item_id AS qid, text AS query FROM benchmark)"
 
 
@@ -164,16 +170,58 @@ def corpus_stats(spark, sf):
     f"WITH {ITEMS},{DOC_POSTINGS},{BM25.format(queries='items')},{text_hits(10)} SELECT * FROM text_hits",
 )
 def text_search(spark, sf):
-    """Every benchmark item searched in all documents, by whole texts."""
-    items = fx.table(spark, sf, "benchmark").select(F.col("item_id").alias("qid"), F.col("text").alias("query"))
-    return text_index.text_search(fx.table(spark, sf, "documents"), items, 10, text_col="text")
+    """Every benchmark item searched in all documents, by whole texts, from their stored index."""
+    return text_blocks.index_search(fx.text_index(spark, sf, "documents"), _items(spark, sf), 10)
+
+
+@check(
+    "text_search_scan",
+    f"WITH {ITEMS},{DOC_POSTINGS},{BM25.format(queries='items')},{text_hits(10)} SELECT * FROM text_hits",
+)
+def text_search_scan(spark, sf):
+    """The same without an index: the texts are scanned."""
+    return text_index.text_search(fx.table(spark, sf, "documents"), _items(spark, sf), 10, text_col="text")
+
+
+def sql_tokens(text: str) -> str:
+    return f"' ' || array_to_string(regexp_extract_all(lower({text}), '[a-z0-9]+'), ' ') || ' '"
+
+
+QUOTED_ITEMS = """quoted_items AS (SELECT item_id AS qid,
+  '"' || array_to_string(string_split(text, ' ')[2:4], ' ') || '" ' || text AS query FROM benchmark),
+told AS (SELECT qid, unnest(regexp_extract_all(query, '"([^"]+)"', 1)) AS phrase FROM quoted_items),
+phrase_hits AS (
+  SELECT qid, doc_id FROM told, documents GROUP BY qid, doc_id
+  HAVING bool_and(contains({text}, {phrase})))""".format(text=sql_tokens("coalesce(text, '')"), phrase=sql_tokens("phrase"))
+
+
+def _quoted_items(spark, sf):
+    """Every item with three of its words as a phrase before it."""
+    phrase = F.array_join(F.slice(F.split("query", " "), 2, 3), " ")
+    return _items(spark, sf).select("qid", F.concat(F.lit('"'), phrase, F.lit('" '), "query").alias("query"))
+
+
+@check("phrase_matches", f"WITH {QUOTED_ITEMS} SELECT qid, doc_id FROM phrase_hits")
+def phrase_matches(spark, sf):
+    """Documents that hold a phrase, from the positions in the stored index."""
+    return text_blocks.phrase_matches(fx.text_index(spark, sf, "documents"), _quoted_items(spark, sf))
+
+
+@check(
+    "phrase_search",
+    f"WITH {QUOTED_ITEMS},{DOC_POSTINGS},{BM25.format(queries='quoted_items')},"
+    + text_hits(10, "(qid, doc_id) IN (SELECT qid, doc_id FROM phrase_hits)") + " SELECT * FROM text_hits",
+)
+def phrase_search(spark, sf):
+    """Best documents of each item among those that hold its phrase."""
+    return text_blocks.index_search(fx.text_index(spark, sf, "documents"), _quoted_items(spark, sf), 10, phrases=True)
 
 
 STORE_TEXT = POSTINGS.format(docs="store", text="content") + "," + BM25.format(queries="queries")
 CANDIDATES = (
     STORE_TEXT
     + ","
-    + text_hits(K)
+    + text_hits(K, "doc_id IN (SELECT doc_id FROM store WHERE embeddings IS NOT NULL)")
     + ","
     + ranked("store", K, name="vector_hits")
     + f""", candidates AS (
@@ -214,7 +262,7 @@ def candidate_join_back(spark, sf):
 )
 def native_hybrid(spark, sf):
     cfg = RetrievalConfig(max_results=K, native_hybrid=True)
-    return modes.native_hybrid(fx.queries(spark, sf), fx.store(spark, sf), cfg)
+    return modes.native_hybrid(fx.queries(spark, sf), fx.store(spark, sf), cfg, index=fx.text_index(spark, sf, "store"))
 
 
 # --- flows ----------------------------------------------------------------------------------------
@@ -255,6 +303,20 @@ def hybrid_search(spark, sf):
     )
 
 
+BOTH_FLOOR = 0.75
+BY_BOTH = SQF + "," + STORE_TEXT + "," + text_hits(K, f"doc_id IN (SELECT doc_id FROM store WHERE embeddings IS NOT NULL AND {FRESH})") + "," + ranked(
+    "store", K, FRESH, "vector_hits"
+) + f""", both_candidates AS (
+  SELECT qid, doc_id, score AS vector_score, 0.0::DOUBLE AS text_score FROM vector_hits
+  UNION ALL
+  SELECT t.qid, t.doc_id, {COS} AS vector_score, t.score AS text_score
+  FROM text_hits t JOIN store USING (doc_id) JOIN queries ON queries.qid = t.qid),
+both_fused AS (SELECT qid, doc_id, round(max(vector_score) + max(text_score), 6) AS score FROM both_candidates GROUP BY 1, 2),
+both_hits AS (SELECT qid, rank, doc_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY qid ORDER BY score DESC, doc_id) AS rank FROM both_fused) WHERE rank <= {K}),
+""" + FIRST_FOREIGN
+
+
 SCOPED = "memory_scope IN ('cache_only', 'cache_plus_memory')"
 TIERS = (
     SQF
@@ -313,3 +375,14 @@ def cache_then_memory(spark, sf):
     return modes.cache_then_memory(
         fx.queries(spark, sf), fx.store(spark, sf), cfg, NOW, fx.foreign(spark, sf)
     )
+
+
+@check("freshness_cache_by_both", BY_BOTH + _tier_rows(["both_hits"]).replace(f"score >= {FLOOR}", f"score >= {BOTH_FLOOR}"))
+def freshness_cache_by_both(spark, sf):
+    """The cache searched by vector and text; a weak match of both falls back to foreign results."""
+    cfg = RetrievalConfig(
+        "freshness_cache", max_results=K, cache_ttl_seconds=TTL, cache_score_threshold=BOTH_FLOOR, native_hybrid=True
+    )
+    return modes.freshness_cache(
+        fx.queries(spark, sf), fx.store(spark, sf), cfg, NOW, fx.foreign(spark, sf), fx.text_index(spark, sf, "store")
+    )

@@ -10,6 +10,7 @@ from siftwell.config import RetrievalConfig
 from siftwell.functions.embedding import hash_embedding
 from siftwell.operators import filters, lifecycle, topk
 from siftwell.operators.sizing import spread
+from siftwell.session import scratch_path
 from siftwell.sources import store as st
 from siftwell.workload import fixtures as fx
 from siftwell.workload.fixtures import F_, NOW, S, SIM, TAG, stamp
@@ -29,21 +30,27 @@ UNSCOPED = """(retrieval_mode IN ('freshness_cache', 'cache_then_memory')
 
 @check(
     "store_scan",
-    "SELECT vec_id AS doc_id, label AS label, round(list_sum(list_transform(embedding, lambda x: x::DOUBLE)), 6) AS total FROM embeddings",
+    S
+    + """SELECT doc_id, label, content_hash, length(content) AS n_chars, round(list_sum(list_transform(embeddings, lambda x: x::DOUBLE)), 6) AS total,
+  strftime(expires_at, '%Y-%m-%d %H:%M:%S') AS expires_at FROM store""",
 )
 def store_scan(spark, sf):
-    """Vectors opened as a store: renamed, checked, and read column-pruned."""
-    vectors = fx.table(spark, sf, "embeddings").withColumnsRenamed({"vec_id": "doc_id", "embedding": "embeddings"})
-    opened = st.check_store(vectors.withColumn("content", F.lit("")))
+    """A written store opened by its own column names: checked, and its texts and vectors read."""
+    path = scratch_path(spark, "opened-store")
+    fx.store(spark, sf).withColumnsRenamed({"content": "body", "embeddings": "vector"}).write.parquet(path)
+    opened = st.open_store(spark, path, {"body": "content", "vector": "embeddings"}, ("doc_id", "expires_at"))
     total = F.aggregate("embeddings", F.lit(0.0), lambda a, x: a + x)
-    return opened.select("doc_id", "label", F.round(total, 6).alias("total"))
+    return opened.select(
+        "doc_id", "label", F.sha2("content", 256).alias("content_hash"), F.length("content").cast("long").alias("n_chars"),
+        F.round(total, 6).alias("total"), stamp("expires_at").alias("expires_at"),
+    )
 
 
 @check(
     "store_ensure_columns",
-    """SELECT vec_id AS doc_id, NULL::VARCHAR AS raw_payload, NULL::VARCHAR AS memory_scope, NULL::BIGINT AS query_count,
+    """SELECT doc_id, NULL::VARCHAR AS raw_payload, NULL::VARCHAR AS memory_scope, NULL::BIGINT AS query_count,
   'added_at,cache_hit,content_hash,expires_at,inserted_from,last_seen_at,memory_scope,provider_name,query_count,raw_payload,retrieval_mode,retrieval_query,retrieval_timestamp,source_title,source_url' AS added
-FROM embeddings JOIN documents ON vec_id = doc_id""",
+FROM documents""",
 )
 def store_ensure_columns(spark, sf):
     minimal = fx.store(spark, sf).select("doc_id", "content", "embeddings")

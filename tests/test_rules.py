@@ -371,35 +371,8 @@ def test_text_search_small(spark):
     got = sorted((r["qid"], r["rank"], r["doc_id"]) for r in rows)
     assert got == [(1, 1, 1), (2, 1, 2), (2, 2, 1)]
     assert all(0 < r["score"] <= 1 for r in rows)
-    shuffled = text_index.text_search(docs, queries, 5, budget=0).collect()
-    assert sorted(map(tuple, shuffled)) == sorted(map(tuple, rows))
-
-
-@pytest.mark.parametrize("phrases", [False, True])
-def test_both_ways_of_text_search_agree(spark, phrases):
-    sf = "/root/testdata/sf0.001"
-    docs, asked = fx.table(spark, sf, "documents"), fx.table(spark, sf, "benchmark")
-    first = F.regexp_extract("text", "^[A-Za-z]+", 0)
-    queries = asked.select(F.col("item_id").alias("qid"), F.concat(F.lit('"'), first, F.lit('" '), "text").alias("query"))
-    rule = F.col("doc_id") % 3 != 0
-    found = [
-        sorted(map(tuple, text_index.text_search(docs, queries, 7, rule, text_col="text", phrases=phrases, budget=b).collect()))
-        for b in (1 << 26, 0)
-    ]
-    assert found[0] == found[1] and len(found[0]) > 100
-
-
-def test_bucketed_postings_are_not_shuffled(spark, tmp_path):
-    docs = fx.table(spark, "/root/testdata/sf0.001", "documents")
-    queries = spark.createDataFrame([(1, "the house"), (2, "of")], "qid long, query string")
-    fresh = text_index.text_postings(docs, "doc_id", "text")
-    stored = text_index.save_postings(fresh, "postings_test", str(tmp_path / "postings"), 4)
-    n_docs = text_index.document_count(docs, "text")
-    scores = text_index.text_scores(stored, n_docs, queries)
-    assert "hashpartitioning(doc_id" not in scores._jdf.queryExecution().executedPlan().toString()
-    got = sorted(map(tuple, text_index.rank_text(scores, 5).collect()))
-    assert got == sorted(map(tuple, text_index.text_search(docs, queries, 5, text_col="text").collect()))
-    spark.sql("DROP TABLE postings_test")
+    in_parts = text_index.text_search(docs, queries, 5, budget=60).collect()
+    assert sorted(map(tuple, in_parts)) == sorted(map(tuple, rows))
 
 
 def test_native_hybrid_without_words_is_vector_only(spark):
@@ -408,7 +381,8 @@ def test_native_hybrid_without_words_is_vector_only(spark):
     rows = {(r["qid"], r["rank"]): (r["doc_id"], r["score"]) for r in modes.native_hybrid_hits(store, queries, 1).collect()}
     assert rows[(1, 1)][0] == 1 and rows[(2, 1)] == (1, 1.0)
     fused = modes.native_hybrid_hits(store, queries, 2).filter("qid = 2 AND doc_id = 2").first()
-    assert fused["score"] == 1.0
+    # A word of its only kind: frequency 1 in a text of mean length reaches 1 / 2.2 of what a word can add.
+    assert fused["score"] == round(1 / 2.2, 6)
 
 
 def test_small_text_expressions(spark):
