@@ -13,7 +13,7 @@ from siftwell.functions.embedding import hash_embedding
 from siftwell.functions.payload import at, expiry_columns, payload_json
 from siftwell.functions.text import content_hash
 from siftwell.operators import filters
-from siftwell.operators.knn import nearest_similarity
+from siftwell.operators.similarity_join import similarity_at_least
 from siftwell.operators.topk import persist_select
 from siftwell.session import cut_lineage
 from siftwell.sources.store import LIFECYCLE_COLUMNS, StoreTable, append, count_where, delete_where
@@ -127,20 +127,18 @@ def semantic_dedup(
     managed_tag: str,
     key: str | None = None,
     metadata: dict | None = None,
-    **options,
 ) -> DataFrame:
     """Candidates whose nearest suppressing store row scores below ``threshold``.
 
     Rows with a merge key or without a vector always stay. Candidates are compared with the store
-    only, not with each other.
+    only, not with each other, and only with rows that may be near enough.
     """
     rule = filters.suppresses_duplicates(store.columns, now, managed_tag) & filters.matches_metadata(
         metadata
     )
     judged = candidates if key is None else candidates.filter(~_truthy(F.col(key)))
     asked = judged.select(F.col("doc_id").alias("qid"), F.col("embeddings").alias("qvec"))
-    nearest = nearest_similarity(asked, store, rule, **options)
-    duplicates = nearest.filter(F.col("similarity") >= threshold).select(F.col("qid").alias("doc_id"))
+    duplicates = similarity_at_least(asked, store, threshold, rule).select(F.col("qid").alias("doc_id"))
     return candidates.join(duplicates, "doc_id", "left_anti")
 
 

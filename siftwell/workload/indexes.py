@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from siftwell.operators import ivf, knn as nn, metrics
+from siftwell.functions.vectors import distance
+from siftwell.operators import cell_tree, ivf, knn as nn, metrics
 from siftwell.operators.text_index import text_postings
 from siftwell.session import scratch_path
 from siftwell.sources.store import StoreTable, ensure_index
@@ -13,6 +14,9 @@ from siftwell.workload import retrieval as rt
 from siftwell.workload.fixtures import SIM
 from siftwell.workload.registry import check
 
+# Fixed value: default accuracy target, in percent.
+ACCURACY = 90
+
 CELLS = """
 means AS (SELECT label, i, avg(embedding[i]::DOUBLE) AS m FROM embeddings, (SELECT unnest(range(1, 65)) AS i) GROUP BY 1, 2),
 centroids AS (SELECT label AS cell, list(m ORDER BY i) AS c FROM means GROUP BY 1),
@@ -73,6 +77,69 @@ def recall_at_k(spark, sf):
     return metrics.recall_at_k(_searched(spark, sf), exact, rt.K)
 
 
+# --- two-level cells ------------------------------------------------------------------------------
+
+_trees: dict[tuple[str, str], cell_tree.CellTree] = {}
+
+
+def _tree(spark, sf):
+    """The cell index of all vectors, built when it is first asked for in a session."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _trees:
+        _trees[key] = cell_tree.build_cell_tree(_vectors(spark, sf), scratch_path(spark, "cell-tree"), 10, 8)
+    return _trees[key]
+
+
+EXACT = f"WITH {CELLS} SELECT qid, rank, doc_id, score FROM (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY score DESC, doc_id) AS rank FROM (" + """
+    SELECT a.vec_id AS qid, b.vec_id AS doc_id, {sim} AS score FROM embeddings a, embeddings b)) WHERE rank <= 5""".format(
+    sim=SIM.format(a="a.embedding", b="b.embedding")
+)
+
+
+@check("cell_search_exact", EXACT)
+def cell_search_exact(spark, sf):
+    """An accuracy target of 100: further cells are visited until no other can hold a better row."""
+    return cell_tree.cell_search(_tree(spark, sf), _asked(spark, sf), rt.K, target=100)
+
+
+@check("cell_search_target", "SELECT vec_id AS qid, true AS enough FROM embeddings")
+def cell_search_target(spark, sf):
+    """Recall against the exact search, with the default accuracy target."""
+    found = cell_tree.cell_search(_tree(spark, sf), _asked(spark, sf), rt.K, target=ACCURACY)
+    recall = metrics.recall_at_k(found, nn.knn(_vectors(spark, sf), _asked(spark, sf), rt.K), rt.K)
+    return recall.select("qid", (F.col("recall") >= ACCURACY / 100).alias("enough"))
+
+
+@check(
+    "cell_rows",
+    "SELECT vec_id AS doc_id, true AS stored_whole, true AS in_nearest_leaf, true AS within_radii FROM embeddings",
+)
+def cell_rows(spark, sf):
+    """Every row of the index, checked with column functions against all leaves of its group and its group's radius."""
+    tree = _tree(spark, sf)
+    unit = ivf.in_space(F.col("embeddings"), tree.metric)
+    leaves = tree.leaves.select("grp", F.col("leaf").alias("other"), "centroid", "radius")
+    met = tree.cells.withColumn("unit", unit).join(leaves, "grp")
+    met = met.withColumn("gap", distance("euclidean", F.col("unit"), F.col("centroid")))
+    own = F.max(F.when(F.col("leaf") == F.col("other"), F.col("gap")))
+    row = met.groupBy("doc_id", "grp").agg(
+        own.alias("own"),
+        F.min("gap").alias("least"),
+        F.max(F.when(F.col("leaf") == F.col("other"), F.col("radius"))).alias("radius"),
+        F.first("unit").alias("unit"),
+        F.first("embeddings").alias("embeddings"),
+    )
+    groups = tree.groups.select("grp", F.col("centroid").alias("centre"), F.col("radius").alias("reach"))
+    given = _vectors(spark, sf).select("doc_id", F.col("embeddings").alias("given"))
+    far = distance("euclidean", F.col("unit"), F.col("centre"))
+    return row.join(groups, "grp").join(given, "doc_id", "right").select(
+        "doc_id",
+        (F.col("embeddings") == F.col("given").cast("array<float>")).alias("stored_whole"),
+        (F.col("own") <= F.col("least") + 1e-9).alias("in_nearest_leaf"),
+        ((F.col("own") <= F.col("radius") + 1e-9) & (far <= F.col("reach") + 1e-9)).alias("within_radii"),
+    )
+
+
 @check(
     "ensure_index",
     "WITH " + rt.DOC_POSTINGS + """ SELECT attempt, attempt = 1 AS built, (SELECT count(*) FROM postings) AS n_postings
