@@ -3,7 +3,8 @@ event time and returns a streaming DataFrame, except the write-through job, whic
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,6 +16,7 @@ from siftwell.operators.lifecycle import Embedder, save_to_table
 from siftwell.operators.metrics import rate_columns
 from siftwell.session import scratch_path
 from siftwell.sources.store import StoreTable
+from siftwell.streaming.expiry import STATE_STORE, expired_keys
 
 
 def event_time(df: DataFrame, column: str = "ts") -> DataFrame:
@@ -75,14 +77,25 @@ def stream_sessions(stream: DataFrame, key: str, gap: str, delay: str, ts: str =
     return sessions(stream.withWatermark(ts, delay), key, gap, ts)
 
 
-def stream_ttl_expiry(stream: DataFrame, key: str, ttl: str, delay: str, ts: str = "ts") -> DataFrame:
-    """``(key, expires_at, refreshes)`` once a key was not refreshed for ``ttl``.
+def stream_ttl_expiry(stream: DataFrame, key: str, ttl_seconds: int, delay: str, ts: str = "ts") -> DataFrame:
+    """``(key, expires_at, refreshes)`` once a key was not refreshed for the ttl, by event-time timers."""
+    return expired_keys(stream, key, ttl_seconds, delay, ts)
 
-    A key's life between two expiries is a session with the ttl as its gap, so Spark's session state
-    and watermark do the timing.
-    """
-    lived = stream_sessions(stream, key, ttl, delay, ts)
-    return lived.select(key, F.col("ended").alias("expires_at"), F.col("requests").alias("refreshes"))
+
+@contextmanager
+def settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
+    """Session settings for as long as a query is started; a running query keeps what it was started with."""
+    before = {name: spark.conf.get(name, None) for name in values}
+    for name, value in values.items():
+        spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        for name, value in before.items():
+            if value is None:
+                spark.conf.unset(name)
+            else:
+                spark.conf.set(name, value)
 
 
 def windowed_metrics(
@@ -136,11 +149,12 @@ class LateRows(StreamingQueryListener):
 
 def drain(df: DataFrame, out: str, checkpoint: str) -> StreamingQuery:
     """Append what is available to a parquet folder and stop."""
-    query = (
-        df.writeStream.format("parquet").outputMode("append").option("path", out)
-        .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-    )
-    query.awaitTermination()
+    with settings(df.sparkSession, STATE_STORE):
+        query = (
+            df.writeStream.format("parquet").outputMode("append").option("path", out)
+            .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+        )
+        query.awaitTermination()
     return query
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from siftwell.operators import lifecycle
@@ -54,7 +55,17 @@ def stream_sessions(spark, sf):
     f"WITH {SESSIONS} SELECT user_id, strftime(ended, {FULL}) AS expires_at, requests AS refreshes FROM closed",
 )
 def stream_ttl_expiry(spark, sf):
-    expired = jobs.run_append(jobs.stream_ttl_expiry(_events(spark, sf), "user_id", "6 hours", "1 day"), "expiry")
+    """The events arrive in four micro-batches, so that keys are refreshed across them."""
+    base = scratch_path(spark, "expiry")
+    events = jobs.event_time(fx.table(spark, sf, "events"))
+    quarter = F.ntile(4).over(Window.orderBy("day"))
+    days = events.select(F.to_date("ts").alias("day")).distinct().withColumn("quarter", quarter)
+    dealt = events.withColumn("day", F.to_date("ts")).join(F.broadcast(days), "day").drop("day")
+    for n in range(1, 5):
+        dealt.where(F.col("quarter") == n).drop("quarter").coalesce(1).write.mode("append").parquet(f"{base}/source")
+    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(f"{base}/source")
+    jobs.drain(jobs.stream_ttl_expiry(stream, "user_id", 6 * 3600, "1 day"), f"{base}/rows", f"{base}/checkpoint")
+    expired = spark.read.parquet(f"{base}/rows")
     return expired.select("user_id", stamp("expires_at").alias("expires_at"), "refreshes")
 
 

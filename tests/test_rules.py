@@ -278,9 +278,8 @@ def test_dedup_is_against_the_store_only(spark):
         [(10, [1.0, 0.01], None), (11, [0.0, 1.0], None), (12, [0.0, 1.0], None), (13, [1.0, 0.0], "key"), (14, None, None), (15, [1.0, 0.0], "")],
         "doc_id long, embeddings array<float>, source_url string",
     )
-    kept = lambda s, **o: ids(lifecycle.semantic_dedup(docs, s, 0.9, NOW, "web", "source_url", **o))
+    kept = lambda s: ids(lifecycle.semantic_dedup(docs, s, 0.9, NOW, "web", "source_url"))
     assert kept(store) == [11, 12, 13, 14]
-    assert kept(store, budget=8, block_rows=1) == [11, 12, 13, 14]
     assert kept(store.limit(0)) == [10, 11, 12, 13, 14, 15]
     assert kept(store.withColumn("provider_name", F.lit(None).cast("string"))) == [10, 11, 12, 13, 14, 15]
 

@@ -7,6 +7,7 @@ from siftwell.config import RetrievalConfig
 from siftwell.operators.lifecycle import hashing_embedder, save_to_table
 from siftwell.sources.store import StoreTable
 from siftwell.streaming import jobs
+from siftwell.streaming.expiry import joined_lives
 
 NOW = datetime(2024, 1, 31)
 
@@ -36,14 +37,50 @@ def test_late_rows_are_dropped_and_counted(spark, tmp_path):
 
 
 def test_expiry_waits_for_the_last_refresh(spark, tmp_path):
-    rows = [(1, at(0)), (1, at(4)), (1, at(30)), (2, at(1)), (3, at(90))]
+    rows = [(1, at(0)), (1, at(4)), (1, at(30)), (2, at(1)), (3, at(90)), (None, at(3))]
     expired = jobs.run_append(
-        jobs.stream_ttl_expiry(source(spark, str(tmp_path / "in"), rows), "user_id", "6 hours", "1 hour"), "expiry"
+        jobs.stream_ttl_expiry(source(spark, str(tmp_path / "in"), rows), "user_id", 6 * 3600, "1 hour"), "expiry"
     )
     got = sorted((r["user_id"], r["expires_at"], r["refreshes"]) for r in expired.collect())
     assert got == [(1, at(10), 2), (1, at(36), 1), (2, at(7), 1)]
 
 
+def test_refreshes_across_batches_move_the_timer(spark, tmp_path):
+    """Each batch refreshes, joins or begins lives of earlier ones; what expired leaves the state."""
+    path, out, check = (str(tmp_path / n) for n in ("in", "out", "check"))
+    batches = [
+        [(1, at(0)), (2, at(1))],
+        [(1, at(5)), (3, at(8))],
+        [(1, at(10)), (1, at(22)), (2, at(7)), (3, at(3))],
+        [(1, at(17)), (4, at(40))],
+        [(4, at(90))],
+    ]
+    states = []
+    for rows in batches:
+        stream = source(spark, path, rows)
+        query = jobs.drain(jobs.stream_ttl_expiry(stream, "user_id", 6 * 3600, "20 hours"), out, check)
+        states.append(query.lastProgress["stateOperators"][0]["numRowsTotal"])
+    got = sorted((r["user_id"], r["expires_at"], r["refreshes"]) for r in spark.read.parquet(out).collect())
+    # Key 1: 0, 5, 10 are one life until 16; 17 and 22 came in two batches, the later one first. Key 2: 7 is refreshed at its expiry.
+    assert got == [(1, at(16), 3), (1, at(28), 2), (2, at(7), 1), (2, at(13), 1), (3, at(14), 2), (4, at(46), 1)]
+    assert states[-1] < states[2]
+
+
+def test_lives_join_in_any_order():
+    import itertools
+
+    import numpy as np
+
+    moments, ttl = [0, 3, 5, 14, 20, 21, 40, 50], 10
+    want = joined_lives([], np.array(moments), ttl)
+    assert want == [(0, 21, 6), (40, 40, 1), (50, 50, 1)]
+    for order in itertools.islice(itertools.permutations(moments), 0, 40320, 501):
+        lives = []
+        for k in range(0, len(order), 3):
+            lives = joined_lives(lives, np.array(order[k : k + 3]), ttl)
+        assert lives == want
+
+
 def test_first_row_per_key(spark, tmp_path):
     rows = [(1, at(0)), (1, at(1)), (2, at(2))]
     first = jobs.run_append(jobs.stream_dedup_key(source(spark, str(tmp_path / "in"), rows), "user_id", "2 days"), "first")
