@@ -16,7 +16,7 @@ from siftwell.operators import filters
 from siftwell.operators.similarity_join import similarity_at_least
 from siftwell.operators.topk import persist_select
 from siftwell.session import cut_lineage
-from siftwell.sources.store import LIFECYCLE_COLUMNS, StoreTable, append, count_where, delete_where
+from siftwell.sources.store import LIFECYCLE_COLUMNS, PartitionedStore, Token, append, count_where, delete_where
 
 Embedder = Callable[[DataFrame, str, str], DataFrame]
 RESULT_FIELDS = ("title", "url", "content", "score", "raw_content")
@@ -262,25 +262,29 @@ def write_through(
 
 
 def save_to_table(
-    table: StoreTable,
+    table: PartitionedStore,
     foreign: DataFrame,
     cfg: RetrievalConfig,
     now: datetime,
     embed: Embedder,
     transform: Callable[[DataFrame], DataFrame] | None = None,
-    token: str = "",
-) -> int:
-    """Write-through into a store table; returns its version. Nothing to save writes nothing.
+    token: Token | None = None,
+) -> None:
+    """Write-through into a store. Nothing to save writes nothing; a batch whose outcome is staged is put in place again.
 
-    Without a merge key only the new rows are written; a merge writes the store anew.
+    Without a merge key only the new rows are written; a merge rewrites the partitions that hold the documents' keys.
     """
+    if token is not None and table.staged(token):
+        table.replay(token)
+        return
     store = table.read()
     docs = cut_lineage(documents_to_save(store, foreign, cfg, now, embed, transform))
     if docs.isEmpty():
-        return table.version
+        return
     if merges(docs, cfg):
-        return table.commit(upsert(store, docs, cfg.upsert_key), token)
-    return table.commit_rows(as_store_rows(docs, store), token)
+        table.merge(docs, cfg.upsert_key, upsert, token)
+    else:
+        table.append(as_store_rows(docs, store), token)
 
 
 def cleanup_expired(

@@ -9,12 +9,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from siftwell.config import RetrievalConfig
-from siftwell.operators import lifecycle
+from siftwell.operators import filters, lifecycle
 from siftwell.operators.lifecycle import Embedder, hashing_embedder
 from siftwell.operators.text_blocks import TextIndex
 from siftwell.plans import modes
 from siftwell.session import cut_lineage
-from siftwell.sources.store import StoreTable, check_store, count_where, delete_where
+from siftwell.sources.store import PartitionedStore, check_store
 
 ForeignSource = Callable[[DataFrame, int], DataFrame]
 Transform = Callable[[DataFrame], DataFrame]
@@ -32,7 +32,7 @@ class RetrievalEngine:
 
     def __init__(
         self,
-        table: StoreTable,
+        table: PartitionedStore,
         cfg: RetrievalConfig,
         foreign_source: ForeignSource,
         embed: Embedder | None = None,
@@ -85,18 +85,16 @@ class RetrievalEngine:
         fetched = self.foreign_source(queries, self.cfg.foreign_limit)
         return cut_lineage(modes.capped_foreign(fetched, self.cfg.foreign_limit).drop("source_rank"))
 
-    def save(self, foreign: DataFrame, now: datetime, transform: Transform | None = None) -> int:
-        return lifecycle.save_to_table(self.table, foreign, self.cfg, now, self.embed, transform)
+    def save(self, foreign: DataFrame, now: datetime, transform: Transform | None = None) -> None:
+        lifecycle.save_to_table(self.table, foreign, self.cfg, now, self.embed, transform)
 
     def cleanup(self, now: datetime, ttl_seconds: int | None = None) -> int:
         """Delete expired cache rows now; returns how many there were."""
         ttl = self.cfg.cache_ttl_seconds if ttl_seconds is None else ttl_seconds
-        store = self.table.read()
-        arguments = (store, ttl, now, self.cfg.managed_tag, self.cfg.timestamp_column)
-        expired = lifecycle.count_expired(*arguments).first()["deleted"]
-        if expired:
-            self.table.commit(lifecycle.cleanup_expired(*arguments))
-        return expired
+        columns = self.table.read().columns
+        return self.table.delete_where(
+            filters.is_expired(columns, ttl, now, self.cfg.managed_tag, self.cfg.timestamp_column)
+        )
 
     def _maybe_cleanup(self, now: datetime) -> None:
         if lifecycle.cleanup_due(self.cfg, now, self.last_cleanup):
@@ -105,8 +103,4 @@ class RetrievalEngine:
 
     def delete_query(self, retrieval_query: str) -> int:
         """Delete the rows saved for one query; returns how many there were."""
-        store, doomed = self.table.read(), F.col("retrieval_query") == retrieval_query
-        gone = count_where(store, doomed).first()["deleted"]
-        if gone:
-            self.table.commit(delete_where(store, doomed))
-        return gone
+        return self.table.delete_where(F.col("retrieval_query") == retrieval_query)

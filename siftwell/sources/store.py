@@ -1,13 +1,16 @@
-"""The document store: schema checks, column completion, appends, deletes, and versioned tables."""
+"""The document store: schema checks, column completion, appends, deletes, and a table that changes by partition."""
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from siftwell.session import cut_lineage
+
 # Store columns and their types.
 CORE_COLUMNS = {"doc_id": "bigint", "content": "string", "embeddings": "array<float>"}
 OPTIONAL_COLUMNS = {
@@ -27,6 +30,10 @@ OPTIONAL_COLUMNS = {
     "query_count": "bigint",
     "content_hash": "string",
 }
+# Columns of a partitioned store that readers do not see.
+PARTITION, LIVE = "store_partition", "store_live"
+PARTITIONS = 64
+Token = tuple[str, int]
 LIFECYCLE_COLUMNS = ("memory_scope", "expires_at", "last_seen_at", "query_count")
 
 
@@ -108,95 +115,143 @@ def count_where(store: DataFrame, doomed: Column) -> DataFrame:
     return store.agg(F.count_if(F.coalesce(doomed, F.lit(False))).alias("deleted"))
 
 
-class StoreTable:
-    """A parquet store kept as numbered versions; readers see the newest complete one.
+class PartitionedStore:
+    """A Parquet store partitioned by a hash of its merge key, changed by rewriting only the partitions that change.
+
+    Rows without the key go by their id. Appends add files. Merges and deletions read the partitions they touch, write the
+    outcome to a staging folder beside them and then replace exactly these partitions, so a run that dies before that changes
+    nothing. A commit may be named by ``token``, a stream's name and the number of its batch: the batch run again finds its
+    outcome staged and puts the same rows in place. Every partition has one row that stands for no document, so that
+    emptied partitions are replaced like others; readers do not see it.
 
-    A commit writes a new folder, either the whole store or only rows that are added to it, and never
-    touches a folder being read. A write that dies leaves a folder without a success marker, which no
-    reader sees and the next commit replaces. ``token`` names what is being committed, so that
-    repeating a commit after a failure changes nothing.
+    One writer at a time may merge or delete; a DataFrame read before that must be read anew after it.
     """
 
-    def __init__(self, spark: SparkSession, path: str):
+    def __init__(self, spark: SparkSession, path: str, key: str | None = None, partitions: int = PARTITIONS):
         self.spark, self.path = spark, path.rstrip("/")
-        self._root = self._hadoop_path(self.path)
-        self._fs = self._root.getFileSystem(spark._jsc.hadoopConfiguration())
-
-    def _hadoop_path(self, path: str):
-        return self.spark._jvm.org.apache.hadoop.fs.Path(path)
-
-    def _complete(self) -> list[tuple[int, str, str, str]]:
-        """(number, kind, token, folder) of every finished commit, oldest first."""
-        if not self._fs.exists(self._root):
-            return []
-        found = []
-        for status in self._fs.listStatus(self._root):
-            name = status.getPath().getName()
-            number, kind, token = (name.split("-", 2) + ["", ""])[:3]
-            marker = self._hadoop_path(f"{self.path}/{name}/_SUCCESS")
-            if number.isdigit() and self._fs.exists(marker):
-                found.append((int(number), kind, token, name))
-        return sorted(found)
-
-    def _current(self) -> list[str]:
-        """Folders of the newest whole store and of the rows added since."""
-        folders: list[str] = []
-        for _, kind, _, name in self._complete():
-            folders = [name] if kind == "all" else [*folders, name]
-        return folders
-
-    @property
-    def version(self) -> int:
-        done = self._complete()
-        return done[-1][0] if done else 0
+        kept = self._read_if_there(f"{self.path}/_settings")
+        self.key, self.partitions = kept.select("key", "partitions").first() if kept is not None else (key, partitions)
+
+    def _read_if_there(self, path: str) -> DataFrame | None:
+        try:
+            return self.spark.read.parquet(path)
+        except AnalysisException:
+            return None
 
     def exists(self) -> bool:
-        return self.version > 0
+        return self._read_if_there(f"{self.path}/_settings") is not None
 
-    def holds(self, token: str) -> bool:
-        return any(t == token for _, _, t, _ in self._complete())
+    def _partition(self, columns: list[str]) -> Column:
+        by_id = F.xxhash64(F.lit(0), F.col("doc_id").cast("long"))
+        if self.key is None or self.key not in columns:
+            by_key = by_id
+        else:
+            by_key = F.when(F.coalesce(F.col(self.key) != "", F.lit(False)), F.xxhash64(F.lit(1), F.col(self.key))).otherwise(by_id)
+        return F.pmod(by_key, F.lit(self.partitions)).cast("int")
 
-    def read(self) -> DataFrame:
-        folders = self._current()
-        if not folders:
-            raise ValueError(f"No store at {self.path}.")
-        return self.spark.read.parquet(*[f"{self.path}/{name}" for name in folders])
+    def _placed(self, df: DataFrame) -> DataFrame:
+        return df.withColumns({LIVE: F.lit(True), PARTITION: self._partition(df.columns)})
 
-    def _commit(self, df: DataFrame, kind: str, token: str) -> int:
-        if token and self.holds(token):
-            return self.version
-        number = self.version + 1
-        df.write.mode("overwrite").parquet(f"{self.path}/{number:010d}-{kind}-{token}")
-        return number
+    def _with_markers(self, df: DataFrame, partitions: list[int]) -> DataFrame:
+        """Rows, and each partition's row that stands for no document."""
+        marks = self.spark.createDataFrame([(p,) for p in partitions], f"{PARTITION} int").withColumn(LIVE, F.lit(False))
+        return self._placed(df).unionByName(marks, allowMissingColumns=True)
 
-    def commit(self, df: DataFrame, token: str = "") -> int:
+    def create(self, df: DataFrame) -> None:
         """Make ``df`` the store."""
-        return self._commit(df, "all", token)
-
-    def commit_rows(self, df: DataFrame, token: str = "") -> int:
-        """Add the rows of ``df``, which has the store's columns."""
-        return self._commit(df, "add", token)
-
-    def compact(self) -> int:
-        """Write the store anew as one folder, after many small additions."""
-        return self.commit(self.read())
-
-    def prune(self, keep: int = 2) -> None:
-        """Drop folders older than the newest ``keep`` whole stores, when nobody reads them any more."""
-        done = self._complete()
-        whole = [number for number, kind, _, _ in done if kind == "all"]
-        oldest = whole[-keep] if len(whole) >= keep else 0
-        for number, _, _, name in done:
-            if number < oldest:
-                self._fs.delete(self._hadoop_path(f"{self.path}/{name}"), True)
+        whole = self._with_markers(df, list(range(self.partitions)))
+        whole.hint("rebalance", PARTITION).write.mode("overwrite").partitionBy(PARTITION).parquet(self.path)
+        kept = self.spark.createDataFrame([(self.key, self.partitions)], "key string, partitions int")
+        kept.coalesce(1).write.mode("overwrite").parquet(f"{self.path}/_settings")
 
+    def _rows(self) -> DataFrame:
+        if not self.exists():
+            raise ValueError(f"No store at {self.path}.")
+        return self.spark.read.parquet(self.path).where(LIVE).drop(LIVE)
 
-def ensure_index(table: StoreTable, build) -> bool:
-    """Build and store an index table only if there is none; True when it was built."""
-    if table.exists():
+    def read(self) -> DataFrame:
+        return self._rows().drop(PARTITION)
+
+    def _touched(self, partitions: list[int]) -> DataFrame:
+        """The rows of some partitions; the filter reaches the scan."""
+        return self._rows().where(F.col(PARTITION).isin(partitions)).drop(PARTITION)
+
+    # A token's folder is used again two batches later, when its batch is long committed.
+    def _folder(self, token: Token | None) -> str:
+        name, number = token or ("once", 0)
+        return f"{self.path}/_batches/{name}-{number % 2}"
+
+    def staged(self, token: Token) -> bool:
+        """Whether the outcome of a batch was written, and so may be in place already."""
+        done = self._read_if_there(f"{self._folder(token)}/done")
+        return done is not None and done.first()["number"] == token[1]
+
+    def _commit(self, replaced: tuple[DataFrame, list[int]] | None, added: DataFrame | None, token: Token | None) -> None:
+        """Stage both kinds of rows, then put them in place."""
+        folder = self._folder(token)
+        nothing = self.spark.createDataFrame([], f"{PARTITION} int")
+        parts = {
+            "replaced": self._with_markers(*replaced) if replaced is not None and replaced[1] else nothing,
+            "added": self._placed(added) if added is not None else nothing,
+        }
+        for kind, rows in parts.items():
+            rows.write.mode("overwrite").parquet(f"{folder}/{kind}")
+        if token is not None:
+            done = self.spark.createDataFrame([(token[1],)], "number long")
+            done.coalesce(1).write.mode("overwrite").parquet(f"{folder}/done")
+        self._put(folder, again=False)
+
+    def replay(self, token: Token) -> None:
+        """Put the staged outcome of a batch in place once more; what is there already stays as it is."""
+        self._put(self._folder(token), again=True)
+
+    def _put(self, folder: str, again: bool) -> None:
+        replaced, added = (self.spark.read.parquet(f"{folder}/{kind}") for kind in ("replaced", "added"))
+        if LIVE in replaced.columns:
+            kept = replaced.hint("rebalance", PARTITION).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+            kept.partitionBy(PARTITION).parquet(self.path)
+        if LIVE in added.columns:
+            if again:
+                added = cut_lineage(added.join(self._rows().select("doc_id"), "doc_id", "left_anti"))
+            added.write.mode("append").partitionBy(PARTITION).parquet(self.path)
+
+    def append(self, rows: DataFrame, token: Token | None = None) -> None:
+        """Add rows that have the store's columns."""
+        self._commit(None, rows, token)
+
+    def merge(
+        self, docs: DataFrame, key: str, upsert: Callable[[DataFrame, DataFrame, str], DataFrame], token: Token | None = None
+    ) -> None:
+        """Merge documents by ``key`` with ``upsert``, in the partitions their keys lie in; documents without a key are added."""
+        has_key = F.coalesce(F.col(key) != "", F.lit(False))
+        keyed, plain = docs.where(has_key), docs.where(~has_key)
+        if key == self.key:
+            touched = [r[0] for r in keyed.select(self._partition(keyed.columns)).distinct().collect()]
+        else:
+            touched = list(range(self.partitions))
+        merged = upsert(self._touched(touched), keyed, key)
+        empty = self._rows().drop(PARTITION).limit(0)
+        self._commit((merged, touched), upsert(empty, plain, key), token)
+
+    def delete_where(self, doomed: Column) -> int:
+        """Delete the rows for which ``doomed`` is true; returns how many there were. The columns of the condition are read to
+        find them; whole rows are read only in the partitions that lose some."""
+        found = self._rows().where(F.coalesce(doomed, F.lit(False))).groupBy(PARTITION).count().collect()
+        touched = [r[PARTITION] for r in found]
+        if touched:
+            self._commit((delete_where(self._touched(touched), doomed), touched), None, None)
+        return sum(r["count"] for r in found)
+
+
+def ensure_index(spark: SparkSession, path: str, build: Callable[[str], object]) -> bool:
+    """Build an index under ``path`` only if there is none; True when it was built. It counts as there once it is whole."""
+    try:
+        spark.read.parquet(f"{path}/_built")
         return False
-    table.commit(build())
-    return True
+    except AnalysisException:
+        build(path)
+        spark.range(1).coalesce(1).write.mode("overwrite").parquet(f"{path}/_built")
+        return True
 
 
 def index_name(table: str, column: str, kind: str) -> str:

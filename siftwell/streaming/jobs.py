@@ -15,7 +15,7 @@ from siftwell.config import RetrievalConfig
 from siftwell.operators.lifecycle import Embedder, save_to_table
 from siftwell.operators.metrics import rate_columns
 from siftwell.session import scratch_path
-from siftwell.sources.store import StoreTable
+from siftwell.sources.store import PartitionedStore
 from siftwell.streaming.expiry import STATE_STORE, expired_keys
 
 
@@ -26,7 +26,7 @@ def event_time(df: DataFrame, column: str = "ts") -> DataFrame:
 
 def stream_write_through(
     foreign: DataFrame,
-    table: StoreTable,
+    table: PartitionedStore,
     cfg: RetrievalConfig,
     now: datetime | Callable[[], datetime],
     embed: Embedder,
@@ -40,13 +40,11 @@ def stream_write_through(
     ``now`` is a fixed time or a function that is asked for each batch; ``trigger`` holds the arguments of
     ``DataStreamWriter.trigger`` and by default takes what is available and stops.
 
-    A batch that is run again after a failure finds its token committed and changes nothing.
+    A batch that is run again after a failure finds its outcome staged and puts the same rows in place.
     """
 
     def save(batch: DataFrame, batch_id: int) -> None:
-        token = f"{name}-{batch_id}"
-        if not table.holds(token):
-            save_to_table(table, prepare(batch), cfg, now() if callable(now) else now, embed, token=token)
+        save_to_table(table, prepare(batch), cfg, now() if callable(now) else now, embed, token=(name, batch_id))
 
     return (
         foreign.writeStream.foreachBatch(save)

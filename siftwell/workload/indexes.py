@@ -6,9 +6,9 @@ from pyspark.sql import functions as F
 
 from siftwell.functions.vectors import distance
 from siftwell.operators import cell_tree, ivf, knn as nn, metrics
-from siftwell.operators.text_index import text_postings
+from siftwell.operators.text_blocks import build_text_index, open_text_index
 from siftwell.session import scratch_path
-from siftwell.sources.store import StoreTable, ensure_index
+from siftwell.sources.store import ensure_index
 from siftwell.workload import fixtures as fx
 from siftwell.workload import retrieval as rt
 from siftwell.workload.fixtures import SIM
@@ -146,9 +146,10 @@ def cell_rows(spark, sf):
 FROM (SELECT unnest([1, 2]) AS attempt)""",
 )
 def ensure_text_index(spark, sf):
-    table = StoreTable(spark, scratch_path(spark, "text-index"))
+    path = scratch_path(spark, "text-index")
     docs = fx.table(spark, sf, "documents")
-    built = [ensure_index(table, lambda: text_postings(docs, "doc_id", "text")) for _ in range(2)]
+    build = lambda path: build_text_index(docs, path, text_col="text")
+    built = [ensure_index(spark, path, build) for _ in range(2)]
     flags = F.explode(F.array(*[F.struct(F.lit(i + 1).alias("attempt"), F.lit(b).alias("built")) for i, b in enumerate(built)]))
-    counted = table.read().agg(F.count("*").alias("n_postings"))
-    return counted.select(flags.alias("f"), "n_postings").select("f.*", "n_postings")
+    sizes = open_text_index(spark, path).postings.agg(F.sum(F.size("rows")).alias("n_postings"))
+    return sizes.select(flags.alias("f"), "n_postings").select("f.*", "n_postings")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from siftwell.operators import lifecycle
 from siftwell.session import scratch_path
-from siftwell.sources.store import StoreTable
+from siftwell.sources.store import PartitionedStore
 from siftwell.streaming import jobs
 from siftwell.workload import fixtures as fx
 from siftwell.workload.fixtures import NOW, stamp
@@ -125,12 +125,17 @@ def stream_late(spark, sf):
 
 @check("stream_write_through", sql_write_through())
 def stream_write_through(spark, sf):
-    """Pages arriving as a stream are saved into a store table, merged by content hash."""
-    table = StoreTable(spark, scratch_path(spark, "store"))
-    table.commit(fx.store(spark, sf))
-    items = fx.table(spark, sf, "benchmark")
+    """Pages arriving in three micro-batches are saved into a store, merged by content hash; a batch has whole queries."""
+    table = PartitionedStore(spark, scratch_path(spark, "store"), "content_hash")
+    table.create(fx.store(spark, sf))
+    items, pages = fx.table(spark, sf, "benchmark"), fx.table(spark, sf, "pages")
+    arriving = scratch_path(spark, "arriving-pages")
+    total = items.count()
+    third = F.floor((F.col("page_id") % total) * 3 / total)
+    for n in range(3):
+        pages.where(third == n).coalesce(1).write.mode("append").parquet(arriving)
     query = jobs.stream_write_through(
-        jobs.read_stream(spark, sf, "pages"),
+        spark.readStream.schema(pages.schema).option("maxFilesPerTrigger", 1).parquet(arriving),
         table,
         SAVE,
         NOW,

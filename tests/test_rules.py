@@ -63,27 +63,11 @@ def test_delete_keeps_unknown(spark):
     assert st.count_where(df, doomed).first()[0] == 1
 
 
-def test_versions(spark, tmp_path):
-    table = st.StoreTable(spark, str(tmp_path / "table"))
-    assert not table.exists()
-    with pytest.raises(ValueError):
-        table.read()
-    one = spark.range(3).withColumnRenamed("id", "doc_id")
-    assert table.commit(one) == 1
-    assert table.commit_rows(one, "batch-1") == 2 and table.read().count() == 6
-    assert table.commit_rows(one, "batch-1") == 2 and table.read().count() == 6
-    (tmp_path / "table" / "0000000003-all-").mkdir()
-    assert table.version == 2 and table.read().count() == 6
-    assert table.commit(table.read().filter("doc_id > 0")) == 3 and table.read().count() == 4
-    assert table.compact() == 4 and table.read().count() == 4
-    table.prune(1)
-    assert table.read().count() == 4 and len(list((tmp_path / "table").iterdir())) == 1
-
-
 def test_index_is_built_once(spark, tmp_path):
-    table = st.StoreTable(spark, str(tmp_path / "index"))
-    assert st.ensure_index(table, lambda: spark.range(1)) is True
-    assert st.ensure_index(table, lambda: spark.range(1)) is False
+    built = []
+    assert st.ensure_index(spark, str(tmp_path / "index"), built.append) is True
+    assert st.ensure_index(spark, str(tmp_path / "index"), built.append) is False
+    assert built == [str(tmp_path / "index")]
     assert st.index_name("docs", "content", "text") == "DOCS_CONTENT_TEXT_IDX"
 
 

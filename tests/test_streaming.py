@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from siftwell.config import RetrievalConfig
 from siftwell.operators.lifecycle import hashing_embedder, save_to_table
-from siftwell.sources.store import StoreTable
+from siftwell.sources.store import PartitionedStore
 from siftwell.streaming import jobs
 from siftwell.streaming.expiry import joined_lives
 
@@ -99,21 +99,21 @@ def test_stream_equals_batch(spark, tmp_path):
 
 
 def test_a_repeated_batch_changes_nothing(spark, tmp_path):
-    table = StoreTable(spark, str(tmp_path / "store"))
-    table.commit(spark.createDataFrame([], "doc_id long, content string, embeddings array<float>"))
+    table = PartitionedStore(spark, str(tmp_path / "store"))
+    table.create(spark.createDataFrame([], "doc_id long, content string, embeddings array<float>"))
     foreign = spark.createDataFrame(
         [(1, "q", 1, "u", "t", "text", 0.5)],
         "qid long, query string, rank long, url string, title string, content string, score double",
     )
     for _ in range(2):
-        save_to_table(table, foreign, RetrievalConfig(), NOW, hashing_embedder(4), token="batch-0")
+        save_to_table(table, foreign, RetrievalConfig(), NOW, hashing_embedder(4), token=("batch", 0))
     assert table.read().count() == 1
 
 
 def test_stream_write_through_reads_all_files(spark, tmp_path):
     schema = "qid long, query string, rank long, url string, title string, content string, score double"
-    table = StoreTable(spark, str(tmp_path / "store"))
-    table.commit(spark.createDataFrame([], "doc_id long, content string, embeddings array<float>"))
+    table = PartitionedStore(spark, str(tmp_path / "store"))
+    table.create(spark.createDataFrame([], "doc_id long, content string, embeddings array<float>"))
     for part in range(2):
         rows = [(part, "q", r, f"u{r}", "t", f"text {part} {r}", 0.5) for r in range(3)]
         spark.createDataFrame(rows, schema).write.mode("append").parquet(str(tmp_path / "in"))
