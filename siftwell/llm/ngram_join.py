@@ -272,12 +272,19 @@ def enough(rows: DataFrame) -> DataFrame:
     return rows.groupBy("id", "n").agg(F.count(F.lit(1)).alias("shared")).where(F.col("shared") >= least).select("id").distinct()
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """``df`` written to the shared folder and read back: as reliable as a checkpoint, and compressed by column."""
+    path = scratch_path(df.sparkSession, "ngram-rows")
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """One row per document: id, ``n_shingles``, ``component_id`` (the smallest id that links reach) and ``class_id``
     (the smallest id of an equal set)."""
     spark = docs.sparkSession
     texts = docs.select(F.col(id_column).cast("long").alias("id"), F.col(text_column).alias("text"))
-    signed = cut_lineage(signatures(texts))
+    signed = stored(signatures(texts))
     classes = signed.where("n > 0").groupBy("n", "s1", "s2").agg(F.min("id").alias("class_id"))
     members = signed.join(classes, ["n", "s1", "s2"], "left").select(
         "id", "n", F.when(F.col("n") == 0, F.col("id")).otherwise(F.col("class_id")).alias("class_id")
@@ -287,16 +294,16 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
         ids = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
         return texts.join(ids, "id", "left_semi")
 
-    first = cut_lineage(met(prefixes(texts_of(cut_lineage(classes.where("class_id IS NOT NULL").select(F.col("class_id").alias("id"))))).select("shingle", "id", "n")))
+    first = stored(met(prefixes(texts_of(cut_lineage(classes.where("class_id IS NOT NULL").select(F.col("class_id").alias("id"))))).select("shingle", "id", "n")))
     common = (
         first.where(F.col("times") >= COMMON_FROM).groupBy("shingle").agg(F.max("times").alias("times"))
         .orderBy(F.desc("times"), "shingle").limit(COMMON).select("shingle").toPandas()["shingle"].to_numpy(np.int64)
     )
     shared = spark.sparkContext.broadcast(np.sort(common.view(np.uint64)))
     candidates = cut_lineage(enough(first))
-    met_again = cut_lineage(met(prefixes(texts_of(candidates), shared)))
+    met_again = stored(met(prefixes(texts_of(candidates), shared)))
     candidates = cut_lineage(enough(met_again))
-    lists = cut_lineage(met(met_again.drop("times").join(candidates, "id", "left_semi")))
+    lists = stored(met(met_again.drop("times").join(candidates, "id", "left_semi")))
 
     path = scratch_path(spark, "shingle-sets")
     sets(texts_of(candidates), shared).write.parquet(path)
@@ -317,7 +324,7 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
     placed = lists.join(labels.withColumnRenamed("node", "id"), "id", "left").select(
         "shingle", "id", "n", "place", F.coalesce("component", "id").alias("component")
     )
-    mixed = cut_lineage(
+    mixed = stored(
         placed.select(
             "*", F.min("component").over(centre).alias("low"), F.max("component").over(centre).alias("high")
         ).where("low <> high").drop("low", "high")
