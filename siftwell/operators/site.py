@@ -16,15 +16,16 @@ from siftwell.session import cut_lineage
 
 
 def page_links(pages: DataFrame) -> DataFrame:
-    """``(page_id, url, link_pos, dst_url)``: every web link of every page, in absolute form."""
+    """``(page_id, url, link_pos, dst_url)``: every web link of every page, in absolute form, relative to the page's own base."""
     links = F.posexplode_outer(html.html_links(F.col("html"))).alias("link_pos", "href")
     return (
         spread(pages.select("page_id", "url", "html"))
-        .select("page_id", "url", links)
+        .select("page_id", "url", html.html_base(F.col("html")).alias("base"), links)
         .filter(F.col("href").isNotNull())
-        .withColumn("dst_url", urls.resolve(F.col("url"), F.col("href")))
+        .withColumn("base", F.coalesce(urls.resolve(F.col("url"), F.col("base")), F.col("url")))
+        .withColumn("dst_url", urls.resolve(F.col("base"), F.col("href")))
         .filter(F.col("dst_url").rlike("^https?://"))
-        .drop("href")
+        .drop("href", "base")
     )
 
 

@@ -197,7 +197,8 @@ def sql_markdown() -> str:
         out = f"regexp_replace({out}, '{pattern}', ' ', 'g')"
     for pattern, replacement in html.MARKDOWN:
         replacement = replacement.replace("$1", "\\1").replace("$2", "\\2")
-        out = f"regexp_replace({out}, '{pattern}', '{replacement}', 'g')"
+        quoted = pattern.replace("'", "''")
+        out = f"regexp_replace({out}, '{quoted}', '{replacement}', 'g')"
     out = fx.sql_decode(f"regexp_replace({out}, '{html.TAG}', '', 'g')")
     out = f"regexp_replace({out}, '[ \\t\\r]+', ' ', 'g')"
     return f"regexp_replace(regexp_replace({out}, ' ?\\n[ \\n]*', '\n', 'g'), '^\\n+|\\n+$', '', 'g')"
@@ -206,7 +207,7 @@ def sql_markdown() -> str:
 @check(
     "html_extract",
     f"""SELECT page_id, {fx.SQL_TITLE} AS title, {fx.sql_text('html')} AS content, {sql_markdown()} AS markdown,
-  len(regexp_extract_all(html, '{html.LINK}', 1)) AS n_links, len(regexp_extract_all(html, '{html.IMAGE}', 1)) AS n_images FROM pages""",
+  len(regexp_extract_all(html, '{fx.SQL_LINK}', 1)) AS n_links, len(regexp_extract_all(html, '{fx.SQL_IMAGE}', 1)) AS n_images FROM pages""",
 )
 def html_extract(spark, sf):
     plain, marked = html.html_extract(F.col("html")), html.html_extract(F.col("html"), "markdown")

@@ -149,6 +149,9 @@ def sql_decode(text: str) -> str:
 
 
 SQL_TITLE = sql_decode(f"trim(regexp_extract(html, '{html.TITLE}', 1))")
+# All links and images of the given pages are in double quotes.
+SQL_LINK = '(?i)<a\\s[^>]*href="([^"]*)"'
+SQL_IMAGE = '(?i)<img\\s[^>]*src="([^"]*)"'
 SQL_HOST = "lower(regexp_extract({}, '" + urls.HOST + "', 1))"
 SQL_PATH = "regexp_extract({}, '" + urls.PATH + "', 1)"
 

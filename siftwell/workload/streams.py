@@ -126,7 +126,7 @@ def stream_late(spark, sf):
 @check("stream_write_through", sql_write_through())
 def stream_write_through(spark, sf):
     """Pages arriving in three micro-batches are saved into a store, merged by content hash; a batch has whole queries."""
-    table = PartitionedStore(spark, scratch_path(spark, "store"), "content_hash")
+    table = PartitionedStore(spark, scratch_path(spark, "store"), "content_hash", 8)
     table.create(fx.store(spark, sf))
     items, pages = fx.table(spark, sf, "benchmark"), fx.table(spark, sf, "pages")
     arriving = scratch_path(spark, "arriving-pages")

@@ -295,8 +295,8 @@ def project_optional(spark, sf):
 
 # --- pages as a site ------------------------------------------------------------------------------
 
-LINKS = f"""raw_links AS (SELECT page_id, url, unnest(regexp_extract_all(html, '{html.LINK}', 1)) AS href,
-  unnest(range(len(regexp_extract_all(html, '{html.LINK}', 1)))) AS link_pos FROM pages),
+LINKS = f"""raw_links AS (SELECT page_id, url, unnest(regexp_extract_all(html, '{fx.SQL_LINK}', 1)) AS href,
+  unnest(range(len(regexp_extract_all(html, '{fx.SQL_LINK}', 1)))) AS link_pos FROM pages),
 links AS (SELECT page_id, url, link_pos, regexp_replace(CASE WHEN href LIKE '/%' THEN regexp_extract(url, '^([A-Za-z]+://[^/?#]*)', 1) || href
   ELSE href END, '#.*$', '') AS dst_url FROM raw_links)"""
 
