@@ -72,3 +72,18 @@ def chunk_text(text: Column, words_per_chunk: int) -> Column:
         return F.transform(starts, lambda at: F.array_join(F.slice(listed, at + 1, words_per_chunk), " "))
     window = f"(?:\\S++\\s++){{0,{words_per_chunk - 1}}}\\S++"
     return F.transform(_all(text, window), lambda chunk: F.regexp_replace(chunk, "\\s+", " "))
+
+
+def best_chunks(text: Column, query: Column, n: int, words_per_chunk: int) -> Column:
+    """The ``n`` chunks that hold the largest share of the query's words, the best first, ties in order of the text."""
+
+    def chosen(asked: Column) -> Column:
+        scored = F.transform(
+            chunk_text(text, words_per_chunk),
+            lambda chunk, place: F.struct(
+                (-F.size(F.array_intersect(words(chunk), asked))).alias("near"), place.alias("place"), chunk.alias("chunk")
+            ),
+        )
+        return F.transform(F.slice(F.array_sort(scored), 1, n), lambda c: c["chunk"])
+
+    return let(F.array_distinct(words(query)), chosen)

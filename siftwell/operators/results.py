@@ -5,21 +5,25 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from siftwell.config import CONTEXT_TOKENS
+from siftwell.config import CONTEXT_RESULTS, CONTEXT_TOKENS
 from siftwell.functions import html, urls
 from siftwell.functions.text import chunk_text, words
 from siftwell.operators.topk import token_prefix, top_n
 
 
 def search_context(
-    results: DataFrame, max_tokens: int = CONTEXT_TOKENS, tokens: Column | None = None
+    results: DataFrame,
+    max_tokens: int = CONTEXT_TOKENS,
+    tokens: Column | None = None,
+    max_results: int | None = CONTEXT_RESULTS,
 ) -> DataFrame:
-    """``(qid, context)``: JSON array of (url, content) of the items that fit the token budget.
+    """``(qid, context)``: JSON array of (url, content) of the first ``max_results`` items that fit the token budget.
 
     A query whose first item does not fit gets ``[]``. What is gathered per query is bounded by the
     budget, as every item costs tokens.
     """
-    fitting = token_prefix(results, max_tokens, tokens).select(
+    first = results if max_results is None else results.where(F.col("rank") <= max_results)
+    fitting = token_prefix(first, max_tokens, tokens).select(
         "qid", F.struct("rank", F.struct("url", "content").alias("item")).alias("entry")
     )
     entries = fitting.groupBy("qid").agg(F.array_sort(F.collect_list("entry")).alias("entries"))

@@ -2,19 +2,25 @@
 
 from __future__ import annotations
 
+import math
+import re
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from siftwell.functions import html, urls
-from siftwell.functions.text import words
+from siftwell.functions.text import LOWER_WORD, best_chunks, words
 from siftwell.operators.filters import follows_url_rules
 from siftwell.operators.sizing import rows_for, spread
 from siftwell.operators.topk import top_n
 from siftwell.session import cut_lineage
 
 
+#: Pages that hold less of a crawl's instructions, by weight, are left out.
+LEAST_RELEVANCE = 0.25
+
+
 def page_links(pages: DataFrame) -> DataFrame:
     """``(page_id, url, link_pos, dst_url)``: every web link of every page, in absolute form, relative to the page's own base."""
     links = F.posexplode_outer(html.html_links(F.col("html"))).alias("link_pos", "href")
@@ -66,9 +72,21 @@ def extract_match(requested: DataFrame, pages: DataFrame) -> DataFrame:
     )
 
 
-def extract(requested: DataFrame, pages: DataFrame, format: str = "text", images: bool = False) -> DataFrame:
+def extract(
+    requested: DataFrame,
+    pages: DataFrame,
+    format: str = "text",
+    images: bool = False,
+    favicon: bool = False,
+    chunks: int | None = None,
+    words_per_chunk: int = 100,
+) -> DataFrame:
     """Content of requested URLs. Matching reads no bodies; a page that matches is parsed once,
-    however often it was requested."""
+    however often it was requested.
+
+    ``images`` and ``favicon`` add columns of that name. With ``chunks``, requests that have a ``query`` get that many chunks of
+    the page for it, the best first; they are chosen where the content lies.
+    """
     body = html.html_extract(F.col("html"), format)
     columns = [body.getField("title").alias("title"), body.getField("content").alias("raw_content")]
     if images:
@@ -77,7 +95,15 @@ def extract(requested: DataFrame, pages: DataFrame, format: str = "text", images
     needed = matched.filter("page_id IS NOT NULL").select("page_id").distinct()
     parsed = rows_for(needed, pages.select("page_id", "html"), "page_id").select("page_id", *columns)
     names = [name for name in parsed.columns if name != "page_id"]
-    return matched.join(parsed, "page_id", "left").select(*requested.columns, "page_id", "status", *names)
+    found = matched.join(parsed, "page_id", "left").select(*requested.columns, "page_id", "status", *names)
+    if favicon:
+        icon = F.concat(urls.origin(F.col("url")), F.lit("/favicon.ico"))
+        found = found.withColumn("favicon", F.when(F.col("status") == "ok", icon))
+    if chunks is not None:
+        if chunks < 1:
+            raise ValueError("chunks must be at least 1.")
+        found = found.withColumn("chunks", best_chunks(F.col("raw_content"), F.col("query"), chunks, words_per_chunk))
+    return found
 
 
 @dataclass(frozen=True)
@@ -146,6 +172,26 @@ def site_map(seeds: DataFrame, edges: DataFrame, rules: CrawlRules) -> DataFrame
     return visited
 
 
+def with_relevance(found: DataFrame, instructions: str, text: str = "raw_content") -> DataFrame:
+    """``relevance`` in [0, 1]: the share of the instructions' words that a page holds, each weighed by how few of the found pages
+    hold it; words that no page holds do not count. So a page that shares only 'the' is hardly relevant."""
+    asked = sorted(set(re.findall(LOWER_WORD, instructions.lower())))
+    if not asked:
+        return found.withColumn("relevance", F.lit(1.0))
+    held = F.array_intersect(F.array_distinct(words(F.col(text))), F.array(*map(F.lit, asked)))
+    found = cut_lineage(found.withColumn("_held", held))
+    pages = found.select("page_id", "_held").dropDuplicates(["page_id"])
+    # As many rows as the instructions have words.
+    df = dict(pages.select(F.explode("_held").alias("word")).groupBy("word").count().collect())
+    n = pages.count()
+    weights = {word: math.log(1 + (n - k + 0.5) / (k + 0.5)) for word, k in sorted(df.items())}
+    if not weights:
+        return found.withColumn("relevance", F.lit(0.0)).drop("_held")
+    weight = F.create_map(*[F.lit(x) for pair in weights.items() for x in pair])
+    total = F.aggregate("_held", F.lit(0.0), lambda so_far, word: so_far + F.element_at(weight, word))
+    return found.withColumn("relevance", F.round(total / sum(weights.values()), 6)).drop("_held")
+
+
 def crawl(
     seeds: DataFrame,
     pages: DataFrame,
@@ -153,10 +199,38 @@ def crawl(
     rules: CrawlRules,
     format: str = "text",
     instructions: str | None = None,
+    least_relevance: float = LEAST_RELEVANCE,
+    images: bool = False,
+    favicon: bool = False,
+    chunks: int | None = None,
+    words_per_chunk: int = 100,
 ) -> DataFrame:
-    """``(seed, depth, url, content)`` of crawled pages that exist; with ``instructions``, only pages
-    sharing a word with them."""
-    found = extract(site_map(seeds, edges, rules), pages, format).filter(F.col("status") == "ok")
+    """``(seed, depth, url, content)`` of crawled pages that exist, with the columns asked for.
+
+    With ``instructions``, only pages that are relevant enough to them, with their ``relevance`` and, if ``chunks`` is given, the best
+    chunks for them.
+    """
+    reached = site_map(seeds, edges, rules)
+    if instructions is None:
+        chunks = None
+    else:
+        reached = reached.withColumn("query", F.lit(instructions))
+    found = extract(reached, pages, format, images, favicon, chunks, words_per_chunk).filter(F.col("status") == "ok")
+    names = [name for name in ("images", "favicon", "chunks") if name in found.columns]
     if instructions is not None:
-        found = found.filter(F.arrays_overlap(words(F.col("raw_content")), words(F.lit(instructions))))
-    return found.select("seed", "depth", "url", F.col("raw_content").alias("content"))
+        found = with_relevance(found, instructions).where(F.col("relevance") >= least_relevance)
+        names.append("relevance")
+    return found.select("seed", "depth", "url", F.col("raw_content").alias("content"), *names)
+
+
+def relevant_site_map(
+    seeds: DataFrame,
+    pages: DataFrame,
+    edges: DataFrame,
+    rules: CrawlRules,
+    instructions: str,
+    least_relevance: float = LEAST_RELEVANCE,
+) -> DataFrame:
+    """``(seed, depth, url, relevance)`` of a site map's pages that are relevant enough to the instructions."""
+    found = crawl(seeds, pages, edges, rules, instructions=instructions, least_relevance=least_relevance)
+    return found.select("seed", "depth", "url", "relevance")

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from siftwell.operators import filters
+from siftwell.operators.results import with_optional
 from siftwell.operators.sizing import rows_for
 from siftwell.operators.text_index import text_search
 
@@ -25,6 +26,9 @@ class SearchParams:
     include_domains: list[str] = field(default_factory=list)
     exclude_domains: list[str] = field(default_factory=list)
     exact_match: bool = False
+    raw_content: str | None = None
+    images: bool = False
+    favicon: bool = False
 
 
 def eligible_pages(corpus: DataFrame, params: SearchParams, now: datetime) -> DataFrame:
@@ -45,10 +49,13 @@ def exact_match(queries: DataFrame, results: DataFrame) -> DataFrame:
 def table_search(queries: DataFrame, corpus: DataFrame, params: SearchParams, now: datetime) -> DataFrame:
     """``(qid, rank, url, title, content, score)``: best matches among pages passing the filters.
 
-    Statistics cover the pages that pass. Phrases are tested before the cut to ``max_results``.
+    Statistics cover the pages that pass. Phrases are tested before the cut to ``max_results``. Raw content ('text' or 'markdown'),
+    images and favicons are made from the ``html`` of the pages returned, where they are asked for.
     """
     pages = eligible_pages(corpus, params, now)
     ranked = text_search(pages, queries, params.max_results, phrases=params.exact_match)
-    return rows_for(ranked, pages.select("doc_id", "url", "title", "content"), "doc_id").select(
-        "qid", "rank", "doc_id", "url", "title", "content", "score"
-    )
+    columns = ["doc_id", "url", "title", "content"]
+    if params.raw_content is None and not params.images and not params.favicon:
+        return rows_for(ranked, pages.select(columns), "doc_id").select("qid", "rank", *columns, "score")
+    whole = rows_for(ranked, pages.select(*columns, "html"), "doc_id").select("qid", "rank", *columns, "score", "html")
+    return with_optional(whole, params.raw_content, params.images, params.favicon)

@@ -117,8 +117,8 @@ def corpus(spark: SparkSession, sf: str) -> DataFrame:
     return corpus_from(table(spark, sf, "pages"))
 
 
-def corpus_from(pages: DataFrame) -> DataFrame:
-    """Pages as a searchable corpus."""
+def corpus_from(pages: DataFrame, *more: str) -> DataFrame:
+    """Pages as a searchable corpus, with some of their own columns if wanted."""
     p = F.col("page_id")
     now = F.lit(NOW).cast("timestamp_ntz")
     return spread(pages).select(
@@ -129,6 +129,7 @@ def corpus_from(pages: DataFrame) -> DataFrame:
         (now - F.make_dt_interval(days=F.pmod(p, F.lit(400)).cast("int"))).alias("published_at"),
         F.when(p % 3 == 0, "general").when(p % 3 == 1, "news").otherwise("finance").alias("topic"),
         F.regexp_extract("url", "^https?://[^/]+/([a-z]+)", 1).alias("country"),
+        *more,
     )
 
 

@@ -220,6 +220,25 @@ def table_search(spark, sf):
     return cp.table_search(_quoted(spark, sf), fx.corpus(spark, sf), params, NOW)
 
 
+@check(
+    "table_search_with_pages",
+    SEARCHED
+    + ","
+    + rt.text_hits(3)
+    + f""" SELECT qid, rank, s.doc_id, s.url, score, {sql_markdown()} AS raw_content, len(regexp_extract_all(html, '{fx.SQL_IMAGE}', 1)) AS n_images,
+  regexp_extract(s.url, '^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)', 1) || '/favicon.ico' AS favicon
+FROM text_hits t JOIN searched s USING (doc_id) JOIN pages p ON p.page_id = s.doc_id""",
+)
+def table_search_with_pages(spark, sf):
+    """Results with the markdown, the images and the favicon of their pages."""
+    params = cp.SearchParams(
+        max_results=3, topic=["general", "news"], time_range="year", exclude_domains=["example.org"],
+        raw_content="markdown", images=True, favicon=True,
+    )
+    found = cp.table_search(_quoted(spark, sf), fx.corpus_from(fx.table(spark, sf, "pages"), "html"), params, NOW)
+    return found.select("qid", "rank", "doc_id", "url", "score", "raw_content", F.size("images").alias("n_images"), "favicon")
+
+
 # --- outputs --------------------------------------------------------------------------------------
 
 JSON_ITEM = "json_object('url', url, 'content', content)::VARCHAR"
@@ -245,7 +264,19 @@ def token_budget_prefix(spark, sf):
 FROM running GROUP BY qid""",
 )
 def search_context(spark, sf):
-    return results.search_context(fx.foreign(spark, sf), BUDGET)
+    """Contexts of as many results as fit."""
+    return results.search_context(fx.foreign(spark, sf), BUDGET, max_results=None)
+
+
+@check(
+    "search_context_default",
+    PREFIX
+    + f""" SELECT qid, coalesce('[' || string_agg({JSON_ITEM}, ',' ORDER BY rank) FILTER (total_tokens <= 4000 AND rank <= 5) || ']', '[]') AS context
+FROM running GROUP BY qid""",
+)
+def search_context_default(spark, sf):
+    """Contexts of the first five results, in the default budget."""
+    return results.search_context(fx.foreign(spark, sf))
 
 
 TOPICS = """(SELECT qid, pos AS rank, topic, url, score FROM (SELECT *, row_number() OVER (PARTITION BY qid
@@ -351,6 +382,29 @@ def extract(spark, sf):
     return found.select("qid", "url", "page_id", "status", "title", "raw_content")
 
 
+@check(
+    "extract_chunks",
+    F_
+    + f""", {REQUESTED}, {MATCHED},
+read AS (SELECT row_number() OVER () AS row, m.qid, m.url, m.page_id, m.status, r.query, {fx.sql_text('html')} AS content
+  FROM matched m JOIN (SELECT item_id AS qid, text AS query FROM benchmark) r USING (qid) LEFT JOIN pages p ON m.page_id = p.page_id),
+parts AS (SELECT *, list_filter(string_split_regex(content, '\\s+'), lambda w: w <> '') AS words,
+  list_distinct(regexp_extract_all(lower(query), '[a-z0-9]+')) AS asked FROM read),
+numbered AS (SELECT *, unnest(range(((len(words) - 1) // 60) + 1)) AS chunk_no FROM parts WHERE len(words) > 0),
+chunks AS (SELECT row, chunk_no, asked, array_to_string(words[chunk_no*60+1 : chunk_no*60+60], ' ') AS chunk FROM numbered),
+placed AS (SELECT row, chunk, row_number() OVER (PARTITION BY row ORDER BY
+  len(list_intersect(list_distinct(regexp_extract_all(lower(chunk), '[a-z0-9]+')), asked)) DESC, chunk_no) AS place FROM chunks),
+best AS (SELECT row, string_agg(chunk, ' | ' ORDER BY place) AS chunks FROM placed WHERE place <= 2 GROUP BY row)
+SELECT qid, url, page_id, status, CASE WHEN status = 'ok' THEN regexp_extract(url, '^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)', 1) || '/favicon.ico' END AS favicon,
+  CASE WHEN status = 'ok' THEN coalesce(chunks, '') END AS chunks FROM read LEFT JOIN best USING (row)""",
+)
+def extract_chunks(spark, sf):
+    """The two best chunks of every requested page for its query, and its favicon."""
+    found = site.extract(_requested(spark, sf), fx.table(spark, sf, "pages"), favicon=True, chunks=2, words_per_chunk=60)
+    joined = F.when(F.col("status") == "ok", F.array_join("chunks", " | "))
+    return found.select("qid", "url", "page_id", "status", "favicon", joined.alias("chunks"))
+
+
 @check(
     "chunks_per_source",
     F_
@@ -427,6 +481,46 @@ def crawl(spark, sf):
     return site.crawl(_seeds(spark, sf), fx.table(spark, sf, "pages"), _edges(spark, sf), RULES)
 
 
+INSTRUCTIONS = "the news of the day about a river and prices"
+RELEVANT = (
+    WALK
+    + f""", known AS (SELECT {fx.sql_normalize('url')} AS match_url, min(page_id) AS page_id FROM pages GROUP BY 1),
+found AS (SELECT seed, depth, v.url, p.page_id, {fx.sql_text('html')} AS content, len(regexp_extract_all(html, '{fx.SQL_IMAGE}', 1)) AS n_images
+  FROM v3 v JOIN known ON {fx.sql_normalize('v.url')} = match_url JOIN pages p USING (page_id)),
+held AS (SELECT DISTINCT page_id, w FROM (SELECT page_id, any_value(content) AS content FROM found GROUP BY 1),
+  (SELECT DISTINCT unnest(regexp_extract_all(lower('{INSTRUCTIONS}'), '[a-z0-9]+')) AS w)
+  WHERE list_contains(regexp_extract_all(lower(content), '[a-z0-9]+'), w)),
+weights AS (SELECT w, ln(1 + (n - df + 0.5) / (df + 0.5)) AS weight FROM (SELECT w, count(*) AS df FROM held GROUP BY 1),
+  (SELECT count(DISTINCT page_id) AS n FROM found)),
+relevant AS (SELECT page_id, round(sum(weight) / (SELECT sum(weight) FROM weights), 6) AS relevance FROM held JOIN weights USING (w)
+  GROUP BY 1 HAVING round(sum(weight) / (SELECT sum(weight) FROM weights), 6) >= 0.25)"""
+)
+
+
+@check(
+    "crawl_instructed",
+    RELEVANT
+    + """ SELECT seed, depth, url, sha256(content) AS content_hash, n_images, regexp_extract(url, '^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)', 1) || '/favicon.ico' AS favicon, relevance
+FROM found JOIN relevant USING (page_id)""",
+)
+def crawl_instructed(spark, sf):
+    """Crawls that keep the pages relevant to instructions, with images, favicons and chunks."""
+    found = site.crawl(
+        _seeds(spark, sf), fx.table(spark, sf, "pages"), _edges(spark, sf), RULES, instructions=INSTRUCTIONS,
+        images=True, favicon=True, chunks=2,
+    )
+    return found.select(
+        "seed", "depth", "url", F.sha2("content", 256).alias("content_hash"), F.size("images").alias("n_images"), "favicon", "relevance"
+    )
+
+
+@check("site_map_instructed", RELEVANT + " SELECT seed, depth, url, relevance FROM found JOIN relevant USING (page_id)")
+def site_map_instructed(spark, sf):
+    return site.relevant_site_map(
+        _seeds(spark, sf), fx.table(spark, sf, "pages"), _edges(spark, sf), RULES, INSTRUCTIONS
+    )
+
+
 # --- request log ----------------------------------------------------------------------------------
 
 LOG = """log AS (SELECT event_id, ts, user_id, CASE event_id % 3 WHEN 0 THEN 'hybrid_search' WHEN 1 THEN 'freshness_cache' ELSE 'cache_then_memory' END AS mode,
