@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from siftwell.operators import lifecycle
+from siftwell.operators import lifecycle, metrics
 from siftwell.session import scratch_path
 from siftwell.sources.store import PartitionedStore
 from siftwell.streaming import jobs
@@ -13,7 +13,7 @@ from siftwell.workload import fixtures as fx
 from siftwell.workload.fixtures import NOW, stamp
 from siftwell.workload.registry import check
 from siftwell.workload.upkeep import SAVE, saved_view, sql_write_through
-from siftwell.workload.webpages import LOG, RATES, request_log
+from siftwell.workload.webpages import LOG, RATES, rank_errors, request_log
 
 FULL = "'%Y-%m-%d %H:%M:%S'"
 SESSIONS = """marked AS (SELECT user_id, ts, CASE WHEN ts < lag(ts) OVER w + INTERVAL 6 HOURS THEN 0 ELSE 1 END AS opens
@@ -104,6 +104,26 @@ _stream_metrics("stream_mode_metrics", _metrics_sql(TUMBLING), None)
 _stream_metrics("stream_mode_metrics_sliding", _metrics_sql(SLIDING), "6 hours")
 
 
+CLOSED_PANES = f"""WITH {LOG},
+panes AS (SELECT *, time_bucket(INTERVAL 6 HOURS, ts) AS pane FROM log),
+closed AS (SELECT * FROM panes WHERE pane + INTERVAL 6 HOURS <= (SELECT date_trunc('milliseconds', max(ts)) - INTERVAL 1 DAY FROM events))
+SELECT strftime(pane - to_hours(6 * i::INT), {FULL}) AS window_start, mode, count(*) AS requests,
+  true AS p50_latency_ms_close, true AS p95_latency_ms_close
+FROM closed, (SELECT unnest(range(4)) AS i) GROUP BY 1, 2"""
+
+
+@check("stream_mode_percentiles", CLOSED_PANES)
+def stream_mode_percentiles(spark, sf):
+    """A stream leaves one sketch for each closed pane of six hours; windows of a day are merged from them."""
+    panes = jobs.run_append(metrics.pane_sketches(request_log(_events(spark, sf)).withWatermark("ts", "1 day"), "6 hours"), "panes")
+    found = metrics.sliding_percentiles(panes, 6 * 3600, 4)
+    log = request_log(jobs.event_time(fx.table(spark, sf, "events")))
+    closed = log.withColumn("pane_start", F.window("ts", "6 hours").getField("start")).join(panes.select("pane_start").distinct(), "pane_start")
+    starts = F.transform(F.sequence(F.lit(0), F.lit(3)), lambda k: F.col("pane_start") - F.make_dt_interval(hours=k * 6))
+    told = rank_errors(found, closed.withColumn("window_start", F.explode(starts)), ["window_start", "mode"])
+    return told.withColumn("window_start", stamp("window_start"))
+
+
 @check(
     "stream_late",
     f"""SELECT strftime(date_trunc('day', ts), {FULL}) AS window_start, count(*) AS n FROM events

@@ -547,3 +547,28 @@ def request_log(events):
 @check("mode_metrics", f"WITH {LOG} SELECT mode, run, {RATES} FROM log GROUP BY 1, 2")
 def mode_metrics(spark, sf):
     return metrics.mode_metrics(request_log(fx.table(spark, sf, "events")))
+
+
+def rank_errors(found, log, keys):
+    """How far the rank of each percentile in the log itself is from what it should be: zero where the share lies between the
+    shares of smaller and of not larger latencies."""
+    met = found.withColumnRenamed("requests", "told").join(log, keys)
+    counted = [F.count("*").alias("n")]
+    for name in metrics.SHARES:
+        counted += [F.count_if(F.col("latency_ms") < F.col(name)).alias(f"{name}_below"), F.count_if(F.col("latency_ms") <= F.col(name)).alias(f"{name}_upto")]
+    ranks = met.groupBy(*keys, "told").agg(*counted)
+    close = [
+        (F.greatest(F.col(f"{name}_below") / F.col("n") - share, share - F.col(f"{name}_upto") / F.col("n"), F.lit(0.0)) <= 0.02).alias(f"{name}_close")
+        for name, share in metrics.SHARES.items()
+    ]
+    return ranks.select(*keys, F.col("told").alias("requests"), *close)
+
+
+@check(
+    "mode_percentiles",
+    f"WITH {LOG} SELECT mode, run, count(*) AS requests, true AS p50_latency_ms_close, true AS p95_latency_ms_close FROM log GROUP BY 1, 2",
+)
+def mode_percentiles(spark, sf):
+    """Percentiles from sketches, and whether their ranks in the log are near enough."""
+    log = request_log(fx.table(spark, sf, "events"))
+    return rank_errors(metrics.mode_percentiles(log), log, ["mode", "run"])
