@@ -175,10 +175,10 @@ def text_search(spark, sf):
 
 
 @check(
-    "text_search_scan",
+    "scan_text_search",
     f"WITH {ITEMS},{DOC_POSTINGS},{BM25.format(queries='items')},{text_hits(10)} SELECT * FROM text_hits",
 )
-def text_search_scan(spark, sf):
+def scan_text_search(spark, sf):
     """The same without an index: the texts are scanned."""
     return text_index.text_search(fx.table(spark, sf, "documents"), _items(spark, sf), 10, text_col="text")
 
