@@ -320,3 +320,21 @@ def test_mixing_hits_targets(documents):
     assert all(abs(taken[s] - target[s]) <= 2 * largest for s in target)
     mixed = Counter(r.doc_id for r in mixing.mix(documents).collect())
     assert mixed == Counter({r.doc_id: r.copies for r in rows if r.copies})
+
+
+def test_long_near_copies_are_verified_in_linear_memory():
+    """An edited book: every tenth token changed in 60,000, so that runs of shared tokens have very many ends."""
+    import tracemalloc
+
+    import numpy as np
+
+    rng = np.random.default_rng(4)
+    mine = rng.integers(0, 1 << 30, 60_000).astype(np.int32)
+    other = mine.copy()
+    other[::10] = rng.integers(0, 1 << 30, 6_000)
+    tracemalloc.start()
+    found = passages.verified(mine, other, 46)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(found) == 1 and found[0][1] - found[0][0] >= 59_990
+    assert most < 50e6
