@@ -1,40 +1,80 @@
 """A small causal self-attention model in numpy, over compact subword ids.
 
-One head looks back over at most ``CONTEXT`` tokens. Queries, keys and values are rows of tables by token, with a learned
-bias by distance; the output is a softmax over classes of tokens and one over the members of the class. Both start from
-fixed biases, the smoothed log frequencies of a token after the one before it over all training texts; attention
-learns what to add to them. Texts are scored in windows of ``2 * SCORED`` tokens that overlap by half: the first half is context only, so every
-token is scored once, with ``SCORED`` to ``2 * SCORED - 1`` tokens before it.
+One head looks back over at most ``CONTEXT`` tokens. A key is made of a token and the one before it, so that the head can find
+where the last token occurred before; a learned bias by distance is added. The next token is either copied from where the head
+looks, or drawn in two steps: its class by a softmax over what the head brings back, its place within the class by fixed
+frequencies. A learned gate mixes the two. Class logits start from fixed biases, the smoothed log frequencies of classes after the
+token before, over all training texts. Texts are scored in windows of ``CONTEXT`` tokens that overlap: the first
+``CONTEXT - SCORED`` are context only, so every token is scored once, with at least ``CONTEXT - SCORED`` tokens before it.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 
-DIM = 24
-SCORED = 16
-CONTEXT = 2 * SCORED
+DIM = 16
+SCORED = 32
+CONTEXT = 40
 #: Classes and members of a class; class * MEMBERS + member is a compact id.
 CLASSES, MEMBERS = 64, 64
 TOKENS = CLASSES * MEMBERS
 #: Compact ids: frequent subwords, then these three at the end of the table.
 OTHER, END, START = TOKENS - 3, TOKENS - 2, TOKENS - 1
+#: Steps of the stored logarithms of members: 16 bits reach from 0 to -21.
+STEPS = 3000.0
 
 SHAPES = {
-    "query": (TOKENS, DIM),
-    "key": (TOKENS, DIM),
-    "value": (TOKENS, DIM),
-    "own": (TOKENS, DIM),
+    "embedding": (TOKENS, DIM),
+    "query": (DIM, DIM),
+    "key": (DIM, DIM),
+    "key_before": (DIM, DIM),
+    "value": (DIM, DIM),
+    "own": (DIM, DIM),
     "distance": (CONTEXT,),
     "to_class": (DIM, CLASSES),
-    "to_member": (CLASSES, DIM, MEMBERS),
+    "to_gate": (DIM,),
+    "gate": (1,),
 }
 
 
+def factors(before: np.ndarray, after: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``DIM`` numbers for each token as one that is followed, and as one that follows: leading factors of the table of pairs."""
+    pairs = np.zeros((TOKENS, TOKENS), np.float32)
+    pairs[before, after] = counts
+    pairs /= np.sqrt(pairs.sum(axis=1) + 1)[:, None]
+    pairs /= np.sqrt(pairs.sum(axis=0) + 1)[None, :]
+    basis = np.random.default_rng(11).standard_normal((TOKENS, 2 * DIM)).astype(np.float32)
+    for _ in range(3):
+        basis = np.linalg.qr(pairs.T @ (pairs @ basis))[0]
+    left, sizes, right = np.linalg.svd(pairs @ basis, full_matrices=False)
+    right = basis @ right.T
+
+    def scaled(side):
+        side = side[:, :DIM] * np.sqrt(sizes[:DIM])
+        return (side / (np.linalg.norm(side, axis=1, keepdims=True) + 1e-9)).astype(np.float32)
+
+    return scaled(left), scaled(right)
+
+
+def balanced_classes(points: np.ndarray) -> np.ndarray:
+    """A class for each point, ``MEMBERS`` points in each: groups are halved along their widest direction."""
+    groups = [np.arange(len(points))]
+    while len(groups) < CLASSES:
+        halves = []
+        for group in groups:
+            own = points[group] - points[group].mean(axis=0)
+            direction = np.linalg.eigh(own.T @ own)[1][:, -1]
+            group = group[np.argsort(own @ direction, kind="stable")]
+            halves += [group[: len(group) // 2], group[len(group) // 2 :]]
+        groups = halves
+    out = np.empty(len(points), np.int64)
+    for number, group in enumerate(groups):
+        out[group] = number
+    return out
+
+
 class Biases:
-    """Log frequencies of classes, and of members, after each token: [before, class] and [before, class, member].
+    """Frequencies after each token: of classes, [before, class], and of tokens within their class, [before * TOKENS + token].
 
     Bigrams are smoothed with unigrams, in proportion to the number of distinct followers (Witten and Bell).
     """
@@ -48,19 +88,37 @@ class Biases:
         table = kinds[:, None] * single[None, :]
         table[before, after] += counts
         table /= (total + kinds)[:, None]
-        table = table.reshape(TOKENS, CLASSES, MEMBERS)
-        self.classes = np.log(table.sum(axis=2))
-        self.members = np.log(table, out=table).astype(np.float16)
-
-
-def initial() -> dict[str, np.ndarray]:
-    """Small random tables; outputs start at nearly nothing, so the model starts from its biases."""
+        # Tokens that follow the same tokens share a class.
+        self.followed, self.follows = factors(before, after, counts)
+        self.class_of = balanced_classes(self.follows)
+        order = np.argsort(self.class_of, kind="stable")
+        classes = table[:, order].reshape(TOKENS, CLASSES, MEMBERS).sum(axis=2)
+        self.classes = classes / classes.sum(axis=1, keepdims=True)
+        table /= classes[:, self.class_of]
+        np.log(table, out=table)
+        table *= np.float32(-STEPS)
+        np.rint(table, out=table)
+        self.members = np.minimum(table, 65535, out=table).astype(np.uint16).reshape(-1)
+
+    def within(self, before: np.ndarray, token: np.ndarray) -> np.ndarray:
+        """Probability of a token within its class."""
+        return np.exp(self.members[before * TOKENS + token].astype(np.float32) * np.float32(-1 / STEPS))
+
+
+def initial(biases: Biases | None = None) -> dict[str, np.ndarray]:
+    """Embeddings from the factors of pairs, where there are any. The head starts by looking for the last token among those before
+    a position, and is seldom believed."""
     chance = np.random.default_rng(7)
-    scale = {"to_class": 0.02, "to_member": 0.02}
-    params = {
-        name: (chance.standard_normal(shape) * scale.get(name, 0.3)).astype(np.float32) for name, shape in SHAPES.items()
-    }
-    params["distance"] = np.zeros(CONTEXT, np.float32)
+    params = {name: np.zeros(shape, np.float32) for name, shape in SHAPES.items()}
+    params["embedding"] = chance.standard_normal((TOKENS, DIM)).astype(np.float32) * np.float32(0.5)
+    if biases is not None:
+        params["embedding"] = biases.followed + params["embedding"] * np.float32(0.4)
+    for name in ("query", "key_before"):
+        params[name] = np.eye(DIM, dtype=np.float32) * np.float32(1.5)
+    for name in ("value", "own"):
+        params[name] = chance.standard_normal((DIM, DIM)).astype(np.float32) * np.float32(0.25)
+    params["to_class"] = chance.standard_normal((DIM, CLASSES)).astype(np.float32) * np.float32(0.02)
+    params["gate"][:] = -4
     return params
 
 
@@ -77,134 +135,151 @@ def unflatten(flat: np.ndarray) -> dict[str, np.ndarray]:
     return out
 
 
-#: [scored position, window position]: whether it may be seen, and how far back it lies.
-_BACK = (np.arange(SCORED)[:, None] + SCORED) - np.arange(CONTEXT)[None, :]
+#: [scored position, window position]: how far back it lies; positions that lie ahead are not seen.
+_BACK = (np.arange(SCORED)[:, None] + CONTEXT - SCORED) - np.arange(CONTEXT)[None, :]
 _SEEN = _BACK >= 0
 _BACK = np.where(_SEEN, _BACK, 0)
 
 
-def text_windows(ids: np.ndarray, edges: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Windows over all texts of a chunk: rows of CONTEXT + 1 ids, the text of each row, and how many targets are real.
+def layout(edges: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The text of each window of a chunk, and its number within the text."""
+    rows = -(-np.diff(edges) // SCORED)
+    owner = np.repeat(np.arange(len(rows)), rows)
+    return owner, np.arange(len(owner)) - (np.cumsum(rows) - rows)[owner]
 
-    The last SCORED ids of a row are its targets; each is predicted from the ids before it.
-    """
-    sizes = np.diff(edges)
-    rows = -(-sizes // SCORED)
-    owner = np.repeat(np.arange(len(sizes)), rows)
-    number = np.arange(len(owner)) - (np.cumsum(rows) - rows)[owner]
-    # Row r of a text has the targets r * SCORED .. and the CONTEXT + 1 - SCORED ids before them.
-    place = number[:, None] * SCORED + np.arange(CONTEXT + 1)[None, :] - (CONTEXT + 1 - SCORED)
-    inside = (place >= 0) & (place < sizes[owner][:, None])
-    flat = np.where(inside, place + edges[:-1][owner][:, None], 0)
-    table = np.where(inside, ids[flat] if len(ids) else 0, START).astype(np.int16)
-    return table, owner, np.minimum(SCORED, sizes[owner] - number * SCORED)
-
-
-def _softmax(x: np.ndarray) -> np.ndarray:
-    x = x - x.max(axis=-1, keepdims=True)
-    np.exp(x, out=x)
-    x /= x.sum(axis=-1, keepdims=True)
-    return x
 
+def cut_windows(ids: np.ndarray, edges: np.ndarray, owner: np.ndarray, number: np.ndarray) -> np.ndarray:
+    """Rows of CONTEXT + 1 ids for these windows; the last SCORED of a row are its targets, each predicted from the ids before it."""
+    # Window r of a text has the targets r * SCORED .. and the CONTEXT + 1 - SCORED ids before them.
+    place = number[:, None] * SCORED + np.arange(CONTEXT + 1) - (CONTEXT + 1 - SCORED)
+    inside = (place >= 0) & (place < np.diff(edges)[owner][:, None])
+    flat = np.where(inside, place + edges[:-1][owner][:, None], 0)
+    return np.where(inside, ids[flat] if len(ids) else 0, START).astype(np.int16)
 
-def _attend(params, rows: np.ndarray):
-    inputs = rows[:, :CONTEXT]
-    last = inputs[:, SCORED:]
-    q, k, v = params["query"][last], params["key"][inputs], params["value"][inputs]
-    scores = np.matmul(q, k.transpose(0, 2, 1)) * np.float32(DIM**-0.5) + params["distance"][_BACK]
-    weights = _softmax(np.where(_SEEN, scores, np.float32(-1e9)))
-    hidden = np.tanh(np.matmul(weights, v) + params["own"][last])
-    return inputs, last, q, k, v, weights, hidden
 
+def text_windows(ids: np.ndarray, edges: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """All windows of all texts of a chunk, the text of each, and how many of its targets are real."""
+    owner, number = layout(edges)
+    return cut_windows(ids, edges, owner, number), owner, np.minimum(SCORED, np.diff(edges)[owner] - number * SCORED)
 
-def _by_class(classes: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-    order = np.argsort(classes, kind="stable")
-    cuts = np.searchsorted(classes[order], np.arange(CLASSES + 1))
-    for c in range(CLASSES):
-        if cuts[c] < cuts[c + 1]:
-            yield c, order[cuts[c] : cuts[c + 1]]
 
+def _exponentials(x: np.ndarray, times: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """exp(x), by row in proportion, and the sums of rows; multiplied by ``times`` where given. ``x`` may be overwritten.
 
-def log_probs(params, biases: Biases, rows: np.ndarray, batch: int = 512) -> np.ndarray:
+    The largest of a row is only taken off where sums would not be sound without it.
+    """
+    with np.errstate(over="ignore", invalid="ignore"):
+        out = np.exp(x)
+        if times is not None:
+            out *= times
+        sums = out.reshape(-1, x.shape[-1]) @ np.ones(x.shape[-1], np.float32)
+    if not (np.isfinite(sums).all() and sums.min(initial=1) > 1e-20):
+        if times is not None:
+            x += np.log(times + np.float32(1e-30))
+        x -= x.max(axis=-1, keepdims=True)
+        out = np.exp(x, out=x)
+        sums = out.reshape(-1, x.shape[-1]).sum(axis=1)
+    return out, sums.reshape(x.shape[:-1])
+
+
+class Pass:
+    """What a batch of windows gives on the way forward; ``chance`` is the probability of each target, [row, SCORED]."""
+
+    def __init__(self, params: dict[str, np.ndarray], biases: Biases, rows: np.ndarray):
+        rows = rows.astype(np.int16, copy=False)
+        self.inputs = rows[:, :CONTEXT].astype(np.intp)
+        self.target = rows[:, CONTEXT + 1 - SCORED :].astype(np.intp)
+        before = self.inputs[:, CONTEXT - SCORED :]
+        self.x = params["embedding"].take(self.inputs, axis=0)
+        self.last = np.ascontiguousarray(self.x[:, CONTEXT - SCORED :])
+        self.q = self.last @ (params["query"] * np.float32(DIM**-0.5))
+        self.k = self.x @ params["key"]
+        self.k[:, 1:] += self.x[:, :-1] @ params["key_before"]
+        self.v = self.x @ params["value"]
+        scores = np.matmul(self.q, np.ascontiguousarray(self.k.transpose(0, 2, 1)))
+        scores += np.where(_SEEN, params["distance"][_BACK], np.float32(-1e9))
+        # Weights by row in proportion; ``share`` makes them add up to one.
+        self.weights, sums = _exponentials(scores)
+        self.share = 1 / sums
+        self.hidden = np.matmul(self.weights, self.v)
+        self.hidden *= self.share[:, :, None]
+        self.hidden += self.last @ params["own"]
+        np.tanh(self.hidden, out=self.hidden)
+        flat = self.hidden.reshape(-1, DIM)
+        self.classes, self.sums = _exponentials(flat @ params["to_class"], biases.classes.take(before.reshape(-1), axis=0))
+        self.at = np.arange(self.target.size) * CLASSES + biases.class_of.take(self.target.reshape(-1))
+        of_class = (self.classes.reshape(-1).take(self.at) / self.sums).reshape(self.target.shape)
+        self.gate = 1 / (1 + np.exp(-(flat @ params["to_gate"] + params["gate"]))).reshape(self.target.shape)
+        self.same = rows[:, None, :CONTEXT] == rows[:, CONTEXT + 1 - SCORED :, None]
+        self.copied = (self.weights * self.same) @ np.ones(CONTEXT, np.float32) * self.share
+        self.drawn = of_class * biases.within(before, self.target)
+        self.chance = (1 - self.gate) * self.drawn + self.gate * self.copied + np.float32(1e-30)
+
+
+def log_probs(params, biases: Biases, rows: np.ndarray, batch: int = 64) -> np.ndarray:
     """Natural log probability of each target, [row, SCORED]."""
     out = np.empty((len(rows), SCORED), np.float32)
     for at in range(0, len(rows), batch):
-        part = rows[at : at + batch].astype(np.intp)
-        hidden = _attend(params, part)[-1].reshape(-1, DIM)
-        before = part[:, CONTEXT - SCORED : CONTEXT].reshape(-1)
-        target = part[:, CONTEXT + 1 - SCORED :].reshape(-1)
-        classes, members = target // MEMBERS, target % MEMBERS
-        logits = hidden @ params["to_class"] + biases.classes[before]
-        logits -= logits.max(axis=1, keepdims=True)
-        found = logits[np.arange(len(target)), classes] - np.log(np.exp(logits).sum(axis=1))
-        for c, own in _by_class(classes):
-            logits = hidden[own] @ params["to_member"][c] + biases.members[before[own], c]
-            logits -= logits.max(axis=1, keepdims=True)
-            found[own] += logits[np.arange(len(own)), members[own]] - np.log(np.exp(logits).sum(axis=1))
-        out[at : at + batch] = found.reshape(-1, SCORED)
+        out[at : at + batch] = np.log(Pass(params, biases, rows[at : at + batch]).chance)
     return out
 
 
-def _scatter(table: np.ndarray, ids: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct ids and the sums of their rows."""
-    order = np.argsort(ids, kind="stable")
-    ids = ids[order]
-    first = np.flatnonzero(np.r_[True, ids[1:] != ids[:-1]])
-    return ids[first], np.add.reduceat(rows[order], first, axis=0)
-
-
 class Trainer:
     """Adagrad on batches of windows."""
 
-    def __init__(self, params: dict[str, np.ndarray], biases: Biases, rate: float = 0.3):
+    def __init__(self, params: dict[str, np.ndarray], biases: Biases, rate: float = 0.2):
         self.biases = biases
         self.params = {name: value.copy() for name, value in params.items()}
-        self.squares = {name: np.full(value.shape, 1e-3, np.float32) for name, value in params.items()}
+        self.squares = {name: np.full(value.shape, 1e-4, np.float32) for name, value in params.items()}
         self.rate = np.float32(rate)
 
-    def _step(self, name: str, gradient: np.ndarray, at=slice(None)) -> None:
-        squares = self.squares[name][at] + gradient * gradient
-        self.squares[name][at] = squares
-        self.params[name][at] -= self.rate * gradient / np.sqrt(squares)
-
     def batch(self, rows: np.ndarray) -> float:
         """One step over rows of windows; returns the mean loss. Padding after the end of a text is no target."""
-        rows = rows.astype(np.intp)
         p = self.params
-        inputs, last, q, k, v, weights, hidden = _attend(p, rows)
-        before = rows[:, CONTEXT - SCORED : CONTEXT].reshape(-1)
-        target = rows[:, CONTEXT + 1 - SCORED :].reshape(-1)
-        real = (target != START).astype(np.float32)
+        f = Pass(p, self.biases, rows)
+        real = (f.target != START).astype(np.float32)
         n = np.float32(max(1.0, real.sum()))
-        flat = hidden.reshape(-1, DIM)
-        classes, members = target // MEMBERS, target % MEMBERS
-        here = np.arange(len(target))
-        chance = _softmax(flat @ p["to_class"] + self.biases.classes[before])
-        loss = -np.log(chance[here, classes] + 1e-12)
-        chance[here, classes] -= 1
-        chance *= (real / n)[:, None]
-        back = chance @ p["to_class"].T
-        steps = [("to_class", flat.T @ chance, slice(None))]
-        for c, own in _by_class(classes):
-            part = _softmax(flat[own] @ p["to_member"][c] + self.biases.members[before[own], c])
-            loss[own] -= np.log(part[np.arange(len(own)), members[own]] + 1e-12)
-            part[np.arange(len(own)), members[own]] -= 1
-            part *= (real[own] / n)[:, None]
-            back[own] += part @ p["to_member"][c].T
-            steps.append(("to_member", flat[own].T @ part, c))
-        back = back.reshape(hidden.shape) * (1 - hidden * hidden)
-        to_weights = np.matmul(back, v.transpose(0, 2, 1))
-        scores = weights * (to_weights - (weights * to_weights).sum(axis=-1, keepdims=True))
-        steps.append(("distance", np.bincount(_BACK[_SEEN], weights=scores.sum(axis=0)[_SEEN], minlength=CONTEXT).astype(np.float32), slice(None)))
+        each = -real / (n * f.chance)
+        gate = each * (f.copied - f.drawn) * f.gate * (1 - f.gate)
+        pull = (each * (1 - f.gate) * f.drawn).reshape(-1)
+        logits = f.classes * (-pull / f.sums)[:, None]
+        logits.reshape(-1)[f.at] += pull
+        hidden = f.hidden.reshape(-1, DIM)
+        back = (logits @ p["to_class"].T).reshape(f.hidden.shape)
+        back += gate[:, :, None] * p["to_gate"]
+        back *= 1 - f.hidden * f.hidden
+        to_weights = np.matmul(back, f.v.transpose(0, 2, 1))
+        to_weights += (each * f.gate)[:, :, None] * f.same
+        weights = f.weights * f.share[:, :, None]
+        to_weights *= weights
+        to_weights -= weights * (to_weights @ np.ones(CONTEXT, np.float32))[:, :, None]
         scale = np.float32(DIM**-0.5)
-        for name, ids, rows_of in (
-            ("own", last, back),
-            ("value", inputs, np.matmul(weights.transpose(0, 2, 1), back)),
-            ("query", last, np.matmul(scores, k) * scale),
-            ("key", inputs, np.matmul(scores.transpose(0, 2, 1), q) * scale),
-        ):
-            found, sums = _scatter(p[name], ids.reshape(-1), rows_of.reshape(-1, DIM))
-            steps.append((name, sums, found))
-        for name, gradient, at in steps:
-            self._step(name, gradient, at)
-        return float((loss * real).sum() / n)
+        q = np.matmul(to_weights, f.k)
+        k = np.matmul(to_weights.transpose(0, 2, 1), f.q)
+        v = np.matmul(weights.transpose(0, 2, 1), back)
+        x = k @ p["key"].T
+        x += v @ p["value"].T
+        x[:, :-1] += k[:, 1:] @ p["key_before"].T
+        x[:, CONTEXT - SCORED :] += q @ (p["query"].T * scale) + back @ p["own"].T
+        flat = f.last.reshape(-1, DIM).T
+        place = f.inputs[:, :, None] * DIM + np.arange(DIM)
+        gradients = {
+            "embedding": np.bincount(place.reshape(-1), x.reshape(-1), TOKENS * DIM).reshape(TOKENS, DIM),
+            "query": flat @ q.reshape(-1, DIM) * scale,
+            "key": f.x.reshape(-1, DIM).T @ k.reshape(-1, DIM),
+            "key_before": f.x[:, :-1].reshape(-1, DIM).T @ k[:, 1:].reshape(-1, DIM),
+            "value": f.x.reshape(-1, DIM).T @ v.reshape(-1, DIM),
+            "own": flat @ back.reshape(-1, DIM),
+            "distance": np.bincount(_BACK[_SEEN], to_weights.sum(axis=0)[_SEEN], CONTEXT),
+            "to_class": hidden.T @ logits,
+            "to_gate": hidden.T @ gate.reshape(-1),
+            "gate": gate.sum(keepdims=True).reshape(1),
+        }
+        for name, gradient in gradients.items():
+            gradient = gradient.astype(np.float32, copy=False)
+            squares = self.squares[name]
+            squares += gradient * gradient
+            gradient = gradient * self.rate
+            gradient /= np.sqrt(squares)
+            p[name] -= gradient
+        return float(-(np.log(f.chance) * real).sum() / n)

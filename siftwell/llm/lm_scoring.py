@@ -3,10 +3,12 @@
 Texts are lowered (A-Z) and cut into words; an end follows the last word and counts as a token. Documents are for training
 unless the CRC-32 of their id as text has remainder ``HELD_OUT`` modulo 7.
 
-1. One pass over the training texts counts words, subwords and pairs of adjacent subwords; counts are summed per task, then by key.
-2. The most frequent subwords get compact ids, and pairs of these give the model's output biases (at most TOKENS squared).
-3. A second pass writes all windows of all training texts to the shared folder. In each of ``ROUNDS`` rounds, tasks train copies of the model in numpy on
-   their share of the round's windows, and the copies are averaged by block of parameters.
+1. One pass encodes all texts and writes their subword ids to the shared folder, two bytes each; no later pass reads a text.
+2. Passes over the training ids count words, subwords, and pairs of adjacent compact ids; counts are summed per task, then by key.
+   The most frequent subwords have compact ids, and pairs of these give the model's fixed frequencies (at most TOKENS squared).
+3. Every window of every training text belongs to one of ``ROUNDS`` rounds, by a hash of its document and number. In a round, tasks
+   train copies of the model in numpy on the windows of the ids that lie with them, in batches of ``BATCH``; the copies are averaged by
+   block of parameters. Nothing but models is shuffled.
 4. The last pass scores all texts. Frequent words carry their counts to the tasks (``HEAVY`` words at most); for the others the
    counts are joined by word.
 
@@ -19,6 +21,7 @@ text for the split. Without training texts the model is what it starts from. Onl
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -31,46 +34,55 @@ from siftwell.session import cut_lineage, scratch_path
 
 HELD_OUT = 2
 ROUNDS = 3
-#: Windows that a task trains on in a round, and in a step.
-SHARE = 40_000
-BATCH = 32
+#: Windows that a task trains on in a round, at least where there are so many; windows in a step; windows that are put in random order together.
+SHARE = 20_000
+BATCH = 64
+SHUFFLED = 16_384
 HEAVY = 1 << 16
+#: Words by the logarithm of their count, in so many steps a doubling.
+STEPS = 16
 #: Entries that a counting task holds before it passes them on.
 COUNTER_ENTRIES = 2_000_000
 BLOCKS = 64
-#: The key of the end among word hashes.
-END_KEY = np.uint64(0x2F0B4C47E5C1A9D3)
+#: Bytes of ids that are worked on together.
+IDS_BYTES = 1 << 20
 
-#: Multipliers of the ids of a window, for its hash.
-WINDOW_TABLE = np.random.default_rng(20240307).integers(1, 1 << 63, attention.CONTEXT + 1, dtype=np.uint64)
-
-WORD, SUBWORD, PAIR = 0, 1, 2
+WORD, SUBWORD = 0, 1
 
 
 class Encoder:
-    """Words of a chunk as hashes and as subword ids; the end is one id above the vocabulary, the start two."""
+    """Words of a chunk as subword ids; the end is one id above the vocabulary, the start two."""
 
     def __init__(self, ranks_path: str):
         self.bpe = byte_bpe.load(ranks_path)
         self.end = len(self.bpe.tokens)
         self.start = self.end + 1
+        if self.start >= 1 << 16:
+            raise ValueError("The vocabulary must leave two ids of 16 bits free.")
+        #: Whether an id begins a word, or is the end.
+        self.opens = np.array([token[:1] == b" " for token in self.bpe.tokens] + [True, True])
 
-    def chunk(self, chunk: slices.Chunk) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Word keys with the edges of each text, and subword ids with theirs; both with an end after every text."""
+    def chunk(self, chunk: slices.Chunk) -> tuple[np.ndarray, np.ndarray]:
+        """Subword ids with the edges of each text, with an end after every text."""
         data = slices.LOWER[chunk.data]
         starts, ends, doc = slices.words(data, chunk.offsets)
-        keys, one, which = np.unique(slices.hash_spans(data, starts, ends), return_index=True, return_inverse=True)
+        _, one, which = np.unique(slices.hash_spans(data, starts, ends), return_index=True, return_inverse=True)
         raw = data.tobytes()
         pieces = [b" " + raw[a:b] for a, b in zip(starts[one].tolist(), ends[one].tolist())]
         found = self.bpe.ids_of(pieces) + [(self.end,)]
         counts = np.bincount(doc, minlength=chunk.docs)
         which = np.insert(which, np.cumsum(counts), len(pieces))
-        edges = np.r_[0, np.cumsum(counts + 1)]
         lengths = np.fromiter(map(len, found), np.int64, len(found))
-        table = np.concatenate([np.asarray(f, np.int64) for f in found])
+        table = np.fromiter(chain.from_iterable(found), np.uint16, int(lengths.sum()))
         own = lengths[which]
         ids = slices.ragged(table, (np.cumsum(lengths) - lengths)[which], own)
-        return np.r_[keys, END_KEY][which], edges, ids, np.r_[0, np.cumsum(own)][edges]
+        return ids, np.r_[0, np.cumsum(own)][np.r_[0, np.cumsum(counts + 1)]]
+
+    def words(self, ids: np.ndarray, edges: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Word keys, the end's among them, and the edges of each text. Ids spell words one to one, so a key hashes a word's ids."""
+        starts = np.flatnonzero(self.opens[ids])
+        keys = slices.hash_spans(ids.view(np.uint8), 2 * starts, 2 * np.r_[starts[1:], len(ids)]).view(np.int64)
+        return keys, np.searchsorted(starts, edges)
 
 
 class Counter:
@@ -103,37 +115,85 @@ def with_split(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
     )
 
 
-def count(training: DataFrame, ranks_path: str) -> DataFrame:
-    """``kind, key, times`` over the training texts."""
+def encode(split: DataFrame, ranks_path: str) -> DataFrame:
+    """``id, held_out, place, ids``: subword ids of each text as the bytes of 16-bit integers; ``place`` is a hash of the id."""
+    kind = split.schema["id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(ranks_path)
-        counters = {kind: Counter() for kind in (WORD, SUBWORD, PAIR)}
+        for batch in batches:
+            for chunk in slices.chunks(batch.column(3)):
+                ids, edges = encoder.chunk(chunk)
+                packed = pa.Array.from_buffers(
+                    pa.binary(), chunk.docs, [None, pa.py_buffer((2 * edges).astype(np.int32)), pa.py_buffer(ids)]
+                )
+                own = [batch.column(k).slice(chunk.first, chunk.docs) for k in range(3)]
+                yield pa.RecordBatch.from_arrays([*own, packed], ["id", "held_out", "place", "ids"])
+
+    rows = split.select("id", "held_out", F.xxhash64("id").alias("place"), "text")
+    return rows.mapInArrow(run, f"id {kind}, held_out boolean, place long, ids binary")
+
+
+def _ids(column: pa.Array) -> Iterator[tuple[slices.Chunk, np.ndarray, np.ndarray]]:
+    for chunk in slices.chunks(column, IDS_BYTES):
+        yield chunk, np.ascontiguousarray(chunk.data).view(np.uint16), chunk.offsets // 2
+
+
+def _counted(names: list[str], *columns) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names)
+
+
+def count(training: DataFrame, ranks_path: str) -> DataFrame:
+    """``kind, key, times`` of words and subwords over the training ids."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder, words = Encoder(ranks_path), Counter()
+        subwords = np.zeros(encoder.start + 1, np.int64)
+        names = ["kind", "key", "times"]
+
+        def flush(kind, keys, times):
+            for at in range(0, len(keys), 100_000):
+                part = keys[at : at + 100_000]
+                yield _counted(names, np.full(len(part), kind, np.int32), part, times[at : at + 100_000])
+
+        for batch in batches:
+            for _, ids, edges in _ids(batch.column(0)):
+                words.add(encoder.words(ids, edges)[0])
+                subwords += np.bincount(ids, minlength=len(subwords))
+                if words.entries > COUNTER_ENTRIES:
+                    yield from flush(WORD, *words.take())
+        yield from flush(WORD, *words.take())
+        found = np.flatnonzero(subwords)
+        yield from flush(SUBWORD, found, subwords[found])
+
+    counted = training.select("ids").mapInArrow(run, "kind int, key long, times long")
+    return counted.groupBy("kind", "key").agg(F.sum("times").alias("times"))
+
+
+def count_pairs(training: DataFrame, compact) -> DataFrame:
+    """``before, after, times`` of adjacent compact ids, the start before every text."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pairs = Counter()
 
         def flush():
-            for kind, counter in counters.items():
-                keys, times = counter.take()
-                for at in range(0, len(keys), 100_000):
-                    part = keys[at : at + 100_000]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(len(part), kind, np.int32)), pa.array(part), pa.array(times[at : at + 100_000])],
-                        ["kind", "key", "times"],
-                    )
+            keys, times = pairs.take()
+            for at in range(0, len(keys), 100_000):
+                part = keys[at : at + 100_000]
+                yield _counted(["before", "after", "times"], part // attention.TOKENS, part % attention.TOKENS, times[at : at + 100_000])
 
         for batch in batches:
-            for chunk in slices.chunks(batch.column(0)):
-                words, _, ids, edges = encoder.chunk(chunk)
-                before = np.r_[encoder.start, ids[:-1]]
-                before[edges[:-1]] = encoder.start
-                counters[WORD].add(words.view(np.int64))
-                counters[SUBWORD].add(ids)
-                counters[PAIR].add((before << 32) | ids)
-                if sum(c.entries for c in counters.values()) > COUNTER_ENTRIES:
+            for _, ids, edges in _ids(batch.column(0)):
+                after = compact.value.of[ids].astype(np.int32)
+                before = np.r_[np.int32(attention.START), after[:-1]]
+                before[edges[:-1]] = attention.START
+                pairs.add(before * np.int32(attention.TOKENS) + after)
+                if pairs.entries > COUNTER_ENTRIES:
                     yield from flush()
         yield from flush()
 
-    counted = training.select("text").mapInArrow(run, "kind int, key long, times long")
-    return counted.groupBy("kind", "key").agg(F.sum("times").alias("times"))
+    counted = training.select("ids").mapInArrow(run, "before int, after int, times long")
+    return counted.groupBy("before", "after").agg(F.sum("times").alias("times"))
 
 
 class Compact:
@@ -152,41 +212,35 @@ class Compact:
         self.within = np.where(rare, np.log(totals / max(1.0, totals[rare].sum())), 0.0)
 
 
-def pair_biases(spark, pairs: DataFrame, compact: Compact) -> attention.Biases:
-    """Output biases from counts of pairs; at most one row per compact id, with at most as many followers, comes to the driver."""
-    ids = spark.createDataFrame([(k, int(c)) for k, c in enumerate(compact.of)], "raw int, compact int")
-    grouped = (
-        pairs.select((F.shiftright("key", 32)).cast("int").alias("a"), F.col("key").bitwiseAND(F.lit((1 << 32) - 1)).cast("int").alias("b"), "times")
-        .join(F.broadcast(ids.toDF("a", "before")), "a")
-        .join(F.broadcast(ids.toDF("b", "after")), "b")
-        .groupBy("before", "after").agg(F.sum("times").alias("times"))
-        .groupBy("before").agg(F.collect_list("after").alias("after"), F.collect_list("times").alias("times"))
-    )
-    before, after, times = [], [], []
+def pair_biases(pairs: DataFrame) -> attention.Biases:
+    """Frequencies from counts of pairs; at most one row per compact id, with at most as many followers, comes to the driver."""
+    grouped = pairs.groupBy("before").agg(F.collect_list("after").alias("after"), F.collect_list("times").alias("times"))
+    before, after, times = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.float32)]
     for row in grouped.toLocalIterator():
         before.append(np.full(len(row.after), row.before))
         after.append(np.array(row.after))
         times.append(np.array(row.times, np.float32))
-    if not before:
-        return attention.Biases(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.float32))
-    return attention.Biases(np.concatenate(before), np.concatenate(after), np.concatenate(times))
+    # Tasks end in any order; the model does not depend on it.
+    before, after, times = map(np.concatenate, (before, after, times))
+    order = np.lexsort((after, before))
+    return attention.Biases(before[order], after[order], times[order])
+
+
+def deal(places: np.ndarray, edges: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Text, number and shard of each window. Texts with the same opening, and copies, spread over all rounds."""
+    owner, number = attention.layout(edges)
+    return owner, number, slices.mix(slices.mix(places)[owner] + number.astype(np.uint64))
 
 
 def training_windows(training: DataFrame, ranks_path: str, compact) -> DataFrame:
-    """``round, shard, window``: windows of compact ids, each as the bytes of 16-bit integers."""
+    """``round, shard, window``: the windows that training sees, each as the bytes of 16-bit integers. For inspection."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(ranks_path)
         for batch in batches:
-            names = batch.column(1).to_numpy().view(np.uint64)
-            for chunk in slices.chunks(batch.column(0)):
-                _, _, ids, edges = encoder.chunk(chunk)
-                rows, owner, _ = attention.text_windows(compact.value.of[ids], edges)
-                number = np.arange(len(rows)) - np.searchsorted(owner, owner)
-                # From the window's ids, its document and its number: texts with the same opening spread over all tasks.
-                own = (rows.astype(np.uint64) * WINDOW_TABLE).sum(axis=1, dtype=np.uint64)
-                place = slices.mix(names[chunk.first : chunk.last])[owner] + number.astype(np.uint64)
-                shard = slices.mix(slices.mix(own) ^ slices.mix(place))
+            places = batch.column(0).to_numpy().view(np.uint64)
+            for chunk, ids, edges in _ids(batch.column(1)):
+                owner, number, shard = deal(places[chunk.first : chunk.last], edges)
+                rows = attention.cut_windows(compact.value.of[ids], edges, owner, number)
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array((shard % np.uint64(ROUNDS)).astype(np.int32)),
@@ -196,30 +250,42 @@ def training_windows(training: DataFrame, ranks_path: str, compact) -> DataFrame
                     ["round", "shard", "window"],
                 )
 
-    return training.select("text", F.xxhash64("id")).mapInArrow(run, "round int, shard long, window binary")
+    encoded = encode(training.withColumn("held_out", F.lit(False)), ranks_path)
+    return encoded.select("place", "ids").mapInArrow(run, "round int, shard long, window binary")
 
 
-def train(windows: DataFrame, biases: attention.Biases) -> dict[str, np.ndarray]:
-    """Parameters after all rounds. What comes to the driver is one model, in ``BLOCKS`` rows."""
-    spark = windows.sparkSession
-    per_round = {r["round"]: r["n"] for r in windows.groupBy("round").agg(F.count(F.lit(1)).alias("n")).collect()}
-    params = attention.initial()
-    shared_biases = spark.sparkContext.broadcast(biases)
-    for number in sorted(per_round):
+def train(training: DataFrame, subwords: int, compact, biases) -> dict[str, np.ndarray]:
+    """Parameters after all rounds over ``place, ids``. What comes to the driver is one model, in ``BLOCKS`` rows."""
+    spark = training.sparkSession
+    params = attention.initial(biases.value)
+    # Small inputs are trained on by few tasks; splits are merged for that, not shuffled.
+    near = training.select("place", "ids").coalesce(max(1, -(-subwords // (attention.SCORED * ROUNDS * SHARE))))
+    for turn in range(ROUNDS):
         shared = spark.sparkContext.broadcast(params)
 
-        def fit(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            trainer, seen = attention.Trainer(shared.value, shared_biases.value), 0
-            waiting: list[bytes] = []
+        def fit(batches: Iterator[pa.RecordBatch], shared=shared, turn=turn) -> Iterator[pa.RecordBatch]:
+            trainer, seen = attention.Trainer(shared.value, biases.value), 0
+            chance = np.random.default_rng([turn, TaskContext.get().partitionId()])
+            waiting: list[np.ndarray] = []
+
+            def learn() -> int:
+                rows = np.concatenate(waiting)
+                waiting.clear()
+                chance.shuffle(rows)
+                for at in range(0, len(rows), BATCH):
+                    trainer.batch(rows[at : at + BATCH])
+                return len(rows)
+
             for batch in batches:
-                waiting += batch.column(0).to_pylist()
-                for at in range(0, len(waiting) - BATCH + 1, BATCH):
-                    trainer.batch(_rows(waiting[at : at + BATCH]))
-                seen += len(waiting) // BATCH * BATCH
-                waiting = waiting[len(waiting) // BATCH * BATCH :]
+                places = batch.column(0).to_numpy().view(np.uint64)
+                for chunk, ids, edges in _ids(batch.column(1)):
+                    owner, number, shard = deal(places[chunk.first : chunk.last], edges)
+                    own = np.flatnonzero(shard % np.uint64(ROUNDS) == turn)
+                    waiting.append(attention.cut_windows(compact.value.of[ids], edges, owner[own], number[own]))
+                    if sum(map(len, waiting)) >= SHUFFLED:
+                        seen += learn()
             if waiting:
-                trainer.batch(_rows(waiting))
-                seen += len(waiting)
+                seen += learn()
             if seen:
                 parts = np.array_split(attention.flatten(trainer.params), BLOCKS)
                 yield pa.RecordBatch.from_arrays(
@@ -243,59 +309,61 @@ def train(windows: DataFrame, biases: attention.Biases) -> dict[str, np.ndarray]
                 ["block", "mean"],
             )
 
-        tasks = -(-per_round[number] // SHARE)
-        trained = (
-            windows.where(F.col("round") == number).select("window", "shard")
-            .repartition(tasks, "shard").sortWithinPartitions("shard").select("window")
-            .mapInArrow(fit, "block int, weight double, total array<float>")
-        )
+        trained = near.mapInArrow(fit, "block int, weight double, total array<float>")
         means = trained.repartition("block").mapInArrow(average, "block int, mean array<float>").collect()
-        blocks = {r["block"]: np.array(r["mean"], np.float32) for r in means}
-        params = attention.unflatten(np.concatenate([blocks[b] for b in range(BLOCKS)]))
+        if means:
+            blocks = {r["block"]: np.array(r["mean"], np.float32) for r in means}
+            params = attention.unflatten(np.concatenate([blocks[b] for b in range(BLOCKS)]))
     return params
 
 
-def _rows(packed: list[bytes]) -> np.ndarray:
-    return np.frombuffer(b"".join(packed), np.int16).reshape(len(packed), attention.CONTEXT + 1)
+def frequent(words: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted keys and counts of frequent words, at most ``HEAVY``: those above a threshold that counts of counts give."""
+    step = F.floor(F.log2("times") * STEPS).cast("int")
+    above, least = 0, None
+    for row in words.groupBy(step.alias("step")).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("step")).collect():
+        above += row.n
+        if above > HEAVY:
+            break
+        least = row.step
+    if least is None:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    found = words.where(step >= least).toPandas()
+    order = np.argsort(found["key"].to_numpy(np.int64))
+    return found["key"].to_numpy(np.int64)[order], found["times"].to_numpy(np.int64)[order]
 
 
 def score(docs: DataFrame, ranks_path: str, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """One row per document: id, ``held_out``, ``n_tokens``, ``n_known``, ``train_tokens``, ``base_score``, ``score``."""
     spark = docs.sparkSession
     split = with_split(docs, id_column, text_column)
-    training = split.where(~F.col("held_out"))
+    path = scratch_path(spark, "subword-ids")
+    encode(split, ranks_path).write.option("compression", "zstd").parquet(path)
+    encoded = spark.read.parquet(path)
+    training = encoded.where(~F.col("held_out"))
     counted = cut_lineage(count(training, ranks_path))
     words = counted.where(F.col("kind") == WORD).select("key", "times")
     totals = words.agg(F.coalesce(F.sum("times"), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("v")).first()
-    heavy = words.orderBy(F.desc("times"), "key").limit(HEAVY).toPandas()
     subwords = counted.where(F.col("kind") == SUBWORD).select("key", "times").toPandas()
     size = len(byte_bpe.load(ranks_path).tokens)
-    compact = Compact(subwords["key"].to_numpy(np.int64), subwords["times"].to_numpy(np.int64), size)
-    shared_compact = spark.sparkContext.broadcast(compact)
-    biases = pair_biases(spark, counted.where(F.col("kind") == PAIR), compact)
-    path = scratch_path(spark, "training-windows")
-    training_windows(training, ranks_path, shared_compact).write.parquet(path)
-    params = train(spark.read.parquet(path), biases)
-
-    order = np.argsort(heavy["key"].to_numpy(np.int64))
-    known = (heavy["key"].to_numpy(np.int64)[order], heavy["times"].to_numpy(np.int64)[order])
-    model = spark.sparkContext.broadcast((params, biases, known))
+    times = subwords["times"].to_numpy(np.int64)
+    compact = spark.sparkContext.broadcast(Compact(subwords["key"].to_numpy(np.int64), times, size))
+    biases = spark.sparkContext.broadcast(pair_biases(count_pairs(training, compact)))
+    model = spark.sparkContext.broadcast((train(training, int(times.sum()), compact, biases), frequent(words)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(ranks_path)
-        params, biases, (heavy_keys, heavy_times) = model.value
-        compact = shared_compact.value
+        params, (heavy_keys, heavy_times) = model.value
         row, partition = 0, TaskContext.get().partitionId()
         for batch in batches:
-            for chunk in slices.chunks(batch.column(1), slices.CHUNK_BYTES // 4):
-                keys, word_edges, ids, edges = encoder.chunk(chunk)
-                keys = keys.view(np.int64)
-                rows, owner, real = attention.text_windows(compact.of[ids], edges)
-                found = attention.log_probs(params, biases, rows).astype(np.float64)
+            for chunk, ids, edges in _ids(batch.column(1)):
+                keys, word_edges = encoder.words(ids, edges)
+                rows, owner, real = attention.text_windows(compact.value.of[ids], edges)
+                found = attention.log_probs(params, biases.value, rows).astype(np.float64)
                 found = np.where(np.arange(attention.SCORED)[None, :] < real[:, None], found, 0.0).sum(axis=1)
                 scores = np.bincount(owner, weights=found, minlength=chunk.docs)
                 doc_of_id = np.repeat(np.arange(chunk.docs), np.diff(edges))
-                scores += np.bincount(doc_of_id, weights=compact.within[ids], minlength=chunk.docs)
+                scores += np.bincount(doc_of_id, weights=compact.value.within[ids], minlength=chunk.docs)
 
                 doc = np.repeat(np.arange(chunk.docs), np.diff(word_edges))
                 if len(heavy_keys):
@@ -322,7 +390,7 @@ def score(docs: DataFrame, ranks_path: str, id_column: str = "doc_id", text_colu
 
     kind = docs.schema[id_column].dataType.simpleString()
     scored = cut_lineage(
-        split.select("id", "text", "held_out").mapInArrow(
+        encoded.select("id", "ids", "held_out").mapInArrow(
             run,
             f"row long, id {kind}, held_out boolean, n_tokens long, n_heavy long, log_heavy double, score double, light array<long>",
         )
