@@ -23,6 +23,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from siftwell.llm.names import plain
+
 TRIE_BYTES = 64 << 20
 
 
@@ -228,10 +230,11 @@ def dedup_report(docs: DataFrame, id_column: str = "doc_id", text_column: str =
 
 
 def keep_one(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", keep: str = "smallest") -> DataFrame:
-    """The rows of ``docs`` that own their text, with all columns. Rows that repeat an owner whole all stay."""
+    """The rows of ``docs`` that own their text, with all columns, whatever their names. Rows that repeat an owner whole all stay."""
+    named, (id_column, text_column) = plain(docs, id_column, text_column)
     text = F.coalesce(F.col(text_column), F.lit(""))
     names = ["__owner", "__digest", "__bytes"]
-    own = owners(docs, id_column, text, keep).select(
+    own = owners(named, id_column, text, keep).select(
         F.col("keep_id").alias(names[0]), F.col("text_sha256").alias(names[1]), F.col("n_bytes").alias(names[2])
     )
     same = (
@@ -239,4 +242,4 @@ def keep_one(docs: DataFrame, id_column: str = "doc_id", text_column: str = "tex
         & (F.sha2(text, 256) == F.col(names[1]))
         & (F.octet_length(text).cast("long") == F.col(names[2]))
     )
-    return docs.join(own, same, "left_semi")
+    return named.join(own, same, "left_semi").toDF(*docs.columns)

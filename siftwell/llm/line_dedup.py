@@ -19,6 +19,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from siftwell.llm.names import plain
+
 LINES = 3
 
 
@@ -71,9 +73,10 @@ def rest() -> Column:
 
 
 def dedup(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """``docs`` with the later occurrences of repeated windows removed from the texts."""
-    marked = mark(docs, id_column, text_column).withColumn("__new", rest())
-    return marked.select(*(F.col("__new").alias(c) if c == text_column else F.col(c) for c in docs.columns))
+    """``docs``, whatever its columns' names, with the later occurrences of repeated windows removed from the texts."""
+    named, (id_column, text_column) = plain(docs, id_column, text_column)
+    marked = mark(named, id_column, text_column).withColumn("__new", rest())
+    return marked.select(*(F.col("__new" if c == text_column else c) for c in named.columns)).toDF(*docs.columns)
 
 
 def report(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:

@@ -23,6 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from siftwell.llm.names import plain
 from siftwell.session import cut_lineage
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -120,6 +121,7 @@ def report(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text"
 
 
 def mix(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", source_column: str = "source") -> DataFrame:
-    """The mix itself: the rows of ``docs``, each as often as it is taken."""
-    planned = plan(docs, id_column, text_column, source_column).where(F.col("__copies") > 0)
-    return planned.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies")))).select(*docs.columns)
+    """The mix itself: the rows of ``docs``, whatever its columns' names, each as often as it is taken."""
+    named, (id_column, text_column, source_column) = plain(docs, id_column, text_column, source_column)
+    planned = plan(named, id_column, text_column, source_column).where(F.col("__copies") > 0)
+    return planned.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies")))).select(*named.columns).toDF(*docs.columns)

@@ -33,6 +33,7 @@ from pyspark.sql import functions as F
 
 from siftwell.llm import slices
 from siftwell.llm.links import components
+from siftwell.llm.names import plain
 from siftwell.session import cut_lineage, scratch_path
 
 SIZE = 5
@@ -355,10 +356,11 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
 
 
 def keep_one(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """The rows of ``docs`` whose id is the smallest of their component, with all columns.
+    """The rows of ``docs`` whose id is the smallest of their component, with all columns, whatever their names.
 
     Rows that repeat a kept id all stay, and so do rows without an id whose class has none.
     """
-    found = near_duplicates(docs, id_column, text_column)
+    named, (id_column, text_column) = plain(docs, id_column, text_column)
+    found = near_duplicates(named, id_column, text_column)
     dropped = found.where(F.col(id_column) != F.col("component_id")).select(F.col(id_column).alias("__dropped")).distinct()
-    return docs.join(dropped, docs[id_column] == F.col("__dropped"), "left_anti")
+    return named.join(dropped, named[id_column] == F.col("__dropped"), "left_anti").toDF(*docs.columns)
