@@ -31,6 +31,7 @@ from siftwell.session import scratch_path
 # Fixed values of the file format.
 DICTIONARY_MAGIC = 0x184D2A5D
 VERSION = b"WARC/1.1"
+PROFILE = b"http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 HTTP_HEADER = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=UTF-8\r\n\r\n"
 
 ARCHIVE_BYTES = 8 << 20
@@ -58,14 +59,14 @@ def record(page_id, url: str | None, payload: bytes, n_bytes: int, digest: str,
         b"WARC-Record-ID: " + record_id(page_id),
         b"WARC-Date: " + date.encode(),
         b"WARC-Payload-Digest: sha256:" + digest.encode(),
-        b"Payload-Length: %d" % n_bytes,
         b"Content-Type: application/http; msgtype=response",
         b"Content-Length: %d" % len(block),
     ]
     if url is not None:
         lines.append(b"WARC-Target-URI: " + url.replace("\r", "%0D").replace("\n", "%0A").encode())
     if revisit:
-        lines.append(b"WARC-Refers-To: " + record_id(refers_to))
+        # A revisit does not hold its payload, so a field of its own tells the length.
+        lines += [b"WARC-Profile: " + PROFILE, b"WARC-Refers-To: " + record_id(refers_to), b"Payload-Length: %d" % n_bytes]
     return b"\r\n".join(lines) + b"\r\n\r\n" + block + b"\r\n\r\n"
 
 
@@ -127,8 +128,9 @@ def write(
     html_column: str = "html",
     revisit_bytes: int = 100,
     archive_bytes: int = ARCHIVE_BYTES,
+    date: str = DATE,
 ) -> None:
-    """Write all pages as archives to ``path``."""
+    """Write all pages as archives to ``path``; ``date`` is when they were fetched, as in 2024-01-31T00:00:00Z."""
     payload = F.coalesce(F.col(html_column), F.lit("")).cast("binary")
     told = pages.select(
         F.col(id_column).cast("long").alias("id"),
@@ -162,7 +164,7 @@ def write(
                 records.append(
                     record(
                         page_id[k].as_py(), url[k].as_py(), body[k].as_py(), n_bytes[k].as_py(),
-                        digest[k].as_py(), first_id[k].as_py(), revisit[k].as_py(),
+                        digest[k].as_py(), first_id[k].as_py(), revisit[k].as_py(), date,
                     )
                 )
                 size += len(records[-1])
@@ -187,7 +189,7 @@ def read(spark: SparkSession, path: str) -> DataFrame:
                     revisit = fields["WARC-Type"] == "revisit"
                     payload = payload_of(block)
                     digest = fields["WARC-Payload-Digest"].removeprefix("sha256:")
-                    if not revisit and (sha256(payload).hexdigest() != digest or len(payload) != int(fields["Payload-Length"])):
+                    if not revisit and sha256(payload).hexdigest() != digest:
                         raise ValueError(f"The payload of {fields['WARC-Record-ID']} is damaged.")
                     rows.append(
                         (

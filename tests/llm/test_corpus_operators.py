@@ -169,6 +169,15 @@ def test_warc_odd_rows(spark):
     assert warc.round_trip(pages.where("false")).count() == 0
 
 
+def test_warc_header_fields():
+    whole = warc.record(1, "u", b"<p>one</p>", 10, "0" * 64, None, False, "2025-05-06T07:08:09Z").split(b"\r\n\r\n")[0].split(b"\r\n")
+    again = warc.record(2, "u", b"", 10, "0" * 64, 1, True, "2025-05-06T07:08:09Z").split(b"\r\n\r\n")[0].split(b"\r\n")
+    assert all(b"WARC-Date: 2025-05-06T07:08:09Z" in lines for lines in (whole, again))
+    assert b"WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest" in again
+    assert b"WARC-Refers-To: <urn:page:1>" in again and b"Payload-Length: 10" in again
+    assert not any(line.startswith((b"WARC-Profile", b"WARC-Refers-To", b"Payload-Length")) for line in whole)
+
+
 def test_warc_files(spark, tmp_path):
     pages = spark.read.parquet(f"{SF}/pages.parquet")
     warc.write(pages, str(tmp_path / "rows"), archive_bytes=50_000)
