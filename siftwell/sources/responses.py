@@ -111,7 +111,9 @@ def classify_response(log: DataFrame) -> DataFrame:
     the status decides. ``detail`` is the body's ``detail.error``, or a body that is a bare string.
     """
     body = F.coalesce("body", F.lit(""))
-    envelope = F.get_json_object(body, "$.error.code").isNotNull()
+    # Only a code that is a string makes an envelope.
+    code = F.try_variant_get(F.try_parse_json(body), "$.error.code", "variant")
+    envelope = F.coalesce(F.schema_of_variant(code) == "STRING", F.lit(False))
     kind = F.when(F.col("status").between(200, 299), "ok")
     kind = kind.when(F.col("keyless") & envelope, "keyless_limit")
     for codes, name in STATUS_CLASSES:

@@ -458,12 +458,14 @@ def test_error_classes(spark):
     rows = [
         (1, 429, '{"detail":{"error":"slow down"}}', False), (2, 429, envelope, True), (3, 429, envelope, False),
         (4, 432, None, False), (5, 401, '"bad key"', False), (6, 400, "<html>", False), (7, 502, None, True), (8, 200, None, False),
+        (9, 429, '{"error":{"code":7}}', True), (10, 429, '{"error":"limit"}', True),
     ]
     df = spark.createDataFrame(rows, "id int, status int, body string, keyless boolean")
     got = {r["id"]: (r["error_class"], r["detail"]) for r in rs.classify_response(df).collect()}
     assert got == {
         1: ("usage_limit", "slow down"), 2: ("keyless_limit", ""), 3: ("usage_limit", ""), 4: ("forbidden", ""),
         5: ("invalid_key", "bad key"), 6: ("bad_request", ""), 7: ("http_error", ""), 8: ("ok", ""),
+        9: ("usage_limit", ""), 10: ("usage_limit", ""),
     }
 
 def test_two_saves_at_one_time_have_ids_of_their_own(spark):
