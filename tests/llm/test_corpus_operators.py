@@ -267,6 +267,28 @@ def test_passages_with_edits(spark):
         assert any(r.start_word <= want[i][0] and want[i][1] <= r.end_word for r in got), (i, want[i], got)
 
 
+def test_passages_between_first_and_previous(spark):
+    """Six texts share too little for a passage, and two of them, neither the first nor neighbours, a whole one around it."""
+    import random
+
+    chance = random.Random(5)
+
+    def own(n):
+        return [f"x{chance.random()}" for _ in range(n)]
+
+    rows, want = [], {}
+    for _ in range(8):
+        core, before, after = own(38), own(6), own(6)
+        for n in range(6):
+            both = n in (2, 4)
+            middle = (before if both else own(6)) + core + (after if both else own(6))
+            rows.append((len(rows), " ".join(own(30) + middle + own(30))))
+        want[len(rows) - 2] = len(rows) - 4
+    found = passages.near_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    got = {r.doc_id: r.of_doc_id for r in found if r.start_word <= 30 and r.end_word >= 80}
+    assert got == want
+
+
 def test_passages_odd_rows(odd, empty):
     found = passages.near_passages(odd).collect()
     assert {(r.doc_id, r.of_doc_id, r.whole) for r in found} == {(5, 4, True), (6, 4, False)}
