@@ -146,3 +146,42 @@ def test_oversized_centroids_are_refused(spark):
 
 def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_scorer_meets_many_queries_in_slices():
+    """Equal to brute force over slices, tiers, ties, zero vectors and tiers with few rows; and a pair costs little."""
+    import numpy as np
+
+    rng = np.random.default_rng(3)
+    n, m = 1300, 20000
+    asked, rows = (rng.normal(size=(k, 16)).astype(np.float32).astype(np.float64) for k in (n, m))
+    rows[100:140], rows[5], asked[7], asked[9] = rows[100], 0.0, 0.0, rows[100]
+    ids = rng.permutation(m).astype(np.int64)
+    tiers = [np.ones(m, bool), rng.random(m) < 0.3, np.arange(m) < 3]
+    ks = [5, 3, 4]
+    scorer = nn._Scorer(np.arange(n), asked, ks, "cosine")
+    for at in range(0, m, 9000):
+        scorer.add(ids[at : at + 9000], rows[at : at + 9000], [t[at : at + 9000] for t in tiers])
+    got = {}
+    for tier, q, d, s in zip(*(c.to_pylist() for c in scorer.table().columns)):
+        got.setdefault((tier, q), []).append((d, s))
+    unit = [nn._unit(side) for side in (asked, rows)]
+    for q in [*range(20), 600, n - 1]:
+        score = np.round((unit[1] * unit[0][q]).sum(axis=1), 6)
+        order = np.lexsort((ids, -np.where(np.isnan(score), -np.inf, score)))
+        for tier, k in enumerate(ks):
+            want = [i for i in order if tiers[tier][i]][:k]
+            assert got[tier, q] == [(ids[i], None if np.isnan(score[i]) else score[i]) for i in want]
+
+
+def test_many_queries_are_dealt_out(spark, monkeypatch):
+    """Beyond so many queries no task gets all of them, however small their vectors are."""
+    monkeypatch.setattr(nn, "SCAN_QUERIES", 10)
+    monkeypatch.setattr(nn, "QUERY_ROWS", 8)
+    seen = []
+    real = nn.score_blocks
+    monkeypatch.setattr(nn, "score_blocks", lambda rows, queries, *rest: seen.append(queries) or real(rows, queries, *rest))
+    rows = spark.createDataFrame([(i, [float(i % 7), 1.0 + i % 5]) for i in range(60)], "doc_id long, embeddings array<float>")
+    asked = rows.select(F.col("doc_id").alias("qid"), F.col("embeddings").alias("qvec")).where("qid < 30")
+    got = nn.knn(rows, asked, 3).collect()
+    assert len(got) == 90 and seen and seen[0].select("q_block").distinct().count() == 4
