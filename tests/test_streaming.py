@@ -122,3 +122,52 @@ def test_stream_write_through_reads_all_files(spark, tmp_path):
             stream, table, RetrievalConfig(), NOW, hashing_embedder(4), str(tmp_path / "check")
         ).awaitTermination()
     assert table.read().count() == 6
+
+
+def test_one_timer_a_key():
+    """However many lives a key has, it has one timer; when that fires, all lives that the watermark has passed are reported."""
+    import pandas as pd
+
+    from siftwell.streaming.expiry import KeyExpiry
+
+    class Handle:
+        def __init__(self):
+            self.timers, self.rows = [], []
+
+        def getListState(self, name, schema):
+            return self
+
+        def get(self):
+            return iter(self.rows)
+
+        def put(self, rows):
+            self.rows = list(rows)
+
+        def clear(self):
+            self.rows = []
+
+        def registerTimer(self, moment):
+            self.timers.append(moment)
+
+        def deleteTimer(self, moment):
+            self.timers.remove(moment)
+
+        def getExpiryTimeInMs(self):
+            return self.fired
+
+        def getCurrentWatermarkInMs(self):
+            return self.watermark
+
+    handle, expiry = Handle(), KeyExpiry("user_id", 10_000)
+    expiry.init(handle)
+    list(expiry.handleInputRows((7,), iter([pd.DataFrame({"micros": [0, 20_000, 25_000, 50_000, 90_000]})]), handle))
+    assert handle.timers == [10] and len(handle.rows) == 4
+    list(expiry.handleInputRows((7,), iter([pd.DataFrame({"micros": [5_000]})]), handle))
+    assert handle.timers == [15]
+    handle.fired, handle.watermark = handle.timers.pop(), 60
+    (told,) = expiry.handleExpiredTimer((7,), handle, handle)
+    assert sorted(zip(told["expires_micros"], told["refreshes"])) == [(15_000, 2), (35_000, 2)]
+    assert handle.timers == [60] and len(handle.rows) == 2
+    handle.fired, handle.watermark = handle.timers.pop(), 200
+    (told,) = expiry.handleExpiredTimer((7,), handle, handle)
+    assert sorted(told["expires_micros"]) == [60_000, 100_000] and handle.timers == [] and handle.rows == []
