@@ -507,3 +507,14 @@ def test_local_content_is_joined_without_moving_the_store(spark):
     assert {tuple(r) for r in filled.select(RESULT_COLUMNS).collect()} == {
         (1, 1, 7, "c7", 0.9, "local"), (1, 2, None, "far", 0.5, "foreign")
     }
+
+
+def test_postings_of_many_bytes_take_more_tasks(spark, monkeypatch):
+    """The more bytes the texts measure, the more partitions their terms are counted in, with the same rows; ids may repeat."""
+    usual = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    docs = spark.createDataFrame([(i // 2, f"a b c{i} a") for i in range(400)] + [(None, "a"), (1, None)], "doc_id long, content string")
+    want = sorted(map(str, text_index.text_postings(docs).collect()))
+    monkeypatch.setattr(text_index, "TASK_BYTES", 100)
+    found = text_index.text_postings(docs)
+    assert sorted(map(str, found.collect())) == want
+    assert found.select(F.spark_partition_id()).distinct().count() > usual
