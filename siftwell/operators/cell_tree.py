@@ -230,12 +230,13 @@ def visited_hits(tree: CellTree, queries: DataFrame, probes: DataFrame, k: int)
     """Best ``k`` of each block of rows in the cells of ``probes(qid, grp, leaf)``; cells deal out by their stored sizes."""
     # At most as many values as the index has partitions.
     groups = [r.grp for r in probes.select("grp").distinct().collect()]
-    sizes = tree.leaves.join(probes.groupBy("grp", "leaf").agg(F.count(F.lit(1)).alias("n_probes")), ["grp", "leaf"]).select(
+    sizes = cut_lineage(tree.leaves.join(probes.groupBy("grp", "leaf").agg(F.count(F.lit(1)).alias("n_probes")), ["grp", "leaf"]).select(
         "grp",
         "leaf",
         F.ceil(F.col("n_rows") / BLOCK_ROWS).cast("int").alias("stripes"),
         F.ceil(F.col("n_probes") / QUERY_ROWS).cast("int").alias("bands"),
-    )
+    ))
+    blocks = sizes.agg(F.coalesce(F.sum(F.col("stripes") * F.col("bands")), F.lit(1))).first()[0]
 
     def dealt(column: str, n: str) -> Column:
         return F.pmod(F.xxhash64(column), F.col(n)).cast("int")
@@ -252,7 +253,7 @@ def visited_hits(tree: CellTree, queries: DataFrame, probes: DataFrame, k: int)
         "grp", "leaf", "row_block", "q_block", "qid", "qvec"
     )
     keys = ["grp", "leaf", "row_block", "q_block"]
-    return score_blocks(rows.toDF(*rows.columns), asked.toDF(*asked.columns), keys, [k], tree.metric).select("qid", "doc_id", "score")
+    return score_blocks(rows.toDF(*rows.columns), asked.toDF(*asked.columns), keys, [k], tree.metric, blocks).select("qid", "doc_id", "score")
 
 
 def distance_of(score: Column, metric: str) -> Column:

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from siftwell.operators.knn import BLOCK_ROWS, score_blocks
 from siftwell.operators.sizing import BROADCAST_BYTES, measured_bytes
 from siftwell.operators.topk import top_n
+from siftwell.session import cut_lineage
 
 # Fixed value: default number of cells.
 CELLS = 10
@@ -135,7 +136,8 @@ def ivf_search(
     """
     nearest = nearest_cells(centroids, F.col("qvec"), nprobe, metric=metric)
     probes = queries.filter(F.col("qvec").isNotNull()).select("qid", "qvec", F.explode(nearest).alias("cell"))
-    sizes = (
+    # One row per cell.
+    sizes = cut_lineage(
         cells.groupBy("cell").agg(F.count("*").alias("n_rows"))
         .join(probes.groupBy("cell").agg(F.count("*").alias("n_probes")), "cell")
         .select(
@@ -169,7 +171,8 @@ def ivf_search(
             F.col("qvec").cast("array<float>").alias("qvec"),
         )
     )
-    hits = score_blocks(rows, asked, ["cell", "row_block", "q_block"], [k], metric)
+    blocks = sizes.agg(F.coalesce(F.sum(F.col("stripes") * F.col("bands")), F.lit(1))).first()[0]
+    hits = score_blocks(rows, asked, ["cell", "row_block", "q_block"], [k], metric, blocks)
     return top_n(hits, ["qid"], [F.desc_nulls_last("score"), F.asc("doc_id")], k).select(
         "qid", "rank", "doc_id", "score"
     )

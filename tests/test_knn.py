@@ -185,3 +185,15 @@ def test_many_queries_are_dealt_out(spark, monkeypatch):
     asked = rows.select(F.col("doc_id").alias("qid"), F.col("embeddings").alias("qvec")).where("qid < 30")
     got = nn.knn(rows, asked, 3).collect()
     assert len(got) == 90 and seen and seen[0].select("q_block").distinct().count() == 4
+
+
+def test_every_block_has_a_task(spark, monkeypatch):
+    """Blocks of few bytes are not put together in one partition: the work of a block is the product of its sides."""
+    monkeypatch.setattr(nn, "SCAN_QUERIES", 10)
+    monkeypatch.setattr(nn, "QUERY_ROWS", 8)
+    real, scored = nn.score_blocks, []
+    monkeypatch.setattr(nn, "score_blocks", lambda *given: scored.append(real(*given)) or scored[-1])
+    rows = spark.createDataFrame([(i, [float(i % 7), 1.0 + i % 5]) for i in range(60)], "doc_id long, embeddings array<float>")
+    asked = rows.select(F.col("doc_id").alias("qid"), F.col("embeddings").alias("qvec")).where("qid < 30")
+    assert found(nn.knn(rows, asked, 3, block_rows=20)) == brute(rows, asked, "cosine", 3)
+    assert scored[0].rdd.getNumPartitions() == 12
