@@ -179,3 +179,19 @@ def test_index_of_documents(spark, tmp_path):
     index = tb.build_text_index(docs, str(tmp_path), text_col="text", shard_docs=50)
     asked = fx.table(spark, SF, "benchmark").select(F.col("item_id").alias("qid"), F.col("text").alias("query"))
     assert searched(tb.index_search(index, asked, 7)) == searched(text_index.text_search(docs, asked, 7, text_col="text"))
+
+
+def test_stored_terms_are_not_shuffled_for_a_search(spark, tmp_path):
+    """The few terms that are asked go to the stored postings, whatever Spark would send of itself."""
+    docs = spark.createDataFrame([(i, f"word{i % 7} common text {i}") for i in range(50)], "doc_id long, content string")
+    asked = spark.createDataFrame([(1, "word3 common"), (2, '"common text"')], "qid long, query string")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        index = tb.build_text_index(docs, str(tmp_path / "index"))
+        scores = tb.search_scores(index, asked, 3, phrases=True)
+        joins = [line for line in scores._jdf.queryExecution().executedPlan().toString().splitlines() if "Join [term" in line]
+        assert len(scores.collect()) >= 6
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert [line for line in joins if "BroadcastHashJoin" in line] and not [line for line in joins if "SortMergeJoin" in line and "Inner" in line]
