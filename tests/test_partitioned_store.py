@@ -115,3 +115,18 @@ def test_another_key_merges_everywhere(spark, table):
     want = sorted(((r.doc_id, r.content, r.source_url, r.query_count) for r in upsert(table.read(), docs, "content").collect()), key=str)
     table.merge(docs, "content", upsert)
     assert content(table) == want
+
+
+def test_few_documents_are_sent_to_the_store(spark, table, tmp_path):
+    """Few documents are merged without a shuffle of the stored rows, with the same outcome."""
+    docs = spark.createDataFrame([doc(100, "k1", "new"), doc(102, "fresh", "f"), doc(103, None, "p")], DOCS)
+    want = sorted(((r.doc_id, r.content, r.source_url, r.query_count) for r in upsert(table.read(), docs, "source_url").collect()), key=str)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = upsert(table.read(), docs, "source_url", few=True)._jdf.queryExecution().executedPlan().toString()
+        table.merge(docs, "source_url", lambda *given: upsert(*given, few=True), scattered=False)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert [line for line in plan.splitlines() if "BroadcastHashJoin" in line and "LeftOuter" in line]
+    assert content(table) == want
