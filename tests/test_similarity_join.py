@@ -63,3 +63,18 @@ def test_nothing_to_compare(spark, data):
     store, candidates = data
     for a, b in ((candidates.limit(0), store), (candidates, store.limit(0)), (candidates, store.where("doc_id = 5000"))):
         assert sj.similarity_at_least(a, b, 0.5).collect() == []
+
+
+def test_a_candidate_that_has_its_best_meets_few_more_pairs():
+    """A low threshold leaves nearly all pairs; equal rows lie in the first tiles, so hardly any of the later ones matter."""
+    rng = np.random.default_rng(9)
+    rows, _ = sj.unit_rows(rng.normal(0, 1, (16000, 16)))
+    asked = rows[:200]
+    away = np.r_[np.full(200, 0.9), np.full(15800, 1.0)]
+    best, met, multiplied = sj.block_maxima(asked, np.full(200, 0.95), rows, away, 0.1, 1.3)
+    assert met == 200 * 16000 and multiplied < met / 2
+    assert np.allclose(best, 1.0, rtol=0, atol=1e-9)
+    far = rng.normal(0, 1, (300, 16))
+    far, _ = sj.unit_rows(far)
+    best, _, _ = sj.block_maxima(far, np.full(300, 0.95), rows, away, 0.1, 1.3)
+    assert np.array_equal(np.round(best, 6), np.round((far @ rows.T).max(axis=1), 6))
