@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siftwell.operators.ivf import CELLS, QUERY_ROWS, nearest_cells, train_centroids
-from siftwell.operators.knn import BLOCK_ROWS, _ids, _matrix, score_blocks
+from siftwell.operators.knn import BLOCK_PARTITIONS, BLOCK_ROWS, LEAST_BLOCKS, LEAST_ROWS, SLICE_ROWS, _ids, _matrix, _Scorer
 from siftwell.operators.topk import top_n
 from siftwell.session import cut_lineage, scratch_path
 
@@ -226,17 +226,26 @@ def leaf_distances(tree: CellTree, asked: DataFrame, n_queries: int) -> DataFram
     )
 
 
-def visited_hits(tree: CellTree, queries: DataFrame, probes: DataFrame, k: int) -> DataFrame:
-    """Best ``k`` of each block of rows in the cells of ``probes(qid, grp, leaf)``; cells deal out by their stored sizes."""
-    # At most as many values as the index has partitions.
-    groups = [r.grp for r in probes.select("grp").distinct().collect()]
-    sizes = cut_lineage(tree.leaves.join(probes.groupBy("grp", "leaf").agg(F.count(F.lit(1)).alias("n_probes")), ["grp", "leaf"]).select(
-        "grp",
-        "leaf",
-        F.ceil(F.col("n_rows") / BLOCK_ROWS).cast("int").alias("stripes"),
-        F.ceil(F.col("n_probes") / QUERY_ROWS).cast("int").alias("bands"),
-    ))
-    blocks = sizes.agg(F.coalesce(F.sum(F.col("stripes") * F.col("bands")), F.lit(1))).first()[0]
+def visited_hits(tree: CellTree, queries: DataFrame, probes: DataFrame, k: int, floors: DataFrame | None = None) -> DataFrame:
+    """Best ``k`` of each block of rows in the cells of ``probes(qid, grp, leaf)``; groups deal out by their stored sizes.
+
+    A query meets a block of a group's rows once, with the list of the leaves it visits there. ``floors(qid, floor)`` are scores below
+    which hits are of no use. A query that is probed several times for a leaf, or that is in several rows, counts as often.
+    """
+    # One row per group, a setting of the index; so are leaves of a group.
+    asked_of = {r.grp: r.n for r in probes.groupBy("grp").agg(F.count_distinct("qid").alias("n")).collect()}
+    groups = sorted(asked_of)
+    n_rows = dict(tree.leaves.where(F.col("grp").isin(groups)).groupBy("grp").agg(F.sum("n_rows")).collect())
+    sizes, blocks = [], 0
+    for grp in sorted(n_rows):
+        bands = max(math.ceil(asked_of[grp] / QUERY_ROWS), 1)
+        # Blocks of small inputs are cut down, so that every core has some.
+        least = math.ceil(LEAST_BLOCKS / (len(n_rows) * bands))
+        stripes = max(math.ceil(n_rows[grp] / BLOCK_ROWS), min(least, n_rows[grp] // LEAST_ROWS), 1)
+        sizes.append((grp, blocks, stripes, bands))
+        blocks += stripes * bands
+    spark = tree.cells.sparkSession
+    sized = F.broadcast(spark.createDataFrame(sizes, "grp int, first int, stripes int, bands int"))
 
     def dealt(column: str, n: str) -> Column:
         return F.pmod(F.xxhash64(column), F.col(n)).cast("int")
@@ -244,16 +253,55 @@ def visited_hits(tree: CellTree, queries: DataFrame, probes: DataFrame, k: int)
     def copied(n: str) -> Column:
         return F.explode(F.sequence(F.lit(0), F.col(n) - 1))
 
-    rows = tree.cells.where(F.col("grp").isin(groups)).join(sizes, ["grp", "leaf"]).withColumn("row_block", dealt("doc_id", "stripes"))
-    rows = rows.withColumn("q_block", copied("bands")).select(
-        "grp", "leaf", "row_block", "q_block", "doc_id", F.col("embeddings").alias("vec"), F.lit(True).alias("t0")
-    )
-    asked = probes.select("qid", "grp", "leaf").join(queries, "qid").join(sizes, ["grp", "leaf"])
-    asked = asked.withColumn("q_block", dealt("qid", "bands")).withColumn("row_block", copied("stripes")).select(
-        "grp", "leaf", "row_block", "q_block", "qid", "qvec"
-    )
-    keys = ["grp", "leaf", "row_block", "q_block"]
-    return score_blocks(rows.toDF(*rows.columns), asked.toDF(*asked.columns), keys, [k], tree.metric, blocks).select("qid", "doc_id", "score")
+    block = (F.col("first") + F.col("row_block") * F.col("bands") + F.col("q_block")).alias("block")
+    rows = tree.cells.where(F.col("grp").isin(groups)).join(sized, "grp").withColumn("row_block", dealt("doc_id", "stripes"))
+    rows = rows.withColumn("q_block", copied("bands")).select(block, "leaf", "doc_id", F.col("embeddings").alias("vec"))
+    visits = probes.groupBy("qid", "grp").agg(F.collect_list("leaf").alias("visited"))
+    asked = visits.join(queries.select("qid", "qvec"), "qid").withColumn("floor", F.lit(float("-inf")))
+    if floors is not None:
+        asked = asked.drop("floor").join(floors.select("qid", "floor"), "qid", "left")
+    asked = asked.join(sized, "grp").withColumn("q_block", dealt("qid", "bands")).withColumn("row_block", copied("stripes"))
+    asked = asked.select(block, "qid", "qvec", "visited", "floor")
+    metric = tree.metric
+
+    def one_block(left: pa.Table, right: pa.Table) -> pa.Table:
+        if not left.num_rows or not right.num_rows:
+            return pa.table({"qid": pa.array([], pa.int64()), "doc_id": pa.array([], pa.int64()), "score": pa.array([], pa.float64())})
+        leaf = left["leaf"].to_numpy()
+        order = np.argsort(leaf, kind="stable")
+        leaves, starts = np.unique(leaf[order], return_index=True)
+        place, times = probe_counts(right["visited"], leaves)
+        floor = right["floor"].to_numpy(zero_copy_only=False).astype(np.float64)
+        floor = np.where(np.isnan(floor), -np.inf, floor)
+        scorer = _Scorer(_ids(right["qid"])[place], _matrix(right["qvec"])[place], [k], metric, floor[place])
+        for n, (start, end) in enumerate(zip(starts, np.r_[starts[1:], len(order)])):
+            for at in range(start, end if times[:, n].any() else start, SLICE_ROWS):
+                some = pa.array(order[at : min(at + SLICE_ROWS, end)])
+                ids = _ids(left["doc_id"].take(some))
+                scorer.add(ids, _matrix(left["vec"].take(some)), [np.ones(len(ids), bool)], times[:, n])
+        return scorer.table().select(["qid", "doc_id", "score"])
+
+    def own_task(side: DataFrame) -> DataFrame:
+        if blocks <= BLOCK_PARTITIONS:
+            return side.repartitionById(max(blocks, 1), F.col("block"))
+        return side.repartition(BLOCK_PARTITIONS, "block")
+
+    rows, asked = own_task(rows), own_task(asked)
+    return rows.groupBy("block").cogroup(asked.groupBy("block")).applyInArrow(one_block, "qid long, doc_id long, score double")
+
+
+def probe_counts(visited: pa.ChunkedArray, leaves: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of queries that visit some of these leaves, as often as they visit one, and which leaves each of the places visits."""
+    lists = visited.combine_chunks()
+    of, leaf = np.repeat(np.arange(len(lists)), np.diff(lists.offsets.to_numpy())), lists.flatten().to_numpy()
+    column = np.minimum(np.searchsorted(leaves, leaf), len(leaves) - 1)
+    own = leaves[column] == leaf
+    times = np.bincount(of[own] * len(leaves) + column[own], minlength=len(lists) * len(leaves)).reshape(len(lists), -1)
+    places = [np.flatnonzero((times > n).any(axis=1)) for n in range(times.max(initial=0))]
+    marks = [times[some] > n for n, some in enumerate(places)]
+    if not places:
+        return np.zeros(0, np.int64), np.zeros((0, len(leaves)), bool)
+    return np.concatenate(places), np.concatenate(marks)
 
 
 def distance_of(score: Column, metric: str) -> Column:
@@ -297,5 +345,7 @@ def cell_search(
     bounds = leaf_distances(tree, wider, n_queries).join(reach.select("qid", "reach"), "qid")
     more = bounds.where(F.col("lower") <= F.col("reach") + ROUNDING).select("qid", "grp", "leaf")
     more = cut_lineage(more.join(probes, ["qid", "grp", "leaf"], "left_anti"))
-    both = found.drop("rank").unionByName(visited_hits(tree, asked, more, k))
+    # Nothing below the k-th score so far can be among the best.
+    floors = found.where(F.col("rank") == k).select("qid", F.col("score").alias("floor"))
+    both = found.drop("rank").unionByName(visited_hits(tree, asked, more, k, floors))
     return top_n(both, ["qid"], order, k).select("qid", "rank", "doc_id", "score")

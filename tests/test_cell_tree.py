@@ -1,6 +1,7 @@
 """The two-level cell index: bounds, certainty, and what a search reads."""
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -88,3 +89,20 @@ def test_odd_vectors_and_tables(spark, tmp_path):
         ct.cell_search(tree, queries, 3, target=101)
     with pytest.raises(ValueError):
         ct.cell_search(ct.CellTree(tree.cells, tree.leaves, tree.groups, "dot"), queries, 3, target=90)
+
+
+def test_a_query_counts_as_often_as_it_visits_a_leaf():
+    visited = pa.chunked_array([pa.array([[4, 1, 4], [7], [], [1]], pa.list_(pa.int32()))])
+    place, times = ct.probe_counts(visited, np.array([1, 4, 6]))
+    assert place.tolist() == [0, 3, 0] and times.tolist() == [[True, True, False], [True, False, False], [False, True, False]]
+
+
+def test_hits_below_the_floor_stay_in_their_block(spark, data, tree):
+    """What cannot be among the best is not returned, and a query meets a block once, whatever leaves it visits."""
+    queries = data[1]
+    probes = queries.select("qid").crossJoin(tree.leaves.select("grp", "leaf"))
+    every = ct.visited_hits(tree, queries, probes, 4)
+    best = every.groupBy("qid").agg(F.max("score").alias("floor"))
+    got = ct.visited_hits(tree, queries, probes, 4, best)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, every.join(best, "qid").where("score >= floor").drop("floor").collect()))
+    assert got.count() < every.count()
