@@ -101,8 +101,7 @@ def train_leaves(placed: DataFrame, sizes: DataFrame, n: int, seed: int, metric:
 
 def assign_leaves(placed: DataFrame, sizes: DataFrame, leaves: DataFrame, groups: DataFrame, metric: str) -> DataFrame:
     """Every row with its leaf, its distance to the leaf's centroid, and that to the group's."""
-    centres = {r.grp: np.array(r.centroid) for r in groups.collect()}
-    shared = placed.sparkSession.sparkContext.broadcast(centres)
+    shared = placed.sparkSession.sparkContext.broadcast({r.grp: np.array(r.centroid) for r in groups.collect()})
 
     def run(rows: pa.Table, own: pa.Table) -> pa.Table:
         if rows.num_rows == 0 or own.num_rows == 0:
@@ -110,18 +109,22 @@ def assign_leaves(placed: DataFrame, sizes: DataFrame, leaves: DataFrame, groups
                 ("grp", pa.int32()), ("leaf", pa.int32()), ("doc_id", pa.int64()), ("embeddings", pa.list_(pa.float32())),
                 ("away", pa.float64()), ("far", pa.float64()))})
         own = own.sort_by("leaf")
-        vectors = in_space(_matrix(rows.column("embeddings")), metric)
-        away = gaps(vectors, _matrix(own.column("centroid")))
-        leaf = away.argmin(axis=1)
-        centre = shared.value[rows.column("grp")[0].as_py()]
+        centres, centre = _matrix(own.column("centroid")), shared.value[rows.column("grp")[0].as_py()]
+        leaf, away, far = [], [], []
+        for at in range(0, rows.num_rows, SLICE_ROWS):
+            vectors = in_space(_matrix(rows.column("embeddings").slice(at, SLICE_ROWS)), metric)
+            gap = gaps(vectors, centres)
+            leaf.append(gap.argmin(axis=1))
+            away.append(gap[np.arange(len(gap)), leaf[-1]])
+            far.append(gaps(vectors, centre[None, :])[:, 0])
         return pa.table(
             {
                 "grp": rows.column("grp"),
-                "leaf": own.column("leaf").combine_chunks().take(pa.array(leaf)),
+                "leaf": own.column("leaf").combine_chunks().take(pa.array(np.concatenate(leaf))),
                 "doc_id": rows.column("doc_id"),
                 "embeddings": rows.column("embeddings"),
-                "away": away[np.arange(len(leaf)), leaf],
-                "far": gaps(vectors, centre[None, :])[:, 0],
+                "away": np.concatenate(away),
+                "far": np.concatenate(far),
             }
         )
 

@@ -106,3 +106,14 @@ def test_hits_below_the_floor_stay_in_their_block(spark, data, tree):
     got = ct.visited_hits(tree, queries, probes, 4, best)
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, every.join(best, "qid").where("score >= floor").drop("floor").collect()))
     assert got.count() < every.count()
+
+
+def test_leaves_are_assigned_in_slices(spark, data, tmp_path, monkeypatch):
+    widest = []
+    real = ct.gaps
+    rows = data[0].limit(300)
+    whole = ct.build_cell_tree(rows, str(tmp_path / "a"), 2, 3, sample=100)
+    monkeypatch.setattr(ct, "SLICE_ROWS", 64)
+    monkeypatch.setattr(ct, "gaps", lambda left, right: real(left, right) if len(left) <= 100 else widest.append(1) or 1 / 0)
+    sliced = ct.build_cell_tree(rows, str(tmp_path / "b"), 2, 3, sample=1)
+    assert sliced.cells.count() == whole.cells.count() == 300
