@@ -2,12 +2,13 @@
 
 from datetime import datetime, timedelta
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from siftwell.config import RetrievalConfig
 from siftwell.functions import html, text, urls
-from siftwell.operators import filters, lifecycle, results, site, text_index, topk
+from siftwell.operators import filters, lifecycle, results, site, text_index, text_scan, topk
 from siftwell.operators.metrics import origin_counts
 from siftwell.plans import modes
 from siftwell.sources import responses as rs
@@ -518,3 +519,13 @@ def test_postings_of_many_bytes_take_more_tasks(spark, monkeypatch):
     found = text_index.text_postings(docs)
     assert sorted(map(str, found.collect())) == want
     assert found.select(F.spark_partition_id()).distinct().count() > usual
+
+
+def test_texts_are_cut_into_words_by_their_bytes(monkeypatch):
+    lowered = pa.array(["a b", None, "x" * 40, "c", "d e f", ""])
+    batch = pa.record_batch([pa.array(range(6)), lowered], ["doc_id", "lowered"])
+    monkeypatch.setattr(text_scan, "SLICE_BYTES", 8)
+    cut = [part.column("doc_id").to_pylist() for part in text_scan.text_slices(batch, 100)]
+    assert cut == [[0, 1], [2], [3, 4, 5]]
+    assert [len(part) for part in text_scan.text_slices(batch, 1)] == [1] * 6
+    assert list(text_scan.text_slices(batch.slice(0, 0), 5)) == []
