@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from siftwell.config import RetrievalConfig
 from siftwell.functions import html, text, urls
-from siftwell.operators import filters, lifecycle, results, site, text_index, text_scan, topk
+from siftwell.operators import filters, lifecycle, results, site, sizing, text_index, text_scan, topk
 from siftwell.operators.metrics import origin_counts
 from siftwell.plans import modes
 from siftwell.sources import responses as rs
@@ -529,3 +529,26 @@ def test_texts_are_cut_into_words_by_their_bytes(monkeypatch):
     assert cut == [[0, 1], [2], [3, 4, 5]]
     assert [len(part) for part in text_scan.text_slices(batch, 1)] == [1] * 6
     assert list(text_scan.text_slices(batch.slice(0, 0), 5)) == []
+
+
+def test_a_scan_reads_the_texts_once(spark, monkeypatch):
+    docs = spark.createDataFrame([(1, "red fox red"), (2, "blue fox"), (3, "fox red"), (4, None)], "doc_id long, content string")
+    queries = spark.createDataFrame([(1, 'red "red fox"'), (2, "fox"), (3, '"no such" fox')], "qid long, query string")
+    read, real = [], text_index.lowered_texts
+    monkeypatch.setattr(text_index, "lowered_texts", lambda *given: read.append(1) or real(*given))
+    rows = text_index.text_search(docs, queries, 5, F.col("doc_id") < 3, phrases=True).collect()
+    assert sorted((r.qid, r.rank, r.doc_id) for r in rows) == [(1, 1, 1), (2, 1, 2), (2, 2, 1)]
+    assert len(read) == 1
+
+
+def test_few_keys_reach_the_scans_below_a_join(spark, tmp_path):
+    for name, column in (("texts", "doc_id"), ("vectors", "vec_id")):
+        spark.range(100).withColumnRenamed("id", column).withColumn(name, F.lit("x")).write.parquet(str(tmp_path / name))
+    texts, vectors = (spark.read.parquet(str(tmp_path / name)) for name in ("texts", "vectors"))
+    store = texts.join(vectors, texts.doc_id == vectors.vec_id, "left")
+    keys = spark.createDataFrame([(3,), (3,), (None,), (200,)], "doc_id long")
+    found = sizing.rows_for(keys, store, "doc_id")
+    assert [r.doc_id for r in found.collect()] == [3, 3]
+    pushed = [line for line in found._jdf.queryExecution().executedPlan().toString().split("\n") if "PushedFilters" in line]
+    assert any("In(doc_id" in line for line in pushed) and any("In(vec_id" in line for line in pushed)
+    assert sizing.rows_for(keys.limit(0), store, "doc_id").count() == 0
