@@ -11,7 +11,7 @@
 3. Documents that met are gathered in blocks around the one they met whose prefix shingles are met most often. In a block the sets lie in a compressed
    prefix tree, frequent shingles first. The tree is walked once for all sets of the block together: overlaps
    are carried from a node to its children, and a set leaves a subtree when what is left of it and of the subtree's longest
-   set cannot reach the similarity. Blocks have at most ``BLOCK`` members besides their centre; larger ones are split.
+   set cannot reach the similarity. Blocks have about ``BLOCK`` members or ``BLOCK_SHINGLES`` shingles besides their centre; larger ones are split.
 4. Links give components. Prefix shingles whose documents lie in one component are done. The others give
    pairs of documents of different components that pass the bounds on sizes and positions, and whose sketches (512 bits, one
    parity for each part of the hashes) differ by no more bits than similar sets can; these go through blocks as well, so no link between components is lost. Components over all links are the result.
@@ -38,6 +38,8 @@ from siftwell.session import cut_lineage, scratch_path
 
 SIZE = 5
 BLOCK = 64
+#: Long sets fill a block sooner: the memory of a task does not follow the lengths of its texts, beyond two of them.
+BLOCK_SHINGLES = 1 << 17
 #: A sketch of a set has so many 64-bit words.
 WORDS = 8
 #: Shingles in so many prefixes are common; at most COMMON of them are sent to the tasks (8 bytes each).
@@ -161,7 +163,8 @@ class PrefixTree:
 
     def __init__(self, members: list[np.ndarray], sizes: np.ndarray):
         self.members, self.sizes = members, sizes
-        order = sorted(range(len(members)), key=lambda k: members[k].tolist())
+        # Big-endian bytes are in the order of the numbers, at four bytes each.
+        order = sorted(range(len(members)), key=lambda k: members[k].astype(">u4").tobytes())
         self.root = self._build(order, 0)
 
     def _build(self, order: list[int], depth: int) -> tuple:
@@ -197,7 +200,7 @@ class PrefixTree:
         while stack:
             (label, _, here, children, least, left), probes, overlap = stack.pop()
             if len(label):
-                overlap = overlap + has[probes][:, label].sum(axis=1)
+                overlap = overlap + has[probes[:, None], label].sum(axis=1)
                 used = np.searchsorted(flat, probes * (width + 1) + label[-1], side="right") - begin[probes]
                 reach = overlap + np.minimum(lengths[probes] - used, left)
                 alive = similar(reach, sizes[probes], least)
@@ -252,8 +255,10 @@ def block_links(blocks: DataFrame, all_sets: DataFrame) -> DataFrame:
 
 
 def split_blocks(members: DataFrame) -> DataFrame:
-    """``block, part, id`` from distinct ``block, id``: parts of about ``BLOCK`` members, each with the block's centre."""
-    counts = members.groupBy("block").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("parts"))
+    """``block, part, id`` from ``block, id, n``: parts of about ``BLOCK`` members or ``BLOCK_SHINGLES`` shingles, each with the block's centre."""
+    members = members.groupBy("block", "id").agg(F.max("n").alias("n"))
+    full = F.greatest(F.count(F.lit(1)) / BLOCK, F.sum(F.when(F.col("id") != F.col("block"), F.col("n"))) / BLOCK_SHINGLES)
+    counts = members.groupBy("block").agg(F.ceil(full).cast("int").alias("parts"))
     dealt = members.where("id <> block").join(counts, "block").select(
         "block", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int").alias("part"), "id"
     )
@@ -316,10 +321,10 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
     weight = weight.groupBy("id").agg(F.max("weight").alias("weight"))
     around = (
         lists.join(weight, "id")
-        .select("id", F.max(F.struct("weight", (-F.col("id")).alias("other"))).over(centre).alias("centre"))
-        .groupBy("id").agg((-F.max("centre")["other"]).alias("block"))
+        .select("id", "n", F.max(F.struct("weight", (-F.col("id")).alias("other"))).over(centre).alias("centre"))
+        .groupBy("id").agg((-F.max("centre")["other"]).alias("block"), F.max("n").alias("n"))
     )
-    links = cut_lineage(block_links(split_blocks(around.select("block", "id")), all_sets))
+    links = cut_lineage(block_links(split_blocks(around.select("block", "id", "n")), all_sets))
 
     labels = components(links)
     placed = lists.join(labels.withColumnRenamed("node", "id"), "id", "left").select(
@@ -343,7 +348,7 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
         & similar(reach, F.col("n"), F.col("n2"))
         # Similar sets differ by a seventh of their sizes at most, so their sketches differ by as many bits at most.
         & (7 * differ <= F.col("n") + F.col("n2")),
-    ).select(F.col("id").alias("block"), F.col("id2").alias("id")).distinct()
+    ).select(F.col("id").alias("block"), F.col("id2").alias("id"), F.col("n2").alias("n")).distinct()
     more = cut_lineage(block_links(split_blocks(cut_lineage(pairs)), all_sets))
 
     final = components(links.union(more))

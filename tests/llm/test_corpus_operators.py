@@ -369,3 +369,18 @@ def test_long_near_copies_are_verified_in_linear_memory():
     tracemalloc.stop()
     assert len(found) == 1 and found[0][1] - found[0][0] >= 59_990
     assert most < 50e6
+
+
+def test_blocks_of_long_texts_have_few_members(spark, monkeypatch):
+    """A block holds about so many shingles, so its memory does not follow the lengths of its texts; each part has the centre."""
+    monkeypatch.setattr(ngram_join, "BLOCK_SHINGLES", 1000)
+    rows = [(1, k, 400) for k in range(1, 42)] + [(100, k, 5) for k in range(100, 140)] + [(7, 7, 5000)]
+    parts = defaultdict(set)
+    for r in ngram_join.split_blocks(spark.createDataFrame(rows, "block long, id long, n int")).collect():
+        parts[r.block, r.part].add(r.id)
+    long = [ids for (block, _), ids in parts.items() if block == 1]
+    assert len(long) == 16 and all(1 in ids for ids in long) and max(map(len, long)) < 20
+    assert set().union(*long) == set(range(1, 42))
+    assert sum(map(len, long)) == 40 + 16
+    assert [ids for (block, _), ids in parts.items() if block == 100] == [set(range(100, 140))]
+    assert [ids for (block, _), ids in parts.items() if block == 7] in ([], [{7}])
