@@ -93,7 +93,8 @@ class Biases:
         self.class_of = balanced_classes(self.follows)
         order = np.argsort(self.class_of, kind="stable")
         classes = table[:, order].reshape(TOKENS, CLASSES, MEMBERS).sum(axis=2)
-        self.classes = classes / classes.sum(axis=1, keepdims=True)
+        # By rows: ``take`` copies a whole table that lies otherwise.
+        self.classes = np.ascontiguousarray(classes / classes.sum(axis=1, keepdims=True))
         table /= classes[:, self.class_of]
         np.log(table, out=table)
         table *= np.float32(-STEPS)
@@ -163,13 +164,26 @@ def text_windows(ids: np.ndarray, edges: np.ndarray) -> tuple[np.ndarray, np.nda
     return cut_windows(ids, edges, owner, number), owner, np.minimum(SCORED, np.diff(edges)[owner] - number * SCORED)
 
 
-def _exponentials(x: np.ndarray, times: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+class Room:
+    """Arrays by name that one batch after the other uses, so that no batch asks the system for memory anew."""
+
+    def __init__(self):
+        self.held: dict[str, np.ndarray] = {}
+
+    def __call__(self, name: str, *shape: int, kind=np.float32) -> np.ndarray:
+        size = int(np.prod(shape))
+        if name not in self.held or len(self.held[name]) < size:
+            self.held[name] = np.empty(size, kind)
+        return self.held[name][:size].reshape(shape)
+
+
+def _exponentials(x: np.ndarray, out: np.ndarray, times: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """exp(x), by row in proportion, and the sums of rows; multiplied by ``times`` where given. ``x`` may be overwritten.
 
     The largest of a row is only taken off where sums would not be sound without it.
     """
     with np.errstate(over="ignore", invalid="ignore"):
-        out = np.exp(x)
+        np.exp(x, out=out)
         if times is not None:
             out *= times
         sums = out.reshape(-1, x.shape[-1]) @ np.ones(x.shape[-1], np.float32)
@@ -177,50 +191,69 @@ def _exponentials(x: np.ndarray, times: np.ndarray | None = None) -> tuple[np.nd
         if times is not None:
             x += np.log(times + np.float32(1e-30))
         x -= x.max(axis=-1, keepdims=True)
-        out = np.exp(x, out=x)
+        np.exp(x, out=out)
         sums = out.reshape(-1, x.shape[-1]).sum(axis=1)
     return out, sums.reshape(x.shape[:-1])
 
 
 class Pass:
-    """What a batch of windows gives on the way forward; ``chance`` is the probability of each target, [row, SCORED]."""
+    """What a batch of windows gives on the way forward; ``chance`` is the probability of each target, [row, SCORED].
 
-    def __init__(self, params: dict[str, np.ndarray], biases: Biases, rows: np.ndarray):
-        rows = rows.astype(np.int16, copy=False)
+    Its arrays lie in ``room`` and hold until the next pass there.
+    """
+
+    def __init__(self, params: dict[str, np.ndarray], biases: Biases, rows: np.ndarray, room: Room):
+        rows, n = rows.astype(np.int16, copy=False), len(rows)
         self.inputs = rows[:, :CONTEXT].astype(np.intp)
         self.target = rows[:, CONTEXT + 1 - SCORED :].astype(np.intp)
         before = self.inputs[:, CONTEXT - SCORED :]
-        self.x = params["embedding"].take(self.inputs, axis=0)
-        self.last = np.ascontiguousarray(self.x[:, CONTEXT - SCORED :])
-        self.q = self.last @ (params["query"] * np.float32(DIM**-0.5))
-        self.k = self.x @ params["key"]
-        self.k[:, 1:] += self.x[:, :-1] @ params["key_before"]
-        self.v = self.x @ params["value"]
-        scores = np.matmul(self.q, np.ascontiguousarray(self.k.transpose(0, 2, 1)))
+
+        def times(name: str, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+            return np.matmul(left, right, out=room(name, len(left), right.shape[1]))
+
+        # Indices are sound; other modes than "raise" write to ``out`` directly.
+        x = params["embedding"].take(self.inputs.reshape(-1), axis=0, out=room("x", n * CONTEXT, DIM), mode="clip")
+        self.x = x.reshape(n, CONTEXT, DIM)
+        self.last = room("last", n, SCORED, DIM)
+        self.last[:] = self.x[:, CONTEXT - SCORED :]
+        last = self.last.reshape(-1, DIM)
+        self.q = times("q", last, params["query"] * np.float32(DIM**-0.5)).reshape(n, SCORED, DIM)
+        self.k = times("k", x, params["key"]).reshape(n, CONTEXT, DIM)
+        self.k[:, 1:] += times("moved", x, params["key_before"]).reshape(n, CONTEXT, DIM)[:, :-1]
+        self.v = times("v", x, params["value"]).reshape(n, CONTEXT, DIM)
+        turned = room("turned", n, DIM, CONTEXT)
+        turned[:] = self.k.transpose(0, 2, 1)
+        scores = np.matmul(self.q, turned, out=room("scores", n, SCORED, CONTEXT))
         scores += np.where(_SEEN, params["distance"][_BACK], np.float32(-1e9))
         # Weights by row in proportion; ``share`` makes them add up to one.
-        self.weights, sums = _exponentials(scores)
+        self.weights, sums = _exponentials(scores, room("weights", n, SCORED, CONTEXT))
         self.share = 1 / sums
-        self.hidden = np.matmul(self.weights, self.v)
+        self.hidden = np.matmul(self.weights, self.v, out=room("hidden", n, SCORED, DIM))
         self.hidden *= self.share[:, :, None]
-        self.hidden += self.last @ params["own"]
+        self.hidden += times("own", last, params["own"]).reshape(n, SCORED, DIM)
         np.tanh(self.hidden, out=self.hidden)
         flat = self.hidden.reshape(-1, DIM)
-        self.classes, self.sums = _exponentials(flat @ params["to_class"], biases.classes.take(before.reshape(-1), axis=0))
+        prior = biases.classes.take(before.reshape(-1), axis=0, out=room("prior", n * SCORED, CLASSES), mode="clip")
+        self.classes, self.sums = _exponentials(
+            times("logits", flat, params["to_class"]), room("classes", n * SCORED, CLASSES), prior
+        )
         self.at = np.arange(self.target.size) * CLASSES + biases.class_of.take(self.target.reshape(-1))
         of_class = (self.classes.reshape(-1).take(self.at) / self.sums).reshape(self.target.shape)
         self.gate = 1 / (1 + np.exp(-(flat @ params["to_gate"] + params["gate"]))).reshape(self.target.shape)
-        self.same = rows[:, None, :CONTEXT] == rows[:, CONTEXT + 1 - SCORED :, None]
-        self.copied = (self.weights * self.same) @ np.ones(CONTEXT, np.float32) * self.share
+        self.same = np.equal(
+            rows[:, None, :CONTEXT], rows[:, CONTEXT + 1 - SCORED :, None], out=room("same", n, SCORED, CONTEXT, kind=bool)
+        )
+        copies = np.multiply(self.weights, self.same, out=room("copies", n, SCORED, CONTEXT))
+        self.copied = copies @ np.ones(CONTEXT, np.float32) * self.share
         self.drawn = of_class * biases.within(before, self.target)
         self.chance = (1 - self.gate) * self.drawn + self.gate * self.copied + np.float32(1e-30)
 
 
 def log_probs(params, biases: Biases, rows: np.ndarray, batch: int = 64) -> np.ndarray:
     """Natural log probability of each target, [row, SCORED]."""
-    out = np.empty((len(rows), SCORED), np.float32)
+    out, room = np.empty((len(rows), SCORED), np.float32), Room()
     for at in range(0, len(rows), batch):
-        out[at : at + batch] = np.log(Pass(params, biases, rows[at : at + batch]).chance)
+        np.log(Pass(params, biases, rows[at : at + batch], room).chance, out=out[at : at + batch])
     return out
 
 
@@ -232,44 +265,63 @@ class Trainer:
         self.params = {name: value.copy() for name, value in params.items()}
         self.squares = {name: np.full(value.shape, 1e-4, np.float32) for name, value in params.items()}
         self.rate = np.float32(rate)
+        self.room = Room()
 
     def batch(self, rows: np.ndarray) -> float:
         """One step over rows of windows; returns the mean loss. Padding after the end of a text is no target."""
-        p = self.params
-        f = Pass(p, self.biases, rows)
+        p, room, size = self.params, self.room, len(rows)
+        f = Pass(p, self.biases, rows, room)
         real = (f.target != START).astype(np.float32)
         n = np.float32(max(1.0, real.sum()))
         each = -real / (n * f.chance)
         gate = each * (f.copied - f.drawn) * f.gate * (1 - f.gate)
         pull = (each * (1 - f.gate) * f.drawn).reshape(-1)
-        logits = f.classes * (-pull / f.sums)[:, None]
+
+        def times(name: str, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+            return np.matmul(left, right, out=room(name, *left.shape[:-1], right.shape[-1]))
+
+        logits = np.multiply(f.classes, (-pull / f.sums)[:, None], out=room("to_logits", *f.classes.shape))
         logits.reshape(-1)[f.at] += pull
         hidden = f.hidden.reshape(-1, DIM)
-        back = (logits @ p["to_class"].T).reshape(f.hidden.shape)
-        back += gate[:, :, None] * p["to_gate"]
-        back *= 1 - f.hidden * f.hidden
-        to_weights = np.matmul(back, f.v.transpose(0, 2, 1))
-        to_weights += (each * f.gate)[:, :, None] * f.same
-        weights = f.weights * f.share[:, :, None]
+        back = times("back", logits, p["to_class"].T).reshape(f.hidden.shape)
+        part = room("part", *back.shape)
+        back += np.multiply(gate[:, :, None], p["to_gate"], out=part)
+        np.multiply(f.hidden, f.hidden, out=part)
+        back *= np.subtract(1, part, out=part)
+        to_weights, copies = times("to_weights", back, f.v.transpose(0, 2, 1)), room("copies", *f.weights.shape)
+        to_weights += np.multiply((each * f.gate)[:, :, None], f.same, out=copies)
+        weights = f.weights
+        weights *= f.share[:, :, None]
         to_weights *= weights
-        to_weights -= weights * (to_weights @ np.ones(CONTEXT, np.float32))[:, :, None]
+        to_weights -= np.multiply(weights, (to_weights @ np.ones(CONTEXT, np.float32))[:, :, None], out=copies)
         scale = np.float32(DIM**-0.5)
-        q = np.matmul(to_weights, f.k)
-        k = np.matmul(to_weights.transpose(0, 2, 1), f.q)
-        v = np.matmul(weights.transpose(0, 2, 1), back)
-        x = k @ p["key"].T
-        x += v @ p["value"].T
-        x[:, :-1] += k[:, 1:] @ p["key_before"].T
-        x[:, CONTEXT - SCORED :] += q @ (p["query"].T * scale) + back @ p["own"].T
+        q = times("to_q", to_weights, f.k).reshape(-1, DIM)
+        k = times("to_k", to_weights.transpose(0, 2, 1), f.q).reshape(-1, DIM)
+        v = times("to_v", weights.transpose(0, 2, 1), back).reshape(-1, DIM)
+        back = back.reshape(-1, DIM)
+        x = times("to_x", k, p["key"].T).reshape(size, CONTEXT, DIM)
+        x += times("moved", v, p["value"].T).reshape(x.shape)
+        x[:, :-1] += times("moved", k, p["key_before"].T).reshape(x.shape)[:, 1:]
+        own = times("to_last", q, p["query"].T * scale)
+        own += times("own", back, p["own"].T)
+        x[:, CONTEXT - SCORED :] += own.reshape(size, SCORED, DIM)
+        before, moved = room("before", size, CONTEXT - 1, DIM), room("after", size, CONTEXT - 1, DIM)
+        before[:], moved[:] = f.x[:, :-1], k.reshape(size, CONTEXT, DIM)[:, 1:]
         flat = f.last.reshape(-1, DIM).T
-        place = f.inputs[:, :, None] * DIM + np.arange(DIM)
+        # Only the embeddings of tokens that occur change.
+        occurs = np.zeros(TOKENS, bool)
+        occurs[f.inputs] = True
+        found = np.flatnonzero(occurs)
+        number = np.empty(TOKENS, np.intp)
+        number[found] = np.arange(len(found))
+        place = np.add(number[f.inputs][:, :, None] * DIM, np.arange(DIM), out=room("place", size, CONTEXT, DIM, kind=np.intp))
         gradients = {
-            "embedding": np.bincount(place.reshape(-1), x.reshape(-1), TOKENS * DIM).reshape(TOKENS, DIM),
-            "query": flat @ q.reshape(-1, DIM) * scale,
-            "key": f.x.reshape(-1, DIM).T @ k.reshape(-1, DIM),
-            "key_before": f.x[:, :-1].reshape(-1, DIM).T @ k[:, 1:].reshape(-1, DIM),
-            "value": f.x.reshape(-1, DIM).T @ v.reshape(-1, DIM),
-            "own": flat @ back.reshape(-1, DIM),
+            "embedding": np.bincount(place.reshape(-1), x.reshape(-1), len(found) * DIM).reshape(-1, DIM),
+            "query": flat @ q * scale,
+            "key": f.x.reshape(-1, DIM).T @ k,
+            "key_before": before.reshape(-1, DIM).T @ moved.reshape(-1, DIM),
+            "value": f.x.reshape(-1, DIM).T @ v,
+            "own": flat @ back,
             "distance": np.bincount(_BACK[_SEEN], to_weights.sum(axis=0)[_SEEN], CONTEXT),
             "to_class": hidden.T @ logits,
             "to_gate": hidden.T @ gate.reshape(-1),
@@ -277,9 +329,10 @@ class Trainer:
         }
         for name, gradient in gradients.items():
             gradient = gradient.astype(np.float32, copy=False)
-            squares = self.squares[name]
-            squares += gradient * gradient
+            own = found if name == "embedding" else slice(None)
+            squares = self.squares[name][own] + gradient * gradient
+            self.squares[name][own] = squares
             gradient = gradient * self.rate
             gradient /= np.sqrt(squares)
-            p[name] -= gradient
+            p[name][own] -= gradient
         return float(-(np.log(f.chance) * real).sum() / n)

@@ -12,7 +12,7 @@ unless the CRC-32 of their id as text has remainder ``HELD_OUT`` modulo 7.
 4. The last pass scores all texts. Frequent words carry their counts to the tasks (``HEAVY`` words at most); for the others the
    counts are joined by word.
 
-Subwords come from a byte-level vocabulary, with a blank before each word, so ids spell the words one to one and the score is the
+Subwords come from a byte-level vocabulary (words are merged by the tiktoken library), with a blank before each word, so ids spell the words one to one and the score is the
 probability of the text. Rare subwords share one compact id, and within it follow their smoothed
 frequencies. Null texts are empty: an end alone. Rows are scored one by one, repeated ones too; a null id counts as empty
 text for the split. Without training texts the model is what it starts from. Only the two named columns are read.
@@ -21,10 +21,12 @@ text for the split. Without training texts the model is what it starts from. Onl
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import tiktoken
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -61,6 +63,26 @@ class Encoder:
             raise ValueError("The vocabulary must leave two ids of 16 bits free.")
         #: Whether an id begins a word, or is the end.
         self.opens = np.array([token[:1] == b" " for token in self.bpe.tokens] + [True, True])
+        self.library = tiktoken.Encoding("words", pat_str=" [^ ]+", mergeable_ranks=self.bpe.ranks, special_tokens={})
+        self.cache: dict[bytes, tuple[int, ...]] = {}
+
+    def ids_of(self, pieces: list[bytes]) -> list[tuple[int, ...]]:
+        """The ids of distinct words, each after a blank, from a bounded cache where it has them. The others are merged by the library in one
+        call: their ids begin where a token begins with a blank."""
+        found = list(map(self.cache.get, pieces))
+        missing = [k for k, ids in enumerate(found) if ids is None]
+        if not missing:
+            return found
+        new = [pieces[k] for k in missing]
+        flat = self.library.encode_ordinary(b"".join(new).decode())
+        starts = np.flatnonzero(self.opens[flat]).tolist()
+        merged = [tuple(flat[a:b]) for a, b in zip(starts, [*starts[1:], len(flat)])]
+        for k, ids in zip(missing, merged, strict=True):
+            found[k] = ids
+        if len(self.cache) + len(new) > byte_bpe.CACHE_TOKENS:
+            self.cache.clear()
+        self.cache.update(zip(new, merged))
+        return found
 
     def chunk(self, chunk: slices.Chunk) -> tuple[np.ndarray, np.ndarray]:
         """Subword ids with the edges of each text, with an end after every text."""
@@ -69,7 +91,7 @@ class Encoder:
         _, one, which = np.unique(slices.hash_spans(data, starts, ends), return_index=True, return_inverse=True)
         raw = data.tobytes()
         pieces = [b" " + raw[a:b] for a, b in zip(starts[one].tolist(), ends[one].tolist())]
-        found = self.bpe.ids_of(pieces) + [(self.end,)]
+        found = self.ids_of(pieces) + [(self.end,)]
         counts = np.bincount(doc, minlength=chunk.docs)
         which = np.insert(which, np.cumsum(counts), len(pieces))
         lengths = np.fromiter(map(len, found), np.int64, len(found))
@@ -85,6 +107,12 @@ class Encoder:
         return keys, np.searchsorted(starts, edges)
 
 
+@lru_cache(2)
+def load_encoder(ranks_path: str) -> Encoder:
+    """One encoder per worker and file, with what its cache has learned."""
+    return Encoder(ranks_path)
+
+
 class Counter:
     """Counts of (kind, key), merged by sorting when many have come together."""
 
@@ -120,7 +148,7 @@ def encode(split: DataFrame, ranks_path: str) -> DataFrame:
     kind = split.schema["id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(ranks_path)
+        encoder = load_encoder(ranks_path)
         for batch in batches:
             for chunk in slices.chunks(batch.column(3)):
                 ids, edges = encoder.chunk(chunk)
@@ -147,7 +175,7 @@ def count(training: DataFrame, ranks_path: str) -> DataFrame:
     """``kind, key, times`` of words and subwords over the training ids."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, words = Encoder(ranks_path), Counter()
+        encoder, words = load_encoder(ranks_path), Counter()
         subwords = np.zeros(encoder.start + 1, np.int64)
         names = ["kind", "key", "times"]
 
@@ -352,7 +380,7 @@ def score(docs: DataFrame, ranks_path: str, id_column: str = "doc_id", text_colu
     model = spark.sparkContext.broadcast((train(training, int(times.sum()), compact, biases), frequent(words)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(ranks_path)
+        encoder = load_encoder(ranks_path)
         params, (heavy_keys, heavy_times) = model.value
         row, partition = 0, TaskContext.get().partitionId()
         for batch in batches:

@@ -88,3 +88,27 @@ def test_gradients_equal_differences():
         up[name][at] += np.float32(0.02)
         down[name][at] -= np.float32(0.02)
         assert np.sign(loss(up) - loss(down)) == np.sign(step[at]), name
+
+
+def test_batches_share_their_memory():
+    """Batch after batch works in the same arrays, and smaller or larger ones between give the same numbers as alone."""
+    texts, biases, params = fixture()
+    rows, _, _ = A.text_windows(np.concatenate(texts), np.r_[0, np.cumsum([len(t) for t in texts])])
+    alone = [A.Pass(params, biases, rows[:n], A.Room()).chance.copy() for n in (2, len(rows), 1)]
+    room = A.Room()
+    for n, want in zip((2, len(rows), 1), alone):
+        assert np.allclose(A.Pass(params, biases, rows[:n], room).chance, want, rtol=1e-4)
+    A.Pass(params, biases, rows, room)
+    held = {name: id(array) for name, array in room.held.items()}
+    A.Pass(params, biases, rows, room)
+    assert held == {name: id(array) for name, array in room.held.items()}
+    assert biases.classes.flags.c_contiguous
+
+
+def test_only_embeddings_that_occur_change():
+    texts, biases, params = fixture()
+    rows, _, _ = A.text_windows(np.concatenate(texts), np.r_[0, np.cumsum([len(t) for t in texts])])
+    trainer = A.Trainer(params, biases)
+    trainer.batch(rows)
+    changed = np.flatnonzero((trainer.params["embedding"] != params["embedding"]).any(axis=1))
+    assert set(changed) <= set(rows[:, : A.CONTEXT].reshape(-1).tolist()) and len(changed) > 30

@@ -226,3 +226,14 @@ def test_attention_is_a_distribution():
     row[:, -2], row[:, -1] = 1, np.arange(attention.TOKENS)
     total = np.exp(attention.log_probs(attention.initial(), biases, row)[:, -1].astype(float)).sum()
     assert math.isclose(total, 1.0, rel_tol=1e-3)
+
+
+def test_words_merged_by_the_library_equal_the_operators_merges():
+    """Words of all lengths, known and unknown, with and without the cache, and a cache that is emptied when full."""
+    encoder = lm_scoring.Encoder(RANKS)
+    words = ["a", "the", "zqxj", "中文😀", "\u00a0\u0085x", "<|endoftext|>", "it's", "x" * 700, "é" * 90, "\x00\x1f", "don't3½"]
+    pieces = [b" " + w.encode() for w in words]
+    want = [tuple(encoder.bpe.merge(p)) for p in pieces]
+    assert encoder.ids_of(pieces) == want
+    assert encoder.ids_of(pieces[::-1] + [b" other"])[:-1] == want[::-1]
+    assert encoder.ids_of([]) == []
