@@ -289,6 +289,70 @@ def test_passages_between_first_and_previous(spark):
     assert got == want
 
 
+def test_passages_around_passages_found(spark):
+    """The first and the previous text give a passage, and a text between them a longer one around it, by a few words on each side."""
+    import random
+
+    chance = random.Random(6)
+
+    def own(n):
+        return [f"x{chance.random()}" for _ in range(n)]
+
+    rows, want = [], []
+    for _ in range(12):
+        core, before, after = own(55), own(2), own(2)
+        for n in range(4):
+            both = n in (1, 3)
+            rows.append((len(rows), " ".join(own(30) + (before if both else own(2)) + core + (after if both else own(2)) + own(30))))
+        want.append(len(rows) - 1)
+    found = passages.near_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    for i in want:
+        assert any(r.doc_id == i and r.of_doc_id == i - 2 and r.start_word <= 30 and r.end_word >= 89 for r in found), i
+
+
+def test_alignments_meet_across_ranges():
+    import numpy as np
+
+    for one in range(80, 100):
+        seeds = [(f, 200 + f, 60, 60, 200 + f - shift, 60, 60) for f, shift in ((0, one), (1, one + 1))]
+        assert passages.met_intervals(np.array(seeds, np.int64), 46), one
+
+
+def test_stretches_alive_are_those_of_brute_force():
+    import numpy as np
+
+    chance = np.random.default_rng(2)
+    kind = chance.choice(3, 600, p=[0.6, 0.1, 0.3])
+    kind[100:180] = 0
+    several, once, edges = kind == 0, kind == 2, np.array([0, 150, 170, 400, 400, 600])
+    want = np.zeros(600, bool)
+    for a, b in zip(edges[:-1], edges[1:]):
+        for x in range(a, b):
+            for y in range(x + 15, b + 1):
+                if several[x:y].sum() >= 3 * once[x:y].sum():
+                    want[max(a, x - 5) : min(b, y + 5)] = True
+    assert (passages.alive(several, once, edges, 20) == want).all() and 0 < want.sum() < 600
+
+
+def test_only_stretches_that_others_have_are_dealt_out(spark):
+    """Of texts of their own words nothing is kept, of those that share a passage little more than that; windows come from there alone."""
+    import random
+
+    chance = random.Random(7)
+
+    def own(n):
+        return [f"x{chance.random()}" for _ in range(n)]
+
+    both = own(60)
+    rows = [(k, " ".join(own(500))) for k in range(30)] + [(k, " ".join(own(200) + both + own(200))) for k in (40, 50)]
+    kept = passages.kept_stretches(spark.createDataFrame(rows, "id long, text string"), 5, 46)
+    got = {r.id: r for r in kept.collect()}
+    assert set(got) == {40, 50}
+    for r in got.values():
+        assert 170 <= r.start <= 200 and r.start + len(r.tokens) // 5 >= 256 and len(r.tokens) // 5 < 56 + 60
+    assert 0 < passages.window_rows(kept, 46).count() < 150
+
+
 def test_passages_odd_rows(odd, empty):
     found = passages.near_passages(odd).collect()
     assert {(r.doc_id, r.of_doc_id, r.whole) for r in found} == {(5, 4, True), (6, 4, False)}
